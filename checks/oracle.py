@@ -117,7 +117,7 @@ _CTES = {
     "batched": """
         SELECT *, row_number() OVER (ORDER BY file_size_bytes DESC, source_path) AS rn, count(*) OVER () AS total FROM raw""",
     "html": """
-        SELECT page_id, url, unnest(tags) AS t, unnest(bodies) AS b, unnest(images) AS g,
+        SELECT page_id, url, unnest(tags) AS t, unnest(bodies) AS b, coalesce(unnest(images), '') AS g,
                generate_subscripts(tags, 1) - 1 AS pos
         FROM (SELECT page_id, url, regexp_extract_all(html, pat, 1) AS tags, regexp_extract_all(html, pat, 2) AS bodies,
                      regexp_extract_all(html, pat, 3) AS images

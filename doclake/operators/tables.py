@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -65,6 +66,20 @@ def append(df: DataFrame, root: str, name: str, by: Sequence[str] = ("pipeline_r
     )
 
 
+def replace_run(df: DataFrame, root: str, name: str, run_id: str, by: Sequence[str]) -> None:
+    """Write all rows of a run, replacing whatever an earlier attempt of the run left in the table."""
+    if not re.fullmatch(r"[\w.-]+", run_id):
+        raise ValueError("a run id may hold letters, digits, dots, hyphens and underscores only")
+    columns = [c for c in TABLES[name].names if c != "pipeline_run_id"]
+    (
+        df.select(*columns)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(*by)
+        .parquet(f"{table_path(root, name)}/pipeline_run_id={run_id}")
+    )
+
+
 def _snapshots(spark: SparkSession, path: str) -> list[str]:
     """Complete snapshots, oldest first; one without its success marker was cut short and is ignored."""
     names = sorted(n for n in _children(spark, path) if n.startswith(_SNAPSHOT))

@@ -3,88 +3,118 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
+import os
+import re
 from collections.abc import Callable, Iterator, Sequence
-from functools import reduce
 
 import pyarrow as pa
-from pyspark.errors import AnalysisException
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from doclake import schemas
-from doclake.functions.identity import strip_scheme
 from doclake.functions.patterns import matches_pattern
+from doclake.session import durable
 
 Fetch = Callable[[str], bytes]
 
 ERROR_LENGTH = 1000
-_ROWS_PER_FLUSH_BYTES = 64 * 1024 * 1024
+_ENTRIES_PER_BATCH = 10_000
+_FLUSH_BYTES = 64 * 1024 * 1024
+
+
+def _mounted(path: str) -> str:
+    """A path as the executors open it: without the scheme of a mounted file system."""
+    return re.sub(r"^(dbfs|file):/*", "/", path)
+
+
+def _filesystem(path: str):
+    """The file system of a path, and the path within it; a path without ``://`` is a mounted one."""
+    if "://" in path:
+        return fs.FileSystem.from_uri(path)
+    return fs.LocalFileSystem(), path
+
+
+def _scan(folder: str) -> Iterator[tuple[str, str, int, bool]]:
+    """Path, name, size and kind of what is directly in a folder; nothing if it cannot be read."""
+    try:
+        if "://" not in folder:
+            with os.scandir(folder) as entries:
+                for entry in entries:
+                    if entry.is_dir(follow_symlinks=False):
+                        yield entry.path, entry.name, 0, True
+                    elif entry.is_file():
+                        yield entry.path, entry.name, entry.stat().st_size, False
+        else:
+            store, inner = _filesystem(folder)
+            base = folder[: len(folder) - len(inner)]
+            for info in store.get_file_info(fs.FileSelector(inner)):
+                if info.type in (fs.FileType.File, fs.FileType.Directory):
+                    yield base + info.path, info.base_name, info.size or 0, info.type == fs.FileType.Directory
+    except OSError:
+        return
+
+
+def _scan_folders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["original_path", "file_name", "file_size_bytes", "is_folder"]
+    types = [pa.string(), pa.string(), pa.int64(), pa.bool_()]
+
+    def batch_of(found: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), types)], names)
+
+    for batch in batches:
+        entries = itertools.chain.from_iterable(map(_scan, batch.column(0).to_pylist()))
+        while found := list(itertools.islice(entries, _ENTRIES_PER_BATCH)):
+            yield batch_of(found)
 
 
 def list_files(
     spark: SparkSession, roots: Sequence[str], pattern: str = "*", recursive: bool = True
 ) -> DataFrame:
-    """Files under directories, one listing per root; a root that cannot be listed gives no rows.
+    """Files under directories, once for each root; a folder that cannot be read gives no rows.
 
-    Only names, sizes and times are read, never contents. Spark keeps the index of a directory
-    listing on the driver, so list very large stores from a manifest table instead.
+    Spark's own binary-file reader keeps its file index on the driver and leaves out empty files, so
+    the folders are read on the executors instead: one job per level of the tree, each folder of the
+    level a row, the entries found stored before the next level starts.
     """
-    listings = []
-    for root in roots:
-        reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
-        try:
-            listing = reader.load(root)
-        except AnalysisException:
-            continue
-        path = strip_scheme(strip_scheme(F.col("path"), "file"), "dbfs")
-        listing = listing.select(
-            F.regexp_replace(path, "^//+", "/").alias("original_path"), F.col("length").alias("file_size_bytes")
-        )
+    tasks = spark.sparkContext.defaultParallelism
+    folders = spark.createDataFrame([(_mounted(r),) for r in roots], "folder string")
+    found = spark.createDataFrame([], schemas.FILE_REFS).drop("metadata")
+    schema = "original_path string, file_name string, file_size_bytes long, is_folder boolean"
+    while not folders.isEmpty():
+        entries = durable(folders.repartition(tasks, "folder").mapInArrow(_scan_folders, schema))
+        found = found.unionByName(entries.filter(~F.col("is_folder")).drop("is_folder"))
         if not recursive:
-            folder = F.substring_index("original_path", "/", -1)
-            depth = F.length("original_path") - F.length(folder) - 1
-            listing = listing.filter(
-                F.endswith(F.lit(root.rstrip("/")), F.substring(F.col("original_path"), F.lit(1), depth))
-            )
-        listings.append(listing)
-    if not listings:
-        return spark.createDataFrame([], schemas.FILE_REFS)
-    return (
-        reduce(DataFrame.unionByName, listings)
-        .withColumn("file_name", F.substring_index("original_path", "/", -1))
-        .filter(matches_pattern(F.col("file_name"), pattern))
-        .select(
-            "original_path",
-            "file_name",
-            "file_size_bytes",
-            F.create_map().cast("map<string,string>").alias("metadata"),
-        )
+            break
+        folders = entries.filter("is_folder").select(F.col("original_path").alias("folder"))
+    return found.filter(matches_pattern(F.col("file_name"), pattern)).withColumn(
+        "metadata", F.create_map().cast("map<string,string>")
     )
 
 
 def fetch_file(path: str) -> bytes:
-    """Bytes of a file on any filesystem Arrow knows; a path without a scheme is a mounted one."""
-    from pyarrow import fs
-
-    filesystem, inner = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
-    with filesystem.open_input_stream(inner) as stream:
+    """Bytes of a file on any file system Arrow knows."""
+    store, inner = _filesystem(_mounted(path))
+    with store.open_input_stream(inner, compression=None) as stream:
         return stream.read()
 
 
 def _modified_at(path: str):
-    from pyarrow import fs
-
-    filesystem, inner = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
-    return filesystem.get_file_info(inner).mtime
+    store, inner = _filesystem(_mounted(path))
+    return store.get_file_info(inner).mtime
 
 
 def _spread(df: DataFrame, path: str, bytes_per_task: int) -> DataFrame:
     """Rows dealt over enough tasks that each reads about ``bytes_per_task``.
 
     The number is explicit because runtime re-planning would judge these rows by their own few bytes
-    and merge them into one task.
+    and merge them into one task. Documents of a batch stay together, so that writing by batch opens
+    few files per task; a large batch is cut by path.
     """
     total = df.agg(F.coalesce(F.sum("file_size_bytes"), F.lit(0))).first()[0]
     tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-int(total) // bytes_per_task))
+    if "batch_id" in df.columns:
+        return df.repartitionByRange(tasks, "batch_id", path)
     return df.repartition(tasks, path)
 
 
@@ -147,7 +177,7 @@ def read_bytes(
             for at, file_path in enumerate(batch.column(path).to_pylist()):
                 rows.append(read_one(file_path))
                 held += len(rows[-1].get("content") or b"")
-                if held >= _ROWS_PER_FLUSH_BYTES:
+                if held >= _FLUSH_BYTES:
                     yield with_bytes(batch.slice(start, len(rows)), rows)
                     start, rows, held = at + 1, [], 0
             if rows:
@@ -193,23 +223,23 @@ def load_raw(
 ) -> DataFrame:
     """Rows of ``raw_documents``: the chosen files with their bytes.
 
-    ``to_process`` is metadata only, so nothing heavier than a path is shuffled; the recorded size
-    stays that of the registry. A file that has become unreadable fails the job, or is left out with
+    ``to_process`` is metadata only, so nothing heavier than a path is shuffled: ``source_path`` as
+    recorded, ``original_path`` to read. The recorded size stays that of the registry. A file that has become unreadable fails the job, or is left out with
     ``on_unreadable="skip"``. Empty files are kept.
     """
     if on_unreadable not in ("fail", "skip"):
         raise ValueError("on_unreadable must be 'fail' or 'skip'")
-    read = read_bytes(to_process, "staging_path", fetch, keep_content=True, **spread)
+    read = read_bytes(to_process, "original_path", fetch, keep_content=True, **spread)
     if on_unreadable == "skip":
         read = read.filter(F.col("read_error").isNull())
     else:
-        failure = F.raise_error(F.concat_ws(": ", "staging_path", "read_error")).cast("binary")
+        failure = F.raise_error(F.concat_ws(": ", "original_path", "read_error")).cast("binary")
         read = read.withColumn("content", F.when(F.col("read_error").isNull(), F.col("content")).otherwise(failure))
     now = F.current_timestamp() if ingested_at is None else F.to_timestamp(F.lit(ingested_at))
     batch = F.col("batch_id") if "batch_id" in to_process.columns else F.lit(None).cast("int")
     return read.select(
         "source_name",
-        F.col("staging_path").alias("source_path"),
+        "source_path",
         "file_name",
         "file_size_bytes",
         F.col("modified_at").alias("source_modified_at"),
