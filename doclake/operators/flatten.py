@@ -15,6 +15,16 @@ from doclake.schemas import DOCUMENT_ELEMENTS, DOCUMENT_PAGES
 _DOCUMENT = ["source_name", "source_path", "file_name", "parsed_at", "pipeline_run_id"]
 
 
+def _exploded(df: DataFrame, array: Column, item: str, at: str = "_at", outer: bool = False) -> DataFrame:
+    """``df`` with a row per array item, and its position.
+
+    Written as an outer explode without its empty rows: for an inner one Catalyst adds a filter on the
+    array's size below it, which computes the array, and with it perhaps the whole parse, once more.
+    """
+    exploded = df.select("*", F.posexplode_outer(array).alias(at, item))
+    return exploded if outer else exploded.filter(F.col(at).isNotNull())
+
+
 def _of_run(df: DataFrame, run_id: str | None) -> DataFrame:
     return df if run_id is None else df.filter(F.col("pipeline_run_id") == run_id)
 
@@ -36,14 +46,8 @@ def flatten_elements(
         has_parse_errors(F.col("parsed_output")).alias("has_parse_errors"),
         payload_array(F.col("parsed_output"), ELEMENTS).alias("elements"),
     )
-    elements = documents.select(*_DOCUMENT, "has_parse_errors", F.explode("elements").alias("element"))
-    per_box = F.posexplode_outer if outer else F.posexplode
-    boxes = elements.select(
-        *_DOCUMENT,
-        "has_parse_errors",
-        "element",
-        per_box(payload_array(F.col("element"), "$.bbox")).alias("bbox_index", "box"),
-    )
+    elements = _exploded(documents, F.col("elements"), "element").drop("elements", "_at")
+    boxes = _exploded(elements, payload_array(F.col("element"), "$.bbox"), "box", "bbox_index", outer)
     corners = {f"bbox_{name}": field("box", f"$.coord[{i}]", "int") for i, name in enumerate(("x1", "y1", "x2", "y2"))}
     return boxes.select(
         *_DOCUMENT,
@@ -61,10 +65,12 @@ def flatten_elements(
 
 def flatten_errors(parsed: DataFrame, run_id: str | None = None, on_error: str = "raise") -> DataFrame:
     """One row per reported page error."""
-    return (
-        _of_run(parsed, run_id)
-        .select("source_path", "pipeline_run_id", F.explode(payload_array(F.col("parsed_output"), ERRORS)).alias("error"))
-        .select("source_path", payload_field(F.col("error"), "$.page_id", "int", on_error).alias("page_id"), "pipeline_run_id")
+    documents = _of_run(parsed, run_id).select(
+        "source_path", "pipeline_run_id", payload_array(F.col("parsed_output"), ERRORS).alias("errors")
+    )
+    page_id = payload_field(F.col("error"), "$.page_id", "int", on_error)
+    return _exploded(documents, F.col("errors"), "error").select(
+        "source_path", page_id.alias("page_id"), "pipeline_run_id"
     )
 
 
@@ -90,7 +96,7 @@ def flatten_pages(
         page_errors.alias("page_errors"),
         payload_array(F.col("parsed_output"), PAGES).alias("pages"),
     )
-    pages = documents.select(*_DOCUMENT, "has_parse_errors", "page_errors", F.explode("pages").alias("page")).select(
+    pages = _exploded(documents, F.col("pages"), "page").select(
         *_DOCUMENT,
         "has_parse_errors",
         "page_errors",
@@ -101,7 +107,7 @@ def flatten_pages(
         hits = F.array_size(F.filter("page_errors", lambda e: e == F.col("page_number")))
         pages = pages.withColumn("hits", F.coalesce(hits, F.lit(0)))
         if not distinct_errors:
-            pages = pages.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.greatest("hits", F.lit(1)))))
+            pages = pages.withColumn("_copy", F.explode_outer(F.sequence(F.lit(1), F.greatest("hits", F.lit(1)))))
         flagged = pages.withColumn("page_has_error", F.col("hits") > 0)
     elif match == "path":
         errors = flatten_errors(parsed, run_id, on_error).withColumnRenamed("page_id", "page_number")
@@ -139,10 +145,8 @@ def page_dimensions(
     """
     if file_name is not None:
         parsed = parsed.filter(F.col("file_name") == file_name)
-    pages = parsed.select(
-        "file_name", "source_path", "parsed_at", "pipeline_run_id", payload_array(F.col("parsed_output"), PAGES).alias("pages")
-    ).select("file_name", "source_path", "parsed_at", "pipeline_run_id", F.explode("pages").alias("page"))
-    sizes = pages.select(
+    documents = parsed.select(*_DOCUMENT, payload_array(F.col("parsed_output"), PAGES).alias("pages"))
+    sizes = _exploded(documents, F.col("pages"), "page").select(
         "file_name",
         "source_path",
         "parsed_at",

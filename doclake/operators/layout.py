@@ -5,6 +5,8 @@ They are what a parse step calls per document, with no Python in the tasks.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 # Boxes of the text layout, in pixels: where lines start, how far apart and how high they are, and
@@ -14,7 +16,7 @@ PAGE_WIDTH, PAGE_HEIGHT = 612, 792
 
 # Fixed value: the HTML parts that become elements. No backreference, so an element ends at the first
 # closing tag of any of them.
-HTML_PARTS = r"(?s)<(title|h1|p|li|footer|table)(?:\s[^>]*)?>(.*?)</(?:title|h1|p|li|footer|table)>|<(img)(?:\s[^>]*)?>"
+HTML_PARTS = r"(?s)<(?:title|h1|p|li|footer|table)(?:\s[^>]*)?>.*?</(?:title|h1|p|li|footer|table)>|<img(?:\s[^>]*)?>"
 
 _TITLES = ("title", "h1")
 
@@ -48,7 +50,6 @@ def _pages(last_page: Column) -> Column:
 
 def layout_from_text(text: Column, lines_per_page: int = 12) -> Column:
     """Each line an element, the first the title, ``lines_per_page`` to a page, boxes by line."""
-    lines = F.split(text, "\n")
 
     def element(line: Column, at: Column) -> Column:
         row = at % lines_per_page
@@ -61,23 +62,33 @@ def layout_from_text(text: Column, lines_per_page: int = 12) -> Column:
             F.array(box(F.floor(at / lines_per_page), F.lit(LEFT), top, right, top + LINE_HEIGHT)).alias("bbox"),
         )
 
-    last_page = F.floor((F.size(lines) - 1) / lines_per_page)
-    return payload(F.transform(lines, element), _pages(last_page), no_errors())
+    def document(lines: Column) -> Column:
+        last_page = F.floor((F.size(lines) - 1) / lines_per_page)
+        return payload(F.transform(lines, element), _pages(last_page), no_errors())
+
+    return _bound(F.split(text, "\n"), document)
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` mentions it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def html_parts(html: Column) -> Column:
-    """``array<struct<tag, body>>`` of the parts of a page, in order; an image's body is NULL."""
-    pattern = F.lit(HTML_PARTS)
-    tags = F.regexp_extract_all(html, pattern, F.lit(1))
-    bodies = F.regexp_extract_all(html, pattern, F.lit(2))
-    images = F.regexp_extract_all(html, pattern, F.lit(3))
-    return F.transform(
-        F.arrays_zip(tags.alias("tag"), bodies.alias("body"), images.alias("image")),
-        lambda p: F.struct(
-            F.when(p["image"] == "img", p["image"]).otherwise(p["tag"]).alias("tag"),
-            F.when(p["image"] != "img", p["body"]).alias("body"),
-        ),
-    )
+    """``array<struct<tag, body>>`` of the parts of a page, in order; an image's body is NULL.
+
+    One search over the page finds the parts; tag and body are cut out of each part. An opening tag
+    holds no ``>`` before its end, and the closing one starts at the last ``</``.
+    """
+
+    def part(found: Column) -> Column:
+        tag = F.regexp_extract(found, r"\A<([a-z0-9]+)", 1)
+        start = F.instr(found, ">") + 1
+        length = F.length(found) - F.length(F.substring_index(found, "</", -1)) - 1 - start
+        body = F.when(tag != "img", F.substring(found, start, length))
+        return F.struct(tag.alias("tag"), body.alias("body"))
+
+    return F.transform(F.regexp_extract_all(html, F.lit(HTML_PARTS), F.lit(0)), part)
 
 
 def html_element_type(tag: Column) -> Column:
@@ -91,7 +102,6 @@ def html_element_type(tag: Column) -> Column:
 
 def layout_from_html(html: Column, parts_per_page: int = 12) -> Column:
     """Titles, paragraphs, list items, tables (kept as HTML), images and footers as elements."""
-    parts = html_parts(html)
 
     def element(part: Column, at: Column) -> Column:
         top = F.lit(TOP) + at % parts_per_page * LINE_STEP
@@ -106,5 +116,8 @@ def layout_from_html(html: Column, parts_per_page: int = 12) -> Column:
             ).alias("bbox"),
         )
 
-    last_page = F.floor(F.greatest(F.size(parts) - 1, F.lit(0)) / parts_per_page)
-    return payload(F.transform(parts, element), _pages(last_page), no_errors())
+    def document(parts: Column) -> Column:
+        last_page = F.floor(F.greatest(F.size(parts) - 1, F.lit(0)) / parts_per_page)
+        return payload(F.transform(parts, element), _pages(last_page), no_errors())
+
+    return _bound(html_parts(html), document)

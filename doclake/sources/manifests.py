@@ -41,7 +41,7 @@ def _per_root(df: DataFrame, roots: Sequence[str], under: Callable[[Column], Col
     """Rows of ``df`` once for each root for which ``under(root)`` holds, with that ``root``."""
     any_root = reduce(lambda found, r: found | under(F.lit(r)), dict.fromkeys(roots), F.lit(False))
     listed = F.array(*[F.lit(r) for r in roots]).cast("array<string>")
-    return df.filter(any_root).withColumn("root", F.explode(F.filter(listed, under)))
+    return df.filter(any_root).withColumn("root", F.explode_outer(F.filter(listed, under)))
 
 
 def _slashes(path: Column) -> Column:
