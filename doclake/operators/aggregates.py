@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from doclake.functions.payload import has_parse_errors
+from doclake.operators.joins import join_reduced
 
 
 
@@ -82,7 +83,7 @@ def run_rows(rows: DataFrame, run_id: str | None = None) -> DataFrame:
 def type_counts(elements: DataFrame, files: DataFrame | None = None) -> DataFrame:
     """Element rows per file name and type, of all files or of those in ``files``."""
     if files is not None:
-        elements = elements.join(files.select("file_name"), "file_name", "left_semi")
+        elements = join_reduced(elements, files.select("file_name").distinct(), "file_name", "left_semi")
     return elements.groupBy("file_name", "element_type").agg(F.count(F.lit(1)).alias("cnt"))
 
 

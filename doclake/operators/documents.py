@@ -15,6 +15,7 @@ from doclake.operators.aggregates import (
     type_map,
 )
 from doclake.operators.flatten import page_dimensions
+from doclake.operators.joins import join_reduced
 
 MAX_LIMIT = 100
 
@@ -67,12 +68,12 @@ def _per_document(elements: DataFrame) -> DataFrame:
 
 
 def _described(documents: DataFrame, elements: DataFrame, pages: DataFrame, log: DataFrame, how: str) -> DataFrame:
-    described = (
-        documents.join(pages_by_file(pages), "file_name", "left")
+    per_file = (
+        type_map(elements)
+        .join(pages_by_file(pages), "file_name", "left")
         .join(status_by_file(log, how), "file_name", "left")
-        .join(type_map(elements), "file_name", "left")
     )
-    return with_defaults(described).select(
+    return with_defaults(join_reduced(documents, per_file, "file_name", "left")).select(
         *_DOCUMENT, "total_elements", "total_pages", "status", "parsed_at", "element_types"
     )
 
@@ -82,8 +83,8 @@ def documents_overview(
 ) -> DataFrame:
     """Every document that matches the search, as :func:`list_documents` describes it, unordered.
 
-    Elements, pages and log are reduced to a row per document or file name before they are joined.
-    Only the document side can repeat a file name, and runtime re-planning splits such a name.
+    Elements, pages and log are reduced to a row per document or file name before they are joined. Only
+    the document side can repeat a file name, and does so in one last join, where it can be split.
     """
     return _described(_per_document(search(elements, q)), elements, pages, log, status)
 
@@ -158,9 +159,12 @@ def document_detail(
         .agg(F.count(F.lit(1)).alias("element_count"))
     )
     detail = with_defaults(
-        pages.select("file_name", "page_number")
-        .join(known, "file_name", "left_semi")
-        .join(on_page, ["file_name", "page_number"], "left")
+        join_reduced(
+            join_reduced(pages.select("file_name", "page_number"), known, "file_name", "left_semi"),
+            on_page,
+            ["file_name", "page_number"],
+            "left",
+        )
     )
     return DocumentDetail(header, detail.orderBy("file_name", "page_number"))
 
@@ -190,12 +194,13 @@ def page_detail(
     if page is not None:
         pages, elements = pages.filter(F.col("page_number") == page), elements.filter(F.col("page_id") == page)
     logged = log.groupBy("file_name").agg(F.max("source_path").alias("source_path"))
-    header = (
+    sized = (
         pages.groupBy("file_name", "page_number")
         .agg(F.max("image_uri").alias("image_uri"))
         .join(page_dimensions(parsed, page=page), ["file_name", "page_number"], "left")
-        .join(logged, "file_name", "left")
-        .select("file_name", "page_number", "image_uri", "source_path", "page_width", "page_height")
+    )
+    header = join_reduced(sized, logged, "file_name", "left").select(
+        "file_name", "page_number", "image_uri", "source_path", "page_width", "page_height"
     )
     shown = elements.select(
         "file_name",
@@ -277,7 +282,7 @@ def sample_elements(elements: DataFrame, run_id: str | None = None, n: int = 50)
 def page_neighbors(pages: DataFrame) -> DataFrame:
     """Whether each page of a file has a previous and a next page."""
     total = pages.groupBy("file_name").agg(F.count(F.lit(1)).alias("page_rows"))
-    return pages.join(total, "file_name").select(
+    return join_reduced(pages, total, "file_name", "inner").select(
         "file_name",
         "source_path",
         "page_number",
@@ -299,17 +304,16 @@ def normalize_bbox(
         return F.least(F.greatest(value, low), high)
 
     sizes = pages.select("source_path", F.col("page_number").alias("page_id"), "page_width", "page_height")
-    placed = elements.join(sizes, ["source_path", "page_id"], "left")
     known = (F.col("page_width") > 0) & (F.col("page_height") > 0)
     fallback_width, fallback_height = F.lit(float(width)), F.lit(float(height))
     if infer:
         extent = infer_page_extent(elements, width / height).select(
             "source_path", "page_id", F.struct("page_width", "page_height").alias("extent")
         )
-        placed = placed.join(extent, ["source_path", "page_id"], "left")
+        sizes = extent.join(sizes, ["source_path", "page_id"], "left")
         fallback_width = F.coalesce("extent.page_width", fallback_width)
         fallback_height = F.coalesce("extent.page_height", fallback_height)
-    placed = placed.withColumn(
+    placed = join_reduced(elements, sizes, ["source_path", "page_id"], "left").withColumn(
         "w", F.when(known, F.col("page_width").cast("double")).otherwise(fallback_width)
     ).withColumn("h", F.when(known, F.col("page_height").cast("double")).otherwise(fallback_height))
     zero = F.lit(0.0)

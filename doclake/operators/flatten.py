@@ -9,9 +9,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from doclake.functions.payload import ELEMENTS, ERRORS, PAGES, has_parse_errors, payload_array, payload_field
+from doclake.functions.payload import ELEMENTS, ERRORS, PAGES, has_parse_errors, payload_array, payload_items
+from doclake.operators.joins import join_reduced
 from doclake.schemas import DOCUMENT_ELEMENTS, DOCUMENT_PAGES
 
+# The parts of a parse result that are read, as Spark types. Boxes are taken out of an element in a second
+# step, since their text is kept as well.
+_ELEMENT = "struct<id:int,type:string,content:string,description:string,bbox:variant>"
+_BOX = "struct<page_id:int,coord:array<int>>"
+_PAGE = "struct<id:int,image_uri:string>"
+_PAGE_SIZE = "struct<id:int,width:int,height:int>"
+_ERROR = "struct<page_id:int>"
+
 _DOCUMENT = ["source_name", "source_path", "file_name", "parsed_at", "pipeline_run_id"]
 
 
@@ -38,27 +47,24 @@ def flatten_elements(
     without a box. A value of the wrong type raises, or becomes NULL with ``on_error="null"``.
     """
 
-    def field(value: str, path: str, kind: str) -> Column:
-        return payload_field(F.col(value), path, kind, on_error)
-
     documents = _of_run(parsed, run_id).select(
         *_DOCUMENT,
         has_parse_errors(F.col("parsed_output")).alias("has_parse_errors"),
-        payload_array(F.col("parsed_output"), ELEMENTS).alias("elements"),
+        payload_items(F.col("parsed_output"), ELEMENTS, _ELEMENT, on_error).alias("elements"),
     )
     elements = _exploded(documents, F.col("elements"), "element").drop("elements", "_at")
-    boxes = _exploded(elements, payload_array(F.col("element"), "$.bbox"), "box", "bbox_index", outer)
-    corners = {f"bbox_{name}": field("box", f"$.coord[{i}]", "int") for i, name in enumerate(("x1", "y1", "x2", "y2"))}
+    boxes = _exploded(elements, payload_items(F.col("element.bbox"), "$", _BOX, on_error), "box", "bbox_index", outer)
+    corners = [F.get("box.coord", F.lit(i)).alias(f"bbox_{name}") for i, name in enumerate(("x1", "y1", "x2", "y2"))]
     return boxes.select(
         *_DOCUMENT,
-        field("element", "$.id", "int").alias("element_id"),
-        field("element", "$.type", "string").alias("element_type"),
-        field("element", "$.content", "string").alias("content"),
-        field("element", "$.description", "string").alias("ai_description"),
-        F.to_json(F.variant_get("element", "$.bbox", "variant")).alias("bounding_box_json"),
-        field("box", "$.page_id", "int").alias("page_id"),
+        F.col("element.id").alias("element_id"),
+        F.col("element.type").alias("element_type"),
+        "element.content",
+        F.col("element.description").alias("ai_description"),
+        F.to_json("element.bbox").alias("bounding_box_json"),
+        "box.page_id",
         "bbox_index",
-        *[column.alias(name) for name, column in corners.items()],
+        *corners,
         "has_parse_errors",
     ).select(*DOCUMENT_ELEMENTS.names)
 
@@ -66,12 +72,11 @@ def flatten_elements(
 def flatten_errors(parsed: DataFrame, run_id: str | None = None, on_error: str = "raise") -> DataFrame:
     """One row per reported page error."""
     documents = _of_run(parsed, run_id).select(
-        "source_path", "pipeline_run_id", payload_array(F.col("parsed_output"), ERRORS).alias("errors")
-    )
-    page_id = payload_field(F.col("error"), "$.page_id", "int", on_error)
-    return _exploded(documents, F.col("errors"), "error").select(
-        "source_path", page_id.alias("page_id"), "pipeline_run_id"
+        "source_path",
+        "pipeline_run_id",
+        payload_items(F.col("parsed_output"), ERRORS, _ERROR, on_error).alias("errors"),
     )
+    return _exploded(documents, F.col("errors"), "error").select("source_path", "error.page_id", "pipeline_run_id")
 
 
 def flatten_pages(
@@ -87,24 +92,21 @@ def flatten_pages(
     ``match="path"`` they come from every result of the run for the same path, which differs only if
     a run holds several results for one path.
     """
-    page_errors = F.transform(
-        payload_array(F.col("parsed_output"), ERRORS), lambda e: payload_field(e, "$.page_id", "int", on_error)
-    )
     documents = _of_run(parsed, run_id).select(
         *_DOCUMENT,
         has_parse_errors(F.col("parsed_output")).alias("has_parse_errors"),
-        page_errors.alias("page_errors"),
-        payload_array(F.col("parsed_output"), PAGES).alias("pages"),
+        payload_items(F.col("parsed_output"), ERRORS, _ERROR, on_error).alias("errors"),
+        payload_items(F.col("parsed_output"), PAGES, _PAGE, on_error).alias("pages"),
     )
     pages = _exploded(documents, F.col("pages"), "page").select(
         *_DOCUMENT,
         "has_parse_errors",
-        "page_errors",
-        payload_field(F.col("page"), "$.id", "int", on_error).alias("page_number"),
-        payload_field(F.col("page"), "$.image_uri", "string", on_error).alias("image_uri"),
+        "errors",
+        F.col("page.id").alias("page_number"),
+        "page.image_uri",
     )
     if match == "document":
-        hits = F.array_size(F.filter("page_errors", lambda e: e == F.col("page_number")))
+        hits = F.array_size(F.filter("errors", lambda e: e["page_id"] == F.col("page_number")))
         pages = pages.withColumn("hits", F.coalesce(hits, F.lit(0)))
         if not distinct_errors:
             pages = pages.withColumn("_copy", F.explode_outer(F.sequence(F.lit(1), F.greatest("hits", F.lit(1)))))
@@ -145,15 +147,17 @@ def page_dimensions(
     """
     if file_name is not None:
         parsed = parsed.filter(F.col("file_name") == file_name)
-    documents = parsed.select(*_DOCUMENT, payload_array(F.col("parsed_output"), PAGES).alias("pages"))
+    documents = parsed.select(
+        *_DOCUMENT, payload_items(F.col("parsed_output"), PAGES, _PAGE_SIZE, on_error).alias("pages")
+    )
     sizes = _exploded(documents, F.col("pages"), "page").select(
         "file_name",
         "source_path",
         "parsed_at",
         "pipeline_run_id",
-        payload_field(F.col("page"), "$.id", "int", on_error).alias("page_number"),
-        payload_field(F.col("page"), "$.width", "int", on_error).alias("page_width"),
-        payload_field(F.col("page"), "$.height", "int", on_error).alias("page_height"),
+        F.col("page.id").alias("page_number"),
+        F.col("page.width").alias("page_width"),
+        F.col("page.height").alias("page_height"),
     )
     if page is not None:
         sizes = sizes.filter(F.col("page_number") == page)
@@ -171,7 +175,7 @@ def replace_documents(target: DataFrame, new: DataFrame, key: str = "source_path
     ``documents`` names them where a document may have no new row; by default those of ``new``.
     """
     replaced = (new if documents is None else documents).select(key).distinct()
-    return target.join(replaced, key, "left_anti").select(*target.columns).unionByName(new)
+    return join_reduced(target, replaced, key, "left_anti").select(*target.columns).unionByName(new)
 
 
 def current_rows(rows: DataFrame, parsed: DataFrame) -> DataFrame:
@@ -182,4 +186,4 @@ def current_rows(rows: DataFrame, parsed: DataFrame) -> DataFrame:
     latest = parsed.groupBy("source_path").agg(
         F.max(F.struct("parsed_at", "pipeline_run_id")).alias("latest")
     ).select("source_path", "latest.pipeline_run_id")
-    return rows.join(latest, ["source_path", "pipeline_run_id"], "left_semi").select(*rows.columns)
+    return join_reduced(rows, latest, ["source_path", "pipeline_run_id"], "left_semi").select(*rows.columns)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from doclake.operators.joins import join_reduced
 from doclake.operators.registry import synced_in_run
 
 
@@ -18,7 +19,7 @@ def not_yet_parsed(
 
     An anti join on equality, not NOT IN: the latter would have to broadcast every known hash. The
     known hashes are reduced to one row each first, so when one hash covers a large share of the
-    candidates, only their side of the join has a hot key and runtime re-planning splits it.
+    candidates, only their side of the join has a hot key, and that can be split.
     """
     candidates = synced_in_run(registry, run_id)
     if mode == "registry_hash":
@@ -29,7 +30,7 @@ def not_yet_parsed(
     else:
         raise ValueError("mode must be 'parsed_hash' or 'registry_hash'")
     known = known.filter(F.col("content_hash").isNotNull()).distinct()
-    return candidates.join(known, "content_hash", "left_anti").select(*registry.columns)
+    return join_reduced(candidates, known, "content_hash", "left_anti").select(*registry.columns)
 
 
 def one_per_content(to_process: DataFrame) -> DataFrame:

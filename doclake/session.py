@@ -7,8 +7,8 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime re-planning does three jobs here: it merges small shuffle partitions, turns a shuffle join
-# into a broadcast once the real size is known to be small, and splits a hot key's partition in the
-# left-outer, semi and anti joins, whose other side always holds one row per key.
+# into a broadcast once the real size is known to be small, and splits the partition of a hot key in
+# a join (see operators.joins). All but the forced split are Spark's defaults.
 SCALE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
