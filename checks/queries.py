@@ -175,8 +175,9 @@ _ROW = ["source_path", "element_id", "bbox_index", "element_type", "page_id", "p
 
 @query
 def snk7_replace_documents(spark: SparkSession, sf: str) -> DataFrame:
-    again = flatten.flatten_elements(_french_again(spark, sf))
-    return flatten.replace_documents(_elements(spark, sf), again).select(*_ROW)
+    again = _french_again(spark, sf)
+    new = flatten.flatten_elements(again)
+    return flatten.replace_documents(_elements(spark, sf), new, documents=again).select(*_ROW)
 
 
 @query

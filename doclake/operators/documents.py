@@ -153,7 +153,7 @@ def document_detail(
         by_file.join(page_rows, "file_name", "left").join(logged, "file_name", "left")
     ).select(*_DOCUMENT, "total_elements", "total_pages", "status", "parsed_at", "element_types")
 
-    known = by_file.select("file_name")
+    known = elements.select("file_name").distinct()
     on_page = (
         elements.groupBy("file_name", F.col("page_id").alias("page_number"))
         .agg(F.count(F.lit(1)).alias("element_count"))

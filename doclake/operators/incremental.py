@@ -36,18 +36,13 @@ def not_yet_parsed(
 def one_per_content(to_process: DataFrame) -> DataFrame:
     """Of several new documents with the same content, keep the one with the least path.
 
-    The empty hash stands for unreadable files, which are all kept. A semi join on the path, so
-    copies of one content never gather in a task.
+    The empty hash stands for unreadable files, which are all kept. The kept path of each content is
+    a partial aggregate, and joined by path, so copies of one content never gather in a task.
     """
-    keepers = (
-        to_process.filter(F.col("content_hash") != "")
-        .groupBy("content_hash")
-        .agg(F.min("staging_path").alias("staging_path"))
-        .select("staging_path")
-    )
-    unreadable = to_process.filter(F.col("content_hash") == "")
-    readable = to_process.filter(F.col("content_hash") != "")
-    return readable.join(keepers, "staging_path", "left_semi").select(*to_process.columns).unionByName(unreadable)
+    first = to_process.groupBy("content_hash").agg(F.min("staging_path").alias("staging_path"))
+    keepers = first.select("staging_path", F.lit(True).alias("_keep"))
+    kept = to_process.join(keepers, "staging_path", "left").filter(F.col("_keep") | (F.col("content_hash") == ""))
+    return kept.select(*to_process.columns)
 
 
 def ingest_summary(registry: DataFrame, to_process: DataFrame, run_id: str | None = None) -> DataFrame:

@@ -11,6 +11,7 @@ import logging
 import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
@@ -41,7 +42,8 @@ class PipelineParams:
     """What a run needs: where the tables are, what to list, and how to parse.
 
     Each source is a mapping as :func:`doclake.sources.read_source` takes it, with a ``name``. Give a
-    ``fetch`` to sources whose listed paths cannot be opened as files.
+    ``fetch`` to sources whose listed paths cannot be opened as files. The batch size is the unit of
+    retry: large corpora want batches of many thousand documents, some of them in parallel.
     """
 
     root: str
@@ -57,6 +59,7 @@ class PipelineParams:
     staging_base: str | None = None
     on_error: str = "raise"
     bytes_per_task: int = 256 * 1024 * 1024
+    parallel_batches: int = 1
 
     def __post_init__(self) -> None:
         if self.max_retries < 1:
@@ -200,36 +203,46 @@ def read_log(spark: SparkSession, root: str) -> DataFrame:
     return fold_log(tables.read_table(spark, root, "processing_log"))
 
 
+# Batch, attempt number, outcome, milliseconds, error.
+Attempt = tuple[int, int, str, int, str | None]
+
+
 def run_batches(
     batches: Sequence[int],
     write_batch: Callable[[int], None],
     max_retries: int = 3,
     delay_seconds: float = 10.0,
     sleep: Callable[[float], None] = time.sleep,
-) -> list[tuple[int, int, str, int, str | None]]:
+    parallel: int = 1,
+) -> list[Attempt]:
     """Run ``write_batch`` for each batch, in order, up to ``max_retries`` times each.
 
     The pause doubles from one attempt at a batch to the next; a batch whose attempts are used up is
-    left failed and the rest go on. Returns ``(batch, attempt, outcome, milliseconds, error)`` rows.
+    left failed and the rest go on. With ``parallel`` above 1 that many batches are under way at a
+    time, each a Spark job of its own, so the end of one does not leave the cluster idle.
     """
-    if max_retries < 1:
-        raise ValueError("max_retries must be at least 1")
-    attempts = []
-    for batch in batches:
+    if max_retries < 1 or parallel < 1:
+        raise ValueError("max_retries and parallel must be at least 1")
+
+    def run(batch: int) -> list[Attempt]:
+        attempts: list[Attempt] = []
         for attempt in range(1, max_retries + 1):
             started = time.monotonic()
             try:
                 write_batch(batch)
                 error = None
             except Exception as failure:
-                error = str(failure)[:ERROR_LENGTH]
+                error = str(failure)[:ERROR_LENGTH] or type(failure).__name__
             took = int((time.monotonic() - started) * 1000)
             attempts.append((batch, attempt, "failed" if error else "completed", took, error))
             if not error:
                 break
             if attempt < max_retries:
                 sleep(delay_seconds * 2 ** (attempt - 1))
-    return attempts
+        return attempts
+
+    with ThreadPoolExecutor(parallel) as pool:
+        return [attempt for attempts in pool.map(run, batches) for attempt in attempts]
 
 
 def parse(spark: SparkSession, params: PipelineParams, run_id: str) -> DataFrame:
@@ -252,7 +265,9 @@ def parse(spark: SparkSession, params: PipelineParams, run_id: str) -> DataFrame
         parsed = parse_documents(raw.filter(F.col("batch_id") == batch), params.extractor, options)
         tables.append(parsed, params.root, "parsed_documents", ["pipeline_run_id", "batch_id"])
 
-    done = run_batches(sorted(sizes), write_batch, params.max_retries, params.retry_delay_seconds)
+    done = run_batches(
+        sorted(sizes), write_batch, params.max_retries, params.retry_delay_seconds, parallel=params.parallel_batches
+    )
     rows = [(run_id, batch, attempt, outcome, sizes[batch], took, error) for batch, attempt, outcome, took, error in done]
     attempts = spark.createDataFrame(rows, schemas.BATCH_ATTEMPTS)
     tables.append(attempts, params.root, "batch_attempts")
@@ -260,9 +275,8 @@ def parse(spark: SparkSession, params: PipelineParams, run_id: str) -> DataFrame
         F.max(F.struct("attempt_number", "outcome", "duration_ms", "error_message")).alias("last")
     )
     ok = F.col("last.outcome") == "completed"
-    # One row per batch of the run, counted above.
     finished = log_events(
-        documents.join(F.broadcast(last), "batch_id"),
+        documents.join(last, "batch_id"),
         FINISHED,
         status=F.col("last.outcome"),
         attempt_number=F.col("last.attempt_number"),

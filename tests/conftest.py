@@ -12,11 +12,12 @@ from doclake.session import configured  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = configured(
         SparkSession.builder.master("local[4]")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
     ).getOrCreate()

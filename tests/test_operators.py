@@ -214,3 +214,33 @@ def test_tables(spark, tmp_path):
         tables.table_path(root, "other")
     with pytest.raises(ValueError):
         tables.replace_run(pages, root, "document_pages", "a/b", [])
+
+
+def test_catalog_tables(spark):
+    for name in schemas.TABLES:
+        assert tables.ensure_table(spark, name, "lake_test") == f"lake_test.{name}"
+        assert tables.ensure_table(spark, name, "lake_test") == f"lake_test.{name}"
+        assert spark.table(f"lake_test.{name}").schema.names == schemas.TABLES[name].names
+
+
+def test_clustered_files_have_narrow_ranges(spark, tmp_path):
+    """Each file covers few values, and a value most rows have is cut over several files."""
+    rows_ = spark.range(0, 4000, 1, 4).select(
+        F.when(F.col("id") % 4 == 0, F.concat(F.lit("s"), (F.col("id") % 7).cast("string"))).otherwise("hot").alias("source_name"), "id"
+    )
+    path = str(tmp_path / "clustered")
+    # So little data would be merged into one file.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tables.write_clustered(rows_, ["source_name"], path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = (
+        spark.read.parquet(path)
+        .groupBy(F.input_file_name().alias("file"))
+        .agg(F.min("source_name").alias("low"), F.max("source_name").alias("high"), F.count_if(F.col("source_name") == "hot").alias("hot"))
+        .collect()
+    )
+    spans = sorted((f["low"], f["high"]) for f in files)
+    assert len(files) == 4 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    assert sum(f["hot"] > 0 for f in files) >= 3

@@ -159,9 +159,14 @@ def test_batch_attempts_and_pauses():
     assert len(attempts[-1][-1]) == 1000
     with pytest.raises(ValueError):
         run_batches([1], write, 0)
+    several = run_batches(list(range(10, 30)), write, 2, 0, parallel=4)
+    assert [(b, a, o) for b, a, o, *_ in several] == [(b, 1, "completed") for b in range(10, 30)]
 
 
 def test_same_content_once(spark, corpus, tmp_path):
     write(corpus, "copy a.txt", "same")
     write(corpus, "copy b.txt", "same")
-    assert run_pipeline(spark, params(corpus, tmp_path, dedupe_content=True), "r1").to_process == 9
+    done = run_pipeline(spark, params(corpus, tmp_path, dedupe_content=True, parallel_batches=3), "r1")
+    assert (done.to_process, done.parsed, done.batches) == (9, 9, 3)
+    parsed = tables.read_table(spark, str(tmp_path / "lake"), "parsed_documents")
+    assert parsed.select("source_path").distinct().count() == parsed.count() == 9
