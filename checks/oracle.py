@@ -457,7 +457,7 @@ def all_sql() -> dict[str, str]:
             SELECT p.file_name, page_number, coalesce(n, 0) AS element_count FROM pages_ p
             LEFT JOIN (SELECT file_name, page_id, count(*) AS n FROM elements GROUP BY 1, 2) e
               ON p.file_name = e.file_name AND p.page_number = e.page_id
-            WHERE p.file_name IN (SELECT file_name FROM elements) ORDER BY 1, 2"""),
+            WHERE p.file_name IN (SELECT file_name FROM elements)"""),
         "qry3_page_headers": _with(["pages_", "dims", "log"], """
             SELECT file_name, page_number, image_uri, source_path, page_width, page_height
             FROM (SELECT file_name, page_number, max(image_uri) AS image_uri FROM pages_ GROUP BY 1, 2)
@@ -465,7 +465,7 @@ def all_sql() -> dict[str, str]:
             LEFT JOIN (SELECT file_name, max(source_path) AS source_path FROM log GROUP BY 1) USING (file_name)"""),
         "qry3_page_elements": _with(["elements"], """
             SELECT file_name, page_id, element_id, element_type, coalesce(content, '') AS content, ai_description, bbox_x1, bbox_y1,
-                   bbox_x2, bbox_y2, bounding_box_json FROM elements ORDER BY 1, 2, 3"""),
+                   bbox_x2, bbox_y2, bounding_box_json FROM elements"""),
         "prj12_defaults": _with(["elements"], """
             SELECT source_path, element_id, bbox_index, coalesce(content, '') AS content, bbox_x1, bbox_y2, bounding_box_json FROM elements
             UNION ALL SELECT source_path, element_id, NULL, coalesce(content, ''), 0, 0, '[]' FROM all_elements WHERE boxes = 0"""),

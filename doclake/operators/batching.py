@@ -18,9 +18,8 @@ def largest_first() -> list[Column]:
 
 
 def _ranked(df: DataFrame, order: Sequence[Column], name: str) -> tuple[DataFrame, int]:
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = durable(
-        df.repartitionByRange(tasks, *order)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_place", F.monotonically_increasing_id())
     )

@@ -131,9 +131,9 @@ class DocumentDetail(NamedTuple):
 def document_detail(
     elements: DataFrame, pages: DataFrame, log: DataFrame, file_name: str | None = None
 ) -> DocumentDetail:
-    """A file's type counts, box rows, pages, status and last completion; of every file without a name.
+    """A file's type counts, box rows, pages in order, status and last completion.
 
-    A file without elements is unknown and has no row.
+    Without a name, of every file, unordered. A file without elements is unknown and has no row.
     """
     if file_name is not None:
         elements, pages, log = (df.filter(F.col("file_name") == file_name) for df in (elements, pages, log))
@@ -166,7 +166,7 @@ def document_detail(
             "left",
         )
     )
-    return DocumentDetail(header, detail.orderBy("file_name", "page_number"))
+    return DocumentDetail(header, detail if file_name is None else detail.orderBy("page_number"))
 
 
 class PageDetail(NamedTuple):
@@ -184,9 +184,9 @@ def page_detail(
     file_name: str | None = None,
     page: int | None = None,
 ) -> PageDetail:
-    """A page's image, size and document path, and its elements in order; of every page without a name.
+    """A page's image, size and document path, and its elements in order.
 
-    An unknown page has no header row.
+    Without a name, of every file, unordered. An unknown page has no header row.
     """
     if file_name is not None:
         by_name = F.col("file_name") == file_name
@@ -202,7 +202,8 @@ def page_detail(
     header = join_reduced(sized, logged, "file_name", "left").select(
         "file_name", "page_number", "image_uri", "source_path", "page_width", "page_height"
     )
-    shown = elements.select(
+    shown = elements if file_name is None else elements.orderBy("page_id", "element_id")
+    shown = shown.select(
         "file_name",
         "page_id",
         "element_id",
@@ -215,7 +216,7 @@ def page_detail(
         "bbox_y2",
         "bounding_box_json",
     )
-    return PageDetail(with_defaults(header), with_defaults(shown).orderBy("file_name", "page_id", "element_id"))
+    return PageDetail(with_defaults(header), with_defaults(shown))
 
 
 def corpus_stats(elements: DataFrame, pages: DataFrame, log: DataFrame) -> DataFrame:

@@ -107,20 +107,17 @@ def flatten_pages(
     )
     if match == "document":
         hits = F.array_size(F.filter("errors", lambda e: e["page_id"] == F.col("page_number")))
-        pages = pages.withColumn("hits", F.coalesce(hits, F.lit(0)))
-        if not distinct_errors:
-            pages = pages.withColumn("_copy", F.explode_outer(F.sequence(F.lit(1), F.greatest("hits", F.lit(1)))))
-        flagged = pages.withColumn("page_has_error", F.col("hits") > 0)
+        pages = pages.withColumn("hits", hits)
     elif match == "path":
+        key = ["source_path", "pipeline_run_id", "page_number"]
         errors = flatten_errors(parsed, run_id, on_error).withColumnRenamed("page_id", "page_number")
-        if distinct_errors:
-            errors = errors.distinct()
-        errors = errors.withColumn("hit", F.lit(True))
-        flagged = pages.join(errors, ["source_path", "pipeline_run_id", "page_number"], "left").withColumn(
-            "page_has_error", F.coalesce("hit", F.lit(False))
-        )
+        pages = join_reduced(pages, errors.groupBy(*key).agg(F.count(F.lit(1)).alias("hits")), key, "left")
     else:
         raise ValueError("match must be 'document' or 'path'")
+    flagged = pages.withColumn("page_has_error", F.coalesce(F.col("hits") > 0, F.lit(False)))
+    if not distinct_errors:
+        copies = F.sequence(F.lit(1).cast("long"), F.greatest(F.lit(1), "hits").cast("long"))
+        flagged = flagged.select("*", F.explode_outer(copies).alias("_copy"))
     return flagged.select(*DOCUMENT_PAGES.names)
 
 

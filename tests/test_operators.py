@@ -177,6 +177,9 @@ def test_document_queries_on_edges(spark):
     assert documents.document_detail(elements, pages, log, "no'pe").header.count() == 0
     header = documents.document_detail(elements, pages, log, "f0.txt").header.first()
     assert (header["total_elements"], header["total_pages"]) == (2, 1)
+    many = elements.crossJoin(spark.range(5).withColumnRenamed("id", "k")).withColumn("element_id", (4 - F.col("k")).cast("int")).drop("k")
+    ordered = documents.page_detail(parsed, many, pages, log, "f0.txt", 0).elements.collect()
+    assert [r["element_id"] for r in ordered] == [0, 0, 1, 1, 2, 2, 3, 3, 4, 4]
     detail = documents.page_detail(parsed, elements, pages, log, "f0.txt", 0)
     assert tuple(detail.header.first())[2:] == ("", None, 10, 20)
     assert detail.elements.first()["content"] == ""
