@@ -130,17 +130,15 @@ _CTES = {
                CASE WHEN g <> 'img' THEN b END AS body
         FROM html""",
     "list_rows": """
-        SELECT e.file_name, e.source_name, e.source_path, count(DISTINCT element_id) AS total_elements,
-               coalesce(any_value(total_pages), 0) AS total_pages, coalesce(any_value(status), 'unknown') AS status,
-               CAST(min(e.parsed_at) AS VARCHAR) AS parsed_at, any_value(element_types) AS element_types,
-               any_value(latest) AS latest
-        FROM elements e
-        LEFT JOIN (SELECT file_name, count(DISTINCT page_number) AS total_pages FROM pages_ GROUP BY 1) p USING (file_name)
-        LEFT JOIN (SELECT file_name, max(status) AS status,
-                          arg_max(status, CAST(started_at AS VARCHAR) || pipeline_run_id || source_path) AS latest
-                   FROM log GROUP BY 1) l USING (file_name)
-        LEFT JOIN type_text t USING (file_name)
-        GROUP BY 1, 2, 3""",
+        SELECT file_name, source_name, source_path, total_elements, coalesce(page_numbers, 0) AS total_pages,
+               coalesce(last_status, 'unknown') AS status, first_parsed AS parsed_at, element_types, newest AS latest
+        FROM (SELECT file_name, source_name, source_path, count(DISTINCT element_id) AS total_elements,
+                     CAST(min(parsed_at) AS VARCHAR) AS first_parsed FROM elements GROUP BY ALL)
+        LEFT JOIN (SELECT file_name, count(DISTINCT page_number) AS page_numbers FROM pages_ GROUP BY ALL) USING (file_name)
+        LEFT JOIN (SELECT file_name, max(status) AS last_status,
+                          arg_max(status, CAST(started_at AS VARCHAR) || pipeline_run_id || source_path) AS newest
+                   FROM log GROUP BY ALL) USING (file_name)
+        LEFT JOIN type_text USING (file_name)""",
     "stats": """
         SELECT 'documents' AS metric, '' AS name, count(DISTINCT file_name) AS value FROM elements
         UNION ALL SELECT 'elements', '', count(*) FROM elements
@@ -313,10 +311,10 @@ def all_sql() -> dict[str, str]:
                    NULL::VARCHAR AS completed_at, pipeline_run_id FROM raw"""),
         # Incremental filter
         "jon1_not_yet_parsed_registry_hash": _with(["registry", "before"], """
-            SELECT document_id, staging_path, content_hash, pipeline_run_id FROM registry
-            WHERE sync_status = 'synced' AND content_hash NOT IN (
-              SELECT DISTINCT reg.content_hash FROM before pd JOIN registry reg ON pd.source_path = reg.staging_path
-              WHERE reg.content_hash IS NOT NULL)"""),
+            SELECT document_id, staging_path, content_hash, pipeline_run_id FROM registry r
+            WHERE sync_status = 'synced' AND NOT EXISTS (
+              SELECT 1 FROM registry known JOIN before ON before.source_path = known.staging_path
+              WHERE known.content_hash = r.content_hash)"""),
         "jon2_not_yet_parsed_parsed_hash": _with(["new_docs"], "SELECT document_id, staging_path, content_hash, pipeline_run_id FROM new_docs"),
         "jon2_one_per_content": _with(["new_docs"], "SELECT min(staging_path) AS staging_path, content_hash FROM new_docs GROUP BY content_hash"),
         "set2_distinct_hashes": _with(["registry"], "SELECT DISTINCT content_hash FROM registry WHERE content_hash IS NOT NULL"),
