@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from doclake.operators.layout import box, payload
+from doclake.operators.layout import bound, box, payload
 from doclake.schemas import LOG_EVENTS, PROCESSING_LOG
 
 LINES_PER_PAGE = 12
@@ -158,7 +158,6 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def layout(text: Column, doc_id: Column) -> Column:
     """A parse result with every shape a flatten step meets: no, one and two boxes, figures without
     content, several errors on a page."""
-    lines = F.split(text, "\n")
 
     def page_of(at: Column) -> Column:
         return F.floor(at / LINES_PER_PAGE).cast("int")
@@ -178,22 +177,19 @@ def layout(text: Column, doc_id: Column) -> Column:
             F.when(at % 13 == 12, no_box).when(at % 9 == 8, F.array(own, following)).otherwise(F.array(own)).alias("bbox"),
         )
 
-    elements = F.transform(lines, element)
-    pages = F.transform(
-        F.sequence(F.lit(0), page_of(F.size(lines) - 1)),
-        lambda p: F.struct(
-            p.alias("id"),
-            F.concat(F.lit("/img/"), doc_id.cast("string"), F.lit("/"), p.cast("string"), F.lit(".png")).alias("image_uri"),
-            F.lit(612).alias("width"),
-            F.lit(792).alias("height"),
-        ),
-    )
-    long_line = F.struct(F.lit(None).cast("int").alias("page_id"))
-    errors = F.filter(
-        F.transform(lines, lambda x, i: F.when(F.length(x) > LONG_LINE, F.struct(page_of(i).alias("page_id"))).otherwise(long_line)),
-        lambda e: e["page_id"].isNotNull(),
-    )
-    return payload(elements, pages, errors)
+    def page(p: Column) -> Column:
+        image = F.concat(F.lit("/img/"), doc_id.cast("string"), F.lit("/"), p.cast("string"), F.lit(".png"))
+        return F.struct(
+            p.alias("id"), image.alias("image_uri"), F.lit(612).alias("width"), F.lit(792).alias("height")
+        )
+
+    def document(lines: Column) -> Column:
+        long_lines = F.transform(lines, lambda x, i: F.when(F.length(x) > LONG_LINE, page_of(i)))
+        errors = F.transform(F.array_compact(long_lines), lambda p: F.struct(p.alias("page_id")))
+        pages = F.transform(F.sequence(F.lit(0), page_of(F.size(lines) - 1)), page)
+        return payload(F.transform(lines, element), pages, errors)
+
+    return bound(F.split(text, "\n"), document)
 
 
 def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:

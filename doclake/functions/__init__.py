@@ -2,7 +2,7 @@
 
 from doclake.functions.identity import content_hash, document_id, log_id, strip_scheme
 from doclake.functions.patterns import matches_pattern
-from doclake.functions.payload import has_parse_errors, payload_array, payload_items
+from doclake.functions.payload import has_parse_errors, payload_items, payload_size
 from doclake.functions.text import matches_search, mb, preview
 
 __all__ = [
@@ -13,8 +13,8 @@ __all__ = [
     "matches_pattern",
     "matches_search",
     "mb",
-    "payload_array",
     "payload_items",
+    "payload_size",
     "preview",
     "strip_scheme",
 ]

@@ -9,20 +9,24 @@ PAGES = "$.document.pages"
 ERRORS = "$.error_status"
 
 
-def payload_array(value: Column, path: str) -> Column:
-    """The array at ``path`` as ``array<variant>``; NULL where it is missing or not an array."""
-    return F.try_variant_get(value, path, "array<variant>")
+def payload_size(value: Column, path: str) -> Column:
+    """Length of the array at ``path``; NULL where it is missing or not an array.
+
+    Items are read as empty structs, so that none of their content is copied.
+    """
+    return F.array_size(F.try_variant_get(value, path, "array<struct<>>"))
 
 
 def payload_items(value: Column, path: str, item: str, on_error: str = "raise") -> Column:
-    """The array at ``path`` with its items cast to the type ``item``; NULL where there is no array.
+    """The array at ``path`` with its items cast to the type ``item``; NULL where there are none.
 
     One typed extraction costs about half of one per field. An item that does not fit raises; with
-    ``on_error="null"`` what does not fit becomes NULL.
+    ``on_error="null"`` what does not fit becomes NULL. What is not an array has no first item.
     """
     kind = f"array<{item}>"
     if on_error == "raise":
-        return F.when(payload_array(value, path).isNotNull(), F.variant_get(value, path, kind))
+        first = F.try_variant_get(value, f"{path}[0]", "variant")
+        return F.when(first.isNotNull(), F.variant_get(value, path, kind))
     if on_error == "null":
         return F.try_variant_get(value, path, kind)
     raise ValueError("on_error must be 'raise' or 'null'")
@@ -30,4 +34,4 @@ def payload_items(value: Column, path: str, item: str, on_error: str = "raise")
 
 def has_parse_errors(parsed_output: Column) -> Column:
     """True where the document lists at least one error."""
-    return F.coalesce(F.array_size(payload_array(parsed_output, ERRORS)) > 0, F.lit(False))
+    return F.coalesce(payload_size(parsed_output, ERRORS) > 0, F.lit(False))

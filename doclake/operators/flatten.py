@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from doclake.functions.payload import ELEMENTS, ERRORS, PAGES, has_parse_errors, payload_array, payload_items
+from doclake.functions.payload import ELEMENTS, ERRORS, PAGES, has_parse_errors, payload_items, payload_size
 from doclake.operators.joins import join_reduced
 from doclake.schemas import DOCUMENT_ELEMENTS, DOCUMENT_PAGES
 
@@ -126,8 +126,8 @@ def payload_sizes(parsed: DataFrame, run_id: str | None = None) -> DataFrame:
     return _of_run(parsed, run_id).select(
         "source_path",
         "pipeline_run_id",
-        F.array_size(payload_array(F.col("parsed_output"), ELEMENTS)).alias("elements_extracted"),
-        F.array_size(payload_array(F.col("parsed_output"), PAGES)).alias("pages_parsed"),
+        payload_size(F.col("parsed_output"), ELEMENTS).alias("elements_extracted"),
+        payload_size(F.col("parsed_output"), PAGES).alias("pages_parsed"),
     )
 
 

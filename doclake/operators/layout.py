@@ -66,10 +66,10 @@ def layout_from_text(text: Column, lines_per_page: int = 12) -> Column:
         last_page = F.floor((F.size(lines) - 1) / lines_per_page)
         return payload(F.transform(lines, element), _pages(last_page), no_errors())
 
-    return _bound(F.split(text, "\n"), document)
+    return bound(F.split(text, "\n"), document)
 
 
-def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with ``value`` computed once, however often ``use`` mentions it."""
     return F.element_at(F.transform(F.array(value), use), 1)
 
@@ -120,4 +120,4 @@ def layout_from_html(html: Column, parts_per_page: int = 12) -> Column:
         last_page = F.floor(F.greatest(F.size(parts) - 1, F.lit(0)) / parts_per_page)
         return payload(F.transform(parts, element), _pages(last_page), no_errors())
 
-    return _bound(html_parts(html), document)
+    return bound(html_parts(html), document)
