@@ -66,17 +66,22 @@ def append(df: DataFrame, root: str, name: str, by: Sequence[str] = ("pipeline_r
     )
 
 
-def replace_run(df: DataFrame, root: str, name: str, run_id: str, by: Sequence[str]) -> None:
-    """Write all rows of a run, replacing whatever an earlier attempt of the run left in the table."""
+def checked_run_id(run_id: str) -> str:
+    """``run_id`` if it can name a folder as it is."""
     if not re.fullmatch(r"[\w.-]+", run_id):
         raise ValueError("a run id may hold letters, digits, dots, hyphens and underscores only")
+    return run_id
+
+
+def replace_run(df: DataFrame, root: str, name: str, run_id: str, by: Sequence[str]) -> None:
+    """Write all rows of a run, replacing whatever an earlier attempt of the run left in the table."""
     columns = [c for c in TABLES[name].names if c != "pipeline_run_id"]
     (
         df.select(*columns)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy(*by)
-        .parquet(f"{table_path(root, name)}/pipeline_run_id={run_id}")
+        .parquet(f"{table_path(root, name)}/pipeline_run_id={checked_run_id(run_id)}")
     )
 
 

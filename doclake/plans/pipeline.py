@@ -13,8 +13,9 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from datetime import datetime, timedelta, timezone
 from functools import reduce
-from typing import Any
+from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -203,8 +204,19 @@ def read_log(spark: SparkSession, root: str) -> DataFrame:
     return fold_log(tables.read_table(spark, root, "processing_log"))
 
 
-# Batch, attempt number, outcome, milliseconds, error.
-Attempt = tuple[int, int, str, int, str | None]
+class Attempt(NamedTuple):
+    """One attempt at a batch."""
+
+    batch_id: int
+    attempt_number: int
+    outcome: str
+    started_at: datetime
+    completed_at: datetime
+    error_message: str | None
+
+    @property
+    def duration_ms(self) -> int:
+        return (self.completed_at - self.started_at) // timedelta(milliseconds=1)
 
 
 def run_batches(
@@ -227,14 +239,14 @@ def run_batches(
     def run(batch: int) -> list[Attempt]:
         attempts: list[Attempt] = []
         for attempt in range(1, max_retries + 1):
-            started = time.monotonic()
+            started = datetime.now(timezone.utc)
             try:
                 write_batch(batch)
                 error = None
             except Exception as failure:
                 error = str(failure)[:ERROR_LENGTH] or type(failure).__name__
-            took = int((time.monotonic() - started) * 1000)
-            attempts.append((batch, attempt, "failed" if error else "completed", took, error))
+            ended = datetime.now(timezone.utc)
+            attempts.append(Attempt(batch, attempt, "failed" if error else "completed", started, ended, error))
             if not error:
                 break
             if attempt < max_retries:
@@ -268,11 +280,15 @@ def parse(spark: SparkSession, params: PipelineParams, run_id: str) -> DataFrame
     done = run_batches(
         sorted(sizes), write_batch, params.max_retries, params.retry_delay_seconds, parallel=params.parallel_batches
     )
-    rows = [(run_id, batch, attempt, outcome, sizes[batch], took, error) for batch, attempt, outcome, took, error in done]
+    rows = [
+        (run_id, a.batch_id, a.attempt_number, a.outcome, sizes[a.batch_id], a.duration_ms, a.error_message, a.started_at, a.completed_at)
+        for a in done
+    ]
     attempts = spark.createDataFrame(rows, schemas.BATCH_ATTEMPTS)
     tables.append(attempts, params.root, "batch_attempts")
     last = attempts.groupBy("batch_id").agg(
-        F.max(F.struct("attempt_number", "outcome", "duration_ms", "error_message")).alias("last")
+        F.max(F.struct("attempt_number", "outcome", "duration_ms", "error_message", "completed_at")).alias("last"),
+        F.min("started_at").alias("first_started"),
     )
     ok = F.col("last.outcome") == "completed"
     finished = log_events(
@@ -282,7 +298,8 @@ def parse(spark: SparkSession, params: PipelineParams, run_id: str) -> DataFrame
         attempt_number=F.col("last.attempt_number"),
         error_message=F.when(~ok, F.col("last.error_message")),
         parse_duration_ms=F.when(ok, F.col("last.duration_ms")),
-        completed_at=F.current_timestamp(),
+        started_at=F.col("first_started"),
+        completed_at=F.col("last.completed_at"),
     )
     _append_events(finished, params.root, "finished")
     return attempts
@@ -327,7 +344,7 @@ def read_current(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 def run_pipeline(spark: SparkSession, params: PipelineParams, run_id: str | None = None) -> RunSummary:
     """Sync, ingest, parse and flatten; stages with nothing to do are skipped."""
-    summary = RunSummary(run_id or str(uuid.uuid4()))
+    summary = RunSummary(tables.checked_run_id(run_id or str(uuid.uuid4())))
     run = summary.run_id
     total = sync(spark, params, run).filter(F.col("source_name").isNull()).first()
     if total is not None:

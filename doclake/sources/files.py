@@ -224,8 +224,8 @@ def load_raw(
     """Rows of ``raw_documents``: the chosen files with their bytes.
 
     ``to_process`` is metadata only, so nothing heavier than a path is shuffled: ``source_path`` as
-    recorded, ``original_path`` to read. The recorded size stays that of the registry. A file that has become unreadable fails the job, or is left out with
-    ``on_unreadable="skip"``. Empty files are kept.
+    recorded, ``original_path`` to read. The recorded size stays that of the registry. A file that has
+    become unreadable fails the job, or is left out with ``on_unreadable="skip"``. Empty files are kept.
     """
     if on_unreadable not in ("fail", "skip"):
         raise ValueError("on_unreadable must be 'fail' or 'skip'")

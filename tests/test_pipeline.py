@@ -52,6 +52,7 @@ def test_run_rerun_and_increment(spark, corpus, tmp_path):
     assert first.elements == elements.count() == sum(3 + i for i in range(7)) + 1
     log = read_log(spark, p.root)
     assert rows(log.select("status", "attempt_number").distinct()) == [("completed", 1)]
+    assert log.filter("started_at <= completed_at and parse_duration_ms >= 0").count() == 8
     counted = {r["source_path"]: r["elements_extracted"] for r in log.collect()}
     assert counted[f"{corpus}/deep/0/doc 4.TXT"] == 7
     registry = tables.read_snapshot(spark, p.root, "document_registry")
@@ -156,7 +157,8 @@ def test_batch_attempts_and_pauses():
         (3, 3, "failed"),
     ]
     assert waits == [10, 20, 10, 20]
-    assert len(attempts[-1][-1]) == 1000
+    assert len(attempts[-1].error_message) == 1000 and attempts[0].error_message is None
+    assert all(a.duration_ms >= 0 and a.started_at <= a.completed_at for a in attempts)
     with pytest.raises(ValueError):
         run_batches([1], write, 0)
     several = run_batches(list(range(10, 30)), write, 2, 0, parallel=4)
