@@ -6,7 +6,9 @@ import re
 
 from pyspark.sql import Column, functions as F
 
-_TOKEN = re.compile(r"\[!?\]?[^\]]*\]|.", re.DOTALL)
+# A character set, whose first member may be a closing bracket, or any one character.
+_TOKEN = re.compile(r"\[!?+\]?+[^\]]*\]|.", re.DOTALL)
+_RANGE = re.compile(r"(.)-(.)", re.DOTALL)
 
 
 def _regex_of(token: str) -> str:
@@ -17,6 +19,10 @@ def _regex_of(token: str) -> str:
     if len(token) > 1:
         negated = token.startswith("[!")
         members = token[2 if negated else 1 : -1]
+        # A range that runs backwards holds nothing.
+        members = _RANGE.sub(lambda r: r[0] if r[1] <= r[2] else "", members)
+        if not members:
+            return "." if negated else "(?!)"
         return ("[^" if negated else "[") + re.sub(r"([\\\[\]^&])", r"\\\1", members) + "]"
     return re.sub(r"([^\w\s])", r"\\\1", token)
 

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import fnmatch
 import hashlib
+from random import Random
 
 import pytest
 from pyspark.sql import functions as F
@@ -42,6 +44,20 @@ def test_patterns(spark, pattern):
     assert got == cases
 
 
+def test_patterns_agree_with_shell_globs(spark):
+    """Random patterns and names, against the standard library."""
+    random = Random(7)
+    patterns = sorted({"".join(random.choices("aab.*?[]!-^c", k=random.randint(1, 7))) for _ in range(250)})
+    names = sorted({"".join(random.choices("aAb.]^-c[!", k=random.randint(0, 5))) for _ in range(400)})
+    df = spark.createDataFrame([(n,) for n in names], "name string").coalesce(1)
+    for start in range(0, len(patterns), 50):
+        some = patterns[start : start + 50]
+        hits = df.select("name", *[matches_pattern(F.col("name"), p).alias(f"p{i}") for i, p in enumerate(some)])
+        for row in hits.collect():
+            for i, pattern in enumerate(some):
+                assert row[i + 1] == fnmatch.fnmatchcase(row["name"].lower(), pattern), (pattern, row["name"])
+
+
 def test_roots():
     assert resolve_roots(["/a/", "b"], "/c/", strip="/") == ["a", "b", "c"]
     assert resolve_roots(None, "/", [""], strip="/") == [""]
