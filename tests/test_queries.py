@@ -8,10 +8,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from checks.oracle import all_sql
+from checks.queries import all_queries
 from tools.compare import TABLES, canonical
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = all_queries(), all_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables not found")
 
