@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from doclake.llm import token_files
+from doclake.llm import token_counts, token_files
 from doclake.llm.common import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Tokens of every document by the word-level vocabulary, counted per distinct pre-token."""
+    return token_counts.count_tokens(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query
 def op9_token_files(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as byte-level ids with end id 0, written to ordered Parquet files and read back from them."""

@@ -61,6 +61,7 @@ class Encoder:
         self.model = self.tokenizer.model
         self.pieces: dict[str, bytes] = {"": b""}
         self.plain: dict[str, bytes] = {}
+        self.parts: dict[str, list[str]] = {}
 
     def library(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -97,18 +98,39 @@ class Encoder:
         self.pieces.update(x for x in found.items() if len(x[0]) <= _LONGEST_KEPT)
         return found
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids one after another, and how many each text has. Null counts as empty."""
+    def cut(self, texts: pa.Array) -> tuple[pa.ListArray, np.ndarray]:
+        """Pieces of each text, and the places of texts left without because only the library may cut them."""
         texts = texts.fill_null("")
-        if self.kind is None:
-            return _joined(self.library(texts.to_pylist()), self.dtype)
         odd = pc.match_substring_regex(texts, self.whole)
         whole = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
-        cut = pc.if_else(odd, "", texts) if len(whole) else texts
+        if len(whole):
+            texts = pc.if_else(odd, "", texts)
         if self.kind == "white":
-            lists = pc.utf8_split_whitespace(cut)
-        else:
-            lists = pc.split_pattern(pc.replace_substring(cut, " ", "\0 "), "\0")
+            return pc.utf8_split_whitespace(texts), whole
+        return pc.split_pattern(pc.replace_substring(texts, " ", "\0 "), "\0"), whole
+
+    def pre_tokens(self, piece: str) -> list[str]:
+        """The tokenizer's pre-tokens of a piece, in the signs of its vocabulary."""
+        found = self.parts.get(piece)
+        if found is None:
+            if _PLAIN.fullmatch(piece):
+                plain = _PLAIN_WORD.findall(piece.lower()) if self.kind == "white" else _PLAIN_BYTE.findall(piece)
+                found = [p.encode().decode("latin-1").translate(_SIGNS) for p in plain]
+            else:
+                norm = self.tokenizer.normalizer
+                text = norm.normalize_str(piece) if norm else piece
+                found = [p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
+            if len(self.parts) > MOST_PIECES:
+                self.parts = {}
+            if len(piece) <= _LONGEST_KEPT:
+                self.parts[piece] = found
+        return found
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after another, and how many each text has. Null counts as empty."""
+        if self.kind is None:
+            return _joined(self.library(texts.fill_null("").to_pylist()), self.dtype)
+        lists, whole = self.cut(texts)
         coded = lists.flatten().dictionary_encode()
         distinct = coded.dictionary.to_pylist()
         known = self.pieces.get
@@ -126,7 +148,7 @@ class Encoder:
         if not len(whole):
             return out, counts
         parts = np.split(out, np.cumsum(counts)[:-1])
-        for i, got in zip(whole, self.library([texts[int(i)].as_py() for i in whole]), strict=True):
+        for i, got in zip(whole, self.library(texts.take(whole).to_pylist()), strict=True):
             parts[i] = got
         return _joined(parts, self.dtype)
 
