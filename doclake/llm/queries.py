@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from doclake.llm import token_counts, token_files
+from doclake.llm import minmax_dedup, sql, token_counts, token_files
 from doclake.llm.common import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,7 +24,7 @@ def all_queries() -> dict[str, Query]:
 
 
 def all_sql() -> dict[str, str]:
-    return {}
+    return sql.all_sql()
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -37,6 +37,12 @@ def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op6_minmax_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    """Near-duplicate components of whole documents: three-word shingles, similarity of 85 percent."""
+    return minmax_dedup.near_duplicates(table(spark, sf, "documents"), words=3, percent=85)
+
+
 @query
 def op9_token_files(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as byte-level ids with end id 0, written to ordered Parquet files and read back from them."""

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MOST_PIECES = 800_000
+MOST_PIECES = 600_000
 _LONGEST_KEPT = 64
 
 # What the two kinds of tokenizer file say of their pre-tokens.
