@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from doclake.llm import minmax_dedup, sql, token_counts, token_files
+from doclake.llm import decontaminate, minmax_dedup, sql, token_counts, token_files
 from doclake.llm.common import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,20 @@ def op6_minmax_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return minmax_dedup.near_duplicates(table(spark, sf, "documents"), words=3, percent=85)
 
 
+@query
+def op8_benchmark_phrases(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents that hold passages of 13 words of a benchmark item, through a positional index."""
+    found = decontaminate.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"), window=13, percent=5)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 @query
 def op9_token_files(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as byte-level ids with end id 0, written to ordered Parquet files and read back from them."""

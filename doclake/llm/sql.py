@@ -40,3 +40,33 @@ SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, r.component_id, d.doc_id = r.co
 FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
 JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) r ON r.doc_id = d.doc_id
 """
+
+_WORDS = "list_filter(string_split_regex({}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '')"
+
+_SQL["op8_benchmark_phrases"] = f"""
+WITH docs AS (
+    SELECT doc_id, {_WORDS.format(_LOWER.format("coalesce(text, '')"))} AS w FROM documents
+), items AS (
+    SELECT item_id, {_WORDS.format(_LOWER.format("coalesce(text, '')"))} AS w FROM benchmark
+), windows AS (
+    SELECT DISTINCT item_id, least(len(w), 13) AS k, unnest(list_transform(range(1, greatest(len(w) - 12, 1) + 1),
+        lambda i: array_to_string(w[i:i + least(len(w), 13) - 1], ' '))) AS phrase
+    FROM items WHERE len(w) > 0
+), sizes AS (
+    SELECT DISTINCT k FROM windows
+), spans AS (
+    SELECT doc_id, k, unnest(range(1, len(w) - k + 2)) AS i, w FROM docs, sizes WHERE len(w) >= k
+), phrases AS (
+    SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM spans
+), found AS (
+    SELECT p.doc_id, p.k, p.i, x.item_id FROM phrases p JOIN windows x ON x.phrase = p.phrase AND x.k = p.k
+), hit AS (
+    SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + k)) AS place FROM found) GROUP BY doc_id
+), named AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(n.n_items, 0) AS n_items,
+    sha256(coalesce(n.items, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AND 20 * coalesce(h.n_hit, 0) >= len(d.w) AS contaminated
+FROM docs d LEFT JOIN hit h ON h.doc_id = d.doc_id LEFT JOIN named n ON n.doc_id = d.doc_id
+"""
