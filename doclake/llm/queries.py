@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from doclake.llm import decontaminate, minmax_dedup, sql, token_counts, token_files
+from doclake.llm import decontaminate, minmax_dedup, packing, quality, sql, token_counts, token_files
 from doclake.llm.common import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,15 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op1_quality_ranking(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality of every document by a pairwise ranking learnt from labels outside the held-out third."""
+    docs = table(spark, sf, "documents")
+    ranker = quality.train(docs, table(spark, sf, "labels"))
+    scored = quality.score_quality(docs.select("doc_id", "text"), ranker)
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 @query
 def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Tokens of every document by the word-level vocabulary, counted per distinct pre-token."""
@@ -43,6 +52,12 @@ def op6_minmax_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return minmax_dedup.near_duplicates(table(spark, sf, "documents"), words=3, percent=85)
 
 
+@query
+def op7_genetic_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document as pieces of at most 4096 tokens, packed into sequences."""
+    return packing.pack_documents(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), 4096, end_id=1)
+
+
 @query
 def op8_benchmark_phrases(spark: SparkSession, sf: str) -> DataFrame:
     """Documents that hold passages of 13 words of a benchmark item, through a positional index."""
@@ -57,6 +72,14 @@ def op8_benchmark_phrases(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    """The stages of ``corpus_pipeline`` over the documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf)
+
+
 @query
 def op9_token_files(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as byte-level ids with end id 0, written to ordered Parquet files and read back from them."""
