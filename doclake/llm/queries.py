@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from doclake.llm import decontaminate, minmax_dedup, packing, quality, sql, token_counts, token_files
+from doclake.llm import decontaminate, fingerprints, minmax_dedup, packing, quality, sql, token_counts, token_files
 from doclake.llm.common import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,12 @@ def op1_quality_ranking(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+@query
+def op2_one_permutation_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    """Fingerprints of every document, of its edited text, and how near they and the next document's are."""
+    return fingerprints.compare_with_next(table(spark, sf, "documents"))
+
+
 @query
 def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Tokens of every document by the word-level vocabulary, counted per distinct pre-token."""

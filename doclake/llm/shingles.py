@@ -33,13 +33,19 @@ def word_hashes(texts: pa.Array) -> Iterator[np.ndarray]:
         yield flat[:0] if empty[i] else flat[at[i] : at[i + 1]]
 
 
-def shingle_set(words: np.ndarray, size: int) -> np.ndarray:
-    """Sorted distinct hashes of the ``size`` words from each place; of the whole sequence if it is shorter."""
+def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of the ``size`` words from each place; of the whole sequence if it is shorter."""
     n = len(words)
     if not n:
         return words
     size = min(size, n)
-    found = np.full(n - size + 1, np.uint64(size))
+    found, factor = np.full(n - size + 1, np.uint64(size)), np.uint64(1)
     for i in range(size):
-        found = mix(found * _ODD + words[i : n - size + 1 + i])
-    return np.unique(found)
+        found += words[i : n - size + 1 + i] * factor
+        factor = np.uint64(int(factor) * int(_ODD) % (1 << 64))
+    return mix(found)
+
+
+def shingle_set(words: np.ndarray, size: int) -> np.ndarray:
+    """The distinct ones of :func:`shingle_hashes`, sorted."""
+    return np.unique(shingle_hashes(words, size))
