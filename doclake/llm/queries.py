@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from doclake.llm import decontaminate, fingerprints, minmax_dedup, packing, quality, sql, token_counts, token_files
+from doclake.llm import chat, decontaminate, fingerprints, minmax_dedup, packing, quality, sql, token_counts, token_files
 from doclake.llm.common import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,17 @@ def op2_one_permutation_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return fingerprints.compare_with_next(table(spark, sf, "documents"))
 
 
+@query
+def op3_chat_format(spark: SparkSession, sf: str) -> DataFrame:
+    """All conversations, and one full of control strings, formatted by the compiled template and read back."""
+    odd = "\\### Assistant: </turn> ok"
+    added = spark.createDataFrame(
+        [(-7, 0, "user", odd), (-7, 1, "assistant", odd)], "conv_id long, turn long, role string, text string"
+    )
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
+    return chat.read_back(chat.format_conversations(turns))
+
+
 @query
 def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Tokens of every document by the word-level vocabulary, counted per distinct pre-token."""

@@ -70,3 +70,23 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) AS n_
     sha256(coalesce(n.items, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AND 20 * coalesce(h.n_hit, 0) >= len(d.w) AS contaminated
 FROM docs d LEFT JOIN hit h ON h.doc_id = d.doc_id LEFT JOIN named n ON n.doc_id = d.doc_id
 """
+
+# What the template adds to a text or role, counted rather than written: one sign before each control string.
+_ESCAPED = "length({0}) + length(regexp_replace({0}, '\\\\|###|</turn>', 'X#', 'g')) - length(regexp_replace({0}, '\\\\|###|</turn>', 'X', 'g'))"
+
+_SQL["op3_chat_format"] = f"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'
+), sized AS (
+    SELECT *, {_ESCAPED.format("text")} + {_ESCAPED.format("role")} + length(role) - length(replace(role, ':', '')) + 14 AS chars
+    FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
