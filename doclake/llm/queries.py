@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from doclake.llm import chat, decontaminate, fingerprints, minmax_dedup, packing, quality, sql, token_counts, token_files
+from doclake.llm import chat, decontaminate, fingerprints, html_labeller, minmax_dedup, packing, quality, sql, token_counts, token_files
 from doclake.llm.common import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,3 +105,10 @@ def op9_token_files(spark: SparkSession, sf: str) -> DataFrame:
     token_files.write_token_files(docs, folder, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
     found = token_files.id_checksums(token_files.read_token_files(spark, folder))
     return found.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query
+def op10_html_main_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Main text of every page, its blocks labelled by the recurrent network trained on a sample of the pages."""
+    pages = table(spark, sf, "pages")
+    return html_labeller.extract(pages, html_labeller.train(pages))
