@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from doclake.llm import chat, decontaminate, fingerprints, html_labeller, minmax_dedup, packing, quality, sql, token_counts, token_files
+from doclake.llm import chat, decontaminate, fingerprints, html_labeller, licenses, minmax_dedup, packing, quality, sql, token_counts, token_files
 from doclake.llm.common import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,13 @@ def op3_chat_format(spark: SparkSession, sf: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(turns))
 
 
+@query
+def op4_license_paragraphs(spark: SparkSession, sf: str) -> DataFrame:
+    """Licence families of every document's paragraphs, classified and confirmed by templates."""
+    docs = table(spark, sf, "documents")
+    return licenses.license_documents(docs, licenses.train(docs))
+
+
 @query
 def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Tokens of every document by the word-level vocabulary, counted per distinct pre-token."""
