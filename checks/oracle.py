@@ -89,7 +89,9 @@ _CTES = {
         FROM files WHERE quality IS NOT NULL""",
     "new_docs": """
         SELECT * FROM registry r WHERE sync_status = 'synced'
-        AND NOT EXISTS (SELECT 1 FROM before b WHERE b.content_hash = r.content_hash)""",
+        AND CASE WHEN EXISTS (SELECT 1 FROM before b WHERE b.source_path = r.staging_path)
+            THEN NOT EXISTS (SELECT 1 FROM before b WHERE b.source_path = r.staging_path AND b.content_hash = r.content_hash)
+            ELSE NOT EXISTS (SELECT 1 FROM before b WHERE b.content_hash = r.content_hash) END""",
     "blobs": """
         SELECT source || '/' || lang || '/' || doc_id || '.' || ['pdf', 'PDF', 'docx', 'txt'][(doc_id % 4 + 1)::INT] AS name,
                CASE WHEN n_chars < 50 THEN 0 ELSE n_chars END AS size

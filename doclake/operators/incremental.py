@@ -13,8 +13,10 @@ def not_yet_parsed(
 ) -> DataFrame:
     """Synced documents of the run whose content has not been parsed.
 
-    ``parsed_hash`` compares with the hash each document had when it was parsed, so a file edited in
-    place comes up again; the empty hash of an unreadable file equals nothing. ``registry_hash``
+    ``parsed_hash`` compares a document parsed before with the hash it had at its latest parse, so a file
+    edited in place comes up again, and once more when it is put back; a document never parsed is new
+    unless its content was parsed under another path. The empty hash of an unreadable file equals
+    nothing. ``registry_hash``
     compares with the hash the registry holds now for the parsed paths, so such a file is skipped.
 
     An anti join on equality, not NOT IN: the latter would have to broadcast every known hash. The
@@ -26,11 +28,22 @@ def not_yet_parsed(
         paths = parsed.select(F.col("source_path").alias("staging_path"))
         known = registry.join(paths, "staging_path", "left_semi").select("content_hash")
     elif mode == "parsed_hash":
+        when = [c for c in ("parsed_at", "pipeline_run_id") if c in parsed.columns]
+        latest = parsed.groupBy(F.col("source_path").alias("staging_path")).agg(
+            F.max(F.struct(*when, "content_hash")).alias("latest")
+        )
+        candidates = join_reduced(candidates, latest, "staging_path", "left")
         known = parsed.select("content_hash").filter(F.col("content_hash") != "")
     else:
         raise ValueError("mode must be 'parsed_hash' or 'registry_hash'")
     known = known.filter(F.col("content_hash").isNotNull()).distinct()
-    return join_reduced(candidates, known, "content_hash", "left_anti").select(*registry.columns)
+    if mode == "registry_hash":
+        return join_reduced(candidates, known, "content_hash", "left_anti").select(*registry.columns)
+    marked = join_reduced(candidates, known.withColumn("known", F.lit(True)), "content_hash", "left")
+    readable = F.coalesce(F.col("content_hash") != "", F.lit(False))
+    as_before = readable & F.col("content_hash").eqNullSafe(F.col("latest.content_hash"))
+    seen = F.when(F.col("latest").isNotNull(), as_before).otherwise(F.coalesce("known", F.lit(False)))
+    return marked.filter(~seen).select(*registry.columns)
 
 
 def one_per_content(to_process: DataFrame) -> DataFrame:

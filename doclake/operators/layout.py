@@ -14,9 +14,12 @@ from pyspark.sql import Column, functions as F
 LEFT, TOP, LINE_STEP, LINE_HEIGHT, MAX_LINE_WIDTH = 50, 40, 60, 40, 500
 PAGE_WIDTH, PAGE_HEIGHT = 612, 792
 
-# Fixed value: the HTML parts that become elements. No backreference, so an element ends at the first
-# closing tag of any of them.
-HTML_PARTS = r"(?s)<(?:title|h1|p|li|footer|table)(?:\s[^>]*)?>.*?</(?:title|h1|p|li|footer|table)>|<img(?:\s[^>]*)?>"
+# The HTML parts that become elements, in any case of letters. A table is taken whole, up to its own end, so what it
+# holds does not become elements; there is no backreference, so any other part ends at the first closing tag of any kind.
+HTML_PARTS = (
+    r"(?is)<table(?:\s[^>]*)?>.*?</table>"
+    r"|<(?:title|h1|p|li|footer)(?:\s[^>]*)?>.*?</(?:title|h1|p|li|footer|table)>|<img(?:\s[^>]*)?>"
+)
 
 _TITLES = ("title", "h1")
 
@@ -48,7 +51,7 @@ def _pages(last_page: Column) -> Column:
     )
 
 
-def layout_from_text(text: Column, lines_per_page: int = 12) -> Column:
+def layout_from_text(text: Column, lines_per_page: int = 12, errors: Column | None = None) -> Column:
     """Each line an element, the first the title, ``lines_per_page`` to a page, boxes by line."""
 
     def element(line: Column, at: Column) -> Column:
@@ -64,7 +67,7 @@ def layout_from_text(text: Column, lines_per_page: int = 12) -> Column:
 
     def document(lines: Column) -> Column:
         last_page = F.floor((F.size(lines) - 1) / lines_per_page)
-        return payload(F.transform(lines, element), _pages(last_page), no_errors())
+        return payload(F.transform(lines, element), _pages(last_page), no_errors() if errors is None else errors)
 
     return bound(F.split(text, "\n"), document)
 
@@ -82,7 +85,7 @@ def html_parts(html: Column) -> Column:
     """
 
     def part(found: Column) -> Column:
-        tag = F.regexp_extract(found, r"\A<([a-z0-9]+)", 1)
+        tag = F.lower(F.regexp_extract(found, r"(?i)\A<([a-z0-9]+)", 1))
         start = F.instr(found, ">") + 1
         length = F.length(found) - F.length(F.substring_index(found, "</", -1)) - 1 - start
         body = F.when(tag != "img", F.substring(found, start, length))
@@ -100,7 +103,7 @@ def html_element_type(tag: Column) -> Column:
     )
 
 
-def layout_from_html(html: Column, parts_per_page: int = 12) -> Column:
+def layout_from_html(html: Column, parts_per_page: int = 12, errors: Column | None = None) -> Column:
     """Titles, paragraphs, list items, tables (kept as HTML), images and footers as elements."""
 
     def element(part: Column, at: Column) -> Column:
@@ -118,6 +121,6 @@ def layout_from_html(html: Column, parts_per_page: int = 12) -> Column:
 
     def document(parts: Column) -> Column:
         last_page = F.floor(F.greatest(F.size(parts) - 1, F.lit(0)) / parts_per_page)
-        return payload(F.transform(parts, element), _pages(last_page), no_errors())
+        return payload(F.transform(parts, element), _pages(last_page), no_errors() if errors is None else errors)
 
     return bound(html_parts(html), document)

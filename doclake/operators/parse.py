@@ -25,18 +25,36 @@ def parse_options(
     """The option map of a parse; page images go to a folder per run, if they are wanted at all."""
     options = {"version": version, "descriptionElementTypes": description_types}
     if image_dir is not None:
-        options["imageOutputPath"] = "/".join([image_dir.rstrip("/"), run_id or "", ""]).replace("//", "/")
+        options["imageOutputPath"] = "/".join([image_dir.rstrip("/"), *([run_id] if run_id else []), ""])
     return F.create_map(*[F.lit(x) for item in options.items() for x in item])
 
 
+def _decoded(content: Column) -> tuple[Column, Column]:
+    """Text of the bytes, with replacement signs where they are not UTF-8, and the errors that come of it."""
+    text = content.cast("string")
+    wrong = F.array(F.struct(F.lit(None).cast("int").alias("page_id"), F.lit("not valid UTF-8").alias("error_message")))
+    errors = F.when(F.is_valid_utf8(text), F.filter(wrong, lambda e: F.lit(False))).otherwise(wrong)
+    return F.make_valid_utf8(text), errors
+
+
 def text_extractor(lines_per_page: int = 12) -> ColumnExtractor:
-    """Extractor for UTF-8 text."""
-    return lambda content, options: layout_from_text(F.decode(content, "UTF-8"), lines_per_page)
+    """Extractor for UTF-8 text; other bytes are replaced and give an error entry, the document alone is touched."""
+
+    def extract(content: Column, options: Column) -> Column:
+        text, errors = _decoded(content)
+        return layout_from_text(text, lines_per_page, errors)
+
+    return extract
 
 
 def html_extractor(parts_per_page: int = 12) -> ColumnExtractor:
-    """Extractor for UTF-8 HTML."""
-    return lambda content, options: layout_from_html(F.decode(content, "UTF-8"), parts_per_page)
+    """Extractor for UTF-8 HTML; other bytes as for text."""
+
+    def extract(content: Column, options: Column) -> Column:
+        html, errors = _decoded(content)
+        return layout_from_html(html, parts_per_page, errors)
+
+    return extract
 
 
 def python_extractor(load: Callable[[], DocumentExtractor], on_error: str = "raise") -> ColumnExtractor:
@@ -56,16 +74,20 @@ def python_extractor(load: Callable[[], DocumentExtractor], on_error: str = "rai
             results = []
             for content, chosen in zip(contents, options):
                 try:
-                    result = parse(content, dict(chosen))
+                    result = json.dumps(parse(content, dict(chosen)), allow_nan=on_error == "raise")
                 except Exception as error:
                     if on_error == "raise":
                         raise
                     failure = {"page_id": None, "error_message": str(error)[:ERROR_LENGTH]}
-                    result = {"document": {"elements": [], "pages": []}, "error_status": [failure]}
-                results.append(json.dumps(result))
+                    result = json.dumps({"document": {"elements": [], "pages": []}, "error_status": [failure]})
+                results.append(result)
             yield pd.Series(results)
 
-    return lambda content, options: F.parse_json(extract(content, options))
+    if on_error == "raise":
+        return lambda content, options: F.parse_json(extract(content, options))
+    # A result that is no valid VARIANT (too large, say) is that document's failure alone.
+    failed = json.dumps({"document": {"elements": [], "pages": []}, "error_status": [{"page_id": None, "error_message": "result cannot be stored"}]})
+    return lambda content, options: F.coalesce(F.try_parse_json(extract(content, options)), F.parse_json(F.lit(failed)))
 
 
 def parse_documents(

@@ -85,6 +85,12 @@ def replace_run(df: DataFrame, root: str, name: str, run_id: str, by: Sequence[s
     )
 
 
+def clear_run(spark: SparkSession, root: str, name: str, run_id: str, by: Sequence[str] = ()) -> None:
+    """Leave no row of a run in a table, if an earlier attempt of the run wrote some."""
+    if _exists(spark, f"{table_path(root, name)}/pipeline_run_id={checked_run_id(run_id)}"):
+        replace_run(spark.createDataFrame([], TABLES[name]), root, name, run_id, by)
+
+
 def _snapshots(spark: SparkSession, path: str) -> list[str]:
     """Complete snapshots, oldest first; one without its success marker was cut short and is ignored."""
     names = sorted(n for n in _children(spark, path) if n.startswith(_SNAPSHOT))

@@ -42,7 +42,9 @@ QUEUED, PROCESSING, FINISHED, SIZES, ROW_COUNTS = range(1, 6)
 class PipelineParams:
     """What a run needs: where the tables are, what to list, and how to parse.
 
-    Each source is a mapping as :func:`doclake.sources.read_source` takes it, with a ``name``. Give a
+    Each source is a mapping as :func:`doclake.sources.read_source` takes it, with a ``name``. With
+    ``image_dir`` page images go to a folder per run below it. ``on_unreadable="skip"`` leaves out files that
+    can no longer be read at ingest, their documents staying queued in the log, instead of ending the run. Give a
     ``fetch`` to sources whose listed paths cannot be opened as files. The batch size is the unit of
     retry: large corpora want batches of many thousand documents, some of them in parallel.
     """
@@ -61,6 +63,8 @@ class PipelineParams:
     on_error: str = "raise"
     bytes_per_task: int = 256 * 1024 * 1024
     parallel_batches: int = 1
+    image_dir: str | None = None
+    on_unreadable: str = "fail"
 
     def __post_init__(self) -> None:
         if self.max_retries < 1:
@@ -154,10 +158,13 @@ def ingest(spark: SparkSession, params: PipelineParams, run_id: str) -> int:
     Ranking and batching see metadata only. The bytes are read by the tasks that write them, which
     hold the documents of few batches each.
     """
+    for name in ("document_elements", "document_pages", "batch_attempts"):
+        tables.clear_run(spark, params.root, name, run_id)
+    tables.clear_run(spark, params.root, "parsed_documents", run_id, ["batch_id"])
     registry = tables.read_snapshot(spark, params.root, "document_registry")
     parsed = tables.read_table(spark, params.root, "parsed_documents")
     # A repeated run must not take its own first attempt for earlier work.
-    earlier = parsed.filter(F.col("pipeline_run_id") != run_id).select("source_path", "content_hash")
+    earlier = parsed.filter(F.col("pipeline_run_id") != run_id).select("source_path", "content_hash", "parsed_at", "pipeline_run_id")
     new = not_yet_parsed(registry, earlier, run_id, params.incremental)
     if params.dedupe_content:
         new = one_per_content(new)
@@ -173,7 +180,7 @@ def ingest(spark: SparkSession, params: PipelineParams, run_id: str) -> int:
     parts += [(batched.filter(F.col("source_name") == name), fetch) for name, fetch in fetches.items()]
     raw = reduce(
         DataFrame.unionByName,
-        [load_raw(part, run_id, fetch=fetch, bytes_per_task=params.bytes_per_task) for part, fetch in parts],
+        [load_raw(part, run_id, on_unreadable=params.on_unreadable, fetch=fetch, bytes_per_task=params.bytes_per_task) for part, fetch in parts],
     )
     tables.replace_run(raw, params.root, "raw_documents", run_id, ["batch_id"])
     opened = log_events(
@@ -271,7 +278,7 @@ def parse(spark: SparkSession, params: PipelineParams, run_id: str) -> DataFrame
         documents, PROCESSING, status=F.lit("processing"), batch_id=F.col("batch_id"), started_at=F.current_timestamp()
     )
     _append_events(started, params.root, "processing")
-    options = parse_options() if params.options is None else params.options
+    options = parse_options(image_dir=params.image_dir, run_id=run_id) if params.options is None else params.options
 
     def write_batch(batch: int) -> None:
         parsed = parse_documents(raw.filter(F.col("batch_id") == batch), params.extractor, options)

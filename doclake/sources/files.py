@@ -36,23 +36,36 @@ def _filesystem(path: str):
 
 
 def _scan(folder: str) -> Iterator[tuple[str, str, int, bool]]:
-    """Path, name, size and kind of what is directly in a folder; nothing if it cannot be read."""
+    """Path, name, size and kind of what is directly in a folder; nothing if it cannot be opened.
+
+    An entry that is gone by the time it is looked at is left out alone; a listing that breaks off in the middle is an
+    error, never a part of the folder.
+    """
+    if "://" not in folder:
+        try:
+            entries = os.scandir(folder)
+        except OSError:
+            return
+        with entries:
+            for entry in entries:
+                try:
+                    is_folder = entry.is_dir(follow_symlinks=False)
+                    size = 0 if is_folder else entry.stat().st_size
+                    wanted = is_folder or entry.is_file()
+                except OSError:
+                    continue
+                if wanted:
+                    yield entry.path, entry.name, size, is_folder
+        return
     try:
-        if "://" not in folder:
-            with os.scandir(folder) as entries:
-                for entry in entries:
-                    if entry.is_dir(follow_symlinks=False):
-                        yield entry.path, entry.name, 0, True
-                    elif entry.is_file():
-                        yield entry.path, entry.name, entry.stat().st_size, False
-        else:
-            store, inner = _filesystem(folder)
-            base = folder[: len(folder) - len(inner)]
-            for info in store.get_file_info(fs.FileSelector(inner)):
-                if info.type in (fs.FileType.File, fs.FileType.Directory):
-                    yield base + info.path, info.base_name, info.size or 0, info.type == fs.FileType.Directory
+        store, inner = _filesystem(folder)
+        found = store.get_file_info(fs.FileSelector(inner))
     except OSError:
         return
+    base = folder[: len(folder) - len(inner)]
+    for info in found:
+        if info.type in (fs.FileType.File, fs.FileType.Directory):
+            yield base + info.path, info.base_name, info.size or 0, info.type == fs.FileType.Directory
 
 
 def _scan_folders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

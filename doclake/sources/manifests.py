@@ -77,23 +77,25 @@ def files_from_blob_manifest(
     )
 
 
-def folder_closure(folders: DataFrame, root_ids: Sequence[str], max_depth: int = 100) -> DataFrame:
+def folder_closure(folders: DataFrame, root_ids: Sequence[str]) -> DataFrame:
     """All folders at or below each root, as ``(id)`` rows; a folder reached twice appears twice.
 
     ``folders`` is ``(id, parent)``. One join per level of the tree, each level stored before the
-    next: the work is that of the folders reached, and the number of jobs that of the depth.
+    next: the work is that of the folders reached, and the number of jobs that of the depth. A tree may
+    be as deep as it has folders; one that seems deeper runs in a circle, which is an error.
     """
     spark = folders.sparkSession
     edges = folders.select("id", "parent")
     level = spark.createDataFrame([(r,) for r in root_ids], "id string")
     levels = [level]
-    for _ in range(max_depth):
+    deepest = edges.select("id").distinct().count()
+    for _ in range(deepest + 1):
         parents = level.select(F.col("id").alias("parent"))
         level = durable(edges.join(parents, "parent").select("id"))
         if level.isEmpty():
             return reduce(DataFrame.unionByName, levels)
         levels.append(level)
-    raise ValueError(f"folders nest deeper than {max_depth} levels, or form a cycle")
+    raise ValueError("the folders form a cycle")
 
 
 def files_from_tree_manifest(

@@ -247,3 +247,37 @@ def test_clustered_files_have_narrow_ranges(spark, tmp_path):
     spans = sorted((f["low"], f["high"]) for f in files)
     assert len(files) == 4 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
     assert sum(f["hot"] > 0 for f in files) >= 3
+
+
+def test_a_file_put_back_is_new_again(spark):
+    known = registry_of(spark, ("/back", "A", "synced", "r3"), ("/kept", "B", "synced", "r3"), ("/other", "A", "synced", "r3"))
+    parsed = spark.createDataFrame(
+        [("/back", "A", 1), ("/back", "B2", 2), ("/kept", "A9", 1), ("/kept", "B", 2)], "source_path string, content_hash string, parsed_at int"
+    )
+    new = incremental.not_yet_parsed(known, parsed, "r3")
+    assert [r[0] for r in rows(new.select("staging_path"))] == ["/back"]
+
+
+def test_bad_bytes_and_bad_results_are_errors_of_their_document(spark):
+    from doclake.functions.payload import has_parse_errors
+    from doclake.operators import parse
+
+    raw = spark.createDataFrame([(1, bytearray(b"fine\nline")), (2, bytearray(b"\xff\xfe bad"))], "n int, content binary")
+    options = parse.parse_options()
+    for extractor in (parse.text_extractor(), parse.html_extractor()):
+        got = raw.select("n", has_parse_errors(extractor(F.col("content"), options)).alias("bad"))
+        assert rows(got) == [(1, False), (2, True)]
+
+    def load():
+        return lambda content, chosen: {"document": {"elements": [], "pages": []}, "error_status": [], "x": float("nan") if content[:1] == b"f" else 1}
+
+    got = raw.select("n", has_parse_errors(parse.python_extractor(load, on_error="status")(F.col("content"), options)).alias("bad"))
+    assert rows(got) == [(1, True), (2, False)]
+
+
+def test_html_tables_stay_whole_in_any_case_of_letters(spark):
+    from doclake.operators.layout import html_parts
+
+    page = "<H1>Head</H1><TABLE class=x><tr><td><p>one</p></td><td><ul><li>two</li></ul></td></tr></TABLE><P>last</P>"
+    got = spark.createDataFrame([(page,)], "html string").select(F.explode(html_parts(F.col("html"))).alias("p")).select("p.*")
+    assert rows(got) == [("h1", "Head"), ("p", "last"), ("table", "<tr><td><p>one</p></td><td><ul><li>two</li></ul></td></tr>")]

@@ -65,6 +65,14 @@ def test_run_rerun_and_increment(spark, corpus, tmp_path):
     assert rows(tables.read_table(spark, p.root, "document_elements").drop("parsed_at")) == before
     assert read_log(spark, p.root).count() == 8
 
+    # So does one cut into fewer batches: nothing of the three is left behind.
+    run_pipeline(spark, params(corpus, tmp_path, batch_size=50), "r1")
+    parsed = tables.read_table(spark, p.root, "parsed_documents")
+    assert rows(parsed.select("batch_id").distinct()) == [(1,)] and parsed.count() == 8
+    assert rows(tables.read_table(spark, p.root, "document_elements").drop("parsed_at", "batch_id")) == rows(
+        spark.createDataFrame(before, elements.drop("parsed_at").schema).drop("batch_id")
+    )
+
     # A new run over the same input has nothing to do.
     second = run_pipeline(spark, p, "r2")
     assert (second.synced, second.to_process, second.batches) == (8, 0, 0)
@@ -76,7 +84,7 @@ def test_run_rerun_and_increment(spark, corpus, tmp_path):
     current = read_current(spark, p.root, "document_elements")
     assert rows(current.filter(F.col("source_path") == edited).select("content")) == [("New title",)]
     assert current.count() == first.elements - 4 + 1
-    assert len(tables.old_snapshots(spark, p.root, "document_registry")) == 3
+    assert len(tables.old_snapshots(spark, p.root, "document_registry")) == 4
 
 
 def test_failing_batches_are_retried_then_left(spark, corpus, tmp_path):

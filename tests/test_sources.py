@@ -195,3 +195,66 @@ def test_parse_options(spark):
         return spark.range(1).select(parse_options(**given)).first()[0]
     assert options() == {"version": "2.0", "descriptionElementTypes": "*"}
     assert options(image_dir="/img/", run_id="r1")["imageOutputPath"] == "/img/r1/"
+
+
+def test_deep_trees_are_listed_whole(spark):
+    folder, pdf = "application/vnd.google-apps.folder", "application/pdf"
+    chain = [(f"d{i}", f"d{i - 1}" if i else "root", "x", folder, None) for i in range(105)]
+    tree = spark.createDataFrame([*chain, ("f", "d104", "a.pdf", pdf, 1)], "id string, parent string, name string, mime string, size long")
+    assert rows(files_from_tree_manifest(tree, ["root"]).select("original_path")) == [("gdrive://f",)]
+
+
+def test_an_entry_that_vanishes_leaves_the_others(tmp_path, monkeypatch):
+    from doclake.sources import files
+
+    for name in "abc":
+        (tmp_path / name).write_text(name)
+    real = files.os.scandir
+
+    class Gone:
+        path, name = str(tmp_path / "z"), "z"
+
+        def is_dir(self, follow_symlinks=True):
+            return False
+
+        def is_file(self):
+            return True
+
+        def stat(self):
+            raise FileNotFoundError(self.path)
+
+    class Entries:
+        def __init__(self, folder):
+            self.found = [Gone(), *real(folder)]
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *error):
+            return False
+
+        def __iter__(self):
+            return iter(self.found)
+
+    monkeypatch.setattr(files.os, "scandir", Entries)
+    assert sorted(x[1] for x in files._scan(str(tmp_path))) == ["a", "b", "c"]
+    monkeypatch.undo()
+    assert list(files._scan(str(tmp_path / "missing"))) == []
+
+
+def test_copies_of_one_file_get_paths_of_their_own(spark):
+    files = spark.createDataFrame(
+        [("s", f"/{i}/r.txt", "r.txt", "8cdeb44417") for i in range(4)], "source_name string, original_path string, file_name string, content_hash string"
+    )
+    staged = spark.createDataFrame([], "source_name string, original_path string, staging_path string, file_name string")
+    got = assign_staging_path(files, staged, "/st")
+    paths = [r["staging_path"] for r in got.collect()]
+    assert len(set(paths)) == 4 and "/st/s/r.txt" in paths and "/st/s/r_8cdeb444.txt" in paths
+    assert got.columns == [*files.columns, "staging_path"]
+
+
+def test_image_folders_keep_their_scheme():
+    from pyspark.sql import functions as F  # noqa: F401
+
+    text = str(parse_options(image_dir="s3://bucket/images/", run_id="r1"))
+    assert "s3://bucket/images/r1/" in text
