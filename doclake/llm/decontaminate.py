@@ -87,9 +87,8 @@ def phrase_matches(docs: DataFrame, items: DataFrame, window: int = 13, lists: i
     lookups = plan.select("item", "words", "probe", F.size("rarest").alias("needed"), F.posexplode("rarest").alias("rank", "at"))
     lookups = lookups.select("item", "words", "probe", "needed", "rank", F.col("at.place").alias("place"), F.col("at.term").alias("term"))
     rare = lookups.select("term").distinct()
-    index = stored(
-        postings(docs, rare, small).repartitionByRange("term", "doc_id").sortWithinPartitions("term", "doc_id", "pos"), "index"
-    )
+    index = stored(postings(docs, rare, small), "postings")
+    index = stored(index.repartitionByRange("term", "doc_id").sortWithinPartitions("term", "doc_id", "pos"), "index")
     near = lookups.select("term", "probe", "needed", "rank", "place")
     shifted = index.join(F.broadcast(near) if small else near, "term").select(
         "doc_id", "mark", "probe", "needed", "rank", (F.col("pos") - F.col("place")).alias("shift")
@@ -119,27 +118,53 @@ def contamination(
     found = stored(phrase_matches(docs, items, window, lists), "candidates").select(
         F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.col("found").alias("_found")
     )
-    text = F.coalesce(F.col("text"), F.lit(""))
-    base = docs if keep else docs.select("doc_id", "text")
-    joined = base.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_mark")), "left")
-    joined = joined.withColumn("_raw", _raw_words(F.col("text"))).withColumn("n_words", _word_count(F.col("_raw")))
-    joined = joined.withColumn("_folded", F.when(F.col("_found").isNotNull(), F.transform("_raw", _fold)))
+    keyed = _keyed(docs)
+    same = keyed["doc_id"].eqNullSafe(F.col("_id")) & (keyed["mark"] == F.col("_mark"))
+    # Each step is stored so that the next one reads columns, not expressions to be computed again for every word. The
+    # sides of the joins with whole texts are joined alike at every size.
+    words = F.transform(_raw_words(F.col("text")), _fold)
+    held = stored(keyed.join(found.hint("merge"), same).select("doc_id", "mark", "_found", words.alias("words")), "held")
+
+    def read(c: Column) -> Column:
+        """The candidate with a sign for each of the item's words: 1 where the document has it there."""
+        signs = F.transform(c["words"], lambda w, i: F.when(F.get("words", c["shift"] + i) == w, "1").otherwise("0"))
+        return F.struct(c["item"].alias("item"), c["shift"].alias("shift"), F.array_join(signs, "").alias("signs"))
+
+    held = stored(held.select("doc_id", "mark", F.transform("_found", read).alias("found")), "read")
 
     def windows(c: Column) -> Column:
-        """``(item, spans)`` of a candidate: the places covered by each window that occurs."""
-        size = F.least(F.size(c["words"]), F.lit(window))
-        same = F.array_join(F.transform(c["words"], lambda w, i: F.when(F.get("_folded", c["shift"] + i) == w, "1").otherwise("0")), "")
-        starts = F.filter(F.sequence(F.lit(0), F.size(c["words"]) - size), lambda i: F.substr(same, i + 1, size) == F.repeat(F.lit("1"), size))
+        """The candidate's item and the places covered by each window that occurs."""
+        size = F.least(F.length(c["signs"]), F.lit(window))
+        starts = F.sequence(F.lit(0), F.length(c["signs"]) - size)
+        starts = F.filter(starts, lambda i: F.substr(c["signs"], i + 1, size) == F.repeat(F.lit("1"), size))
         spans = F.transform(starts, lambda i: F.sequence(c["shift"] + i, c["shift"] + i + size - 1))
         return F.struct(c["item"].alias("item"), F.array_distinct(F.flatten(spans)).alias("places"))
 
-    hit = F.filter(F.transform("_found", windows), lambda x: F.size(x["places"]) > 0)
-    joined = joined.withColumn("_hit", F.coalesce(hit, F.array().cast("array<struct<item:string,places:array<int>>>")))
-    joined = joined.withColumn("n_hit", F.size(F.array_distinct(F.flatten(F.transform("_hit", lambda x: x["places"])))).cast("long"))
-    joined = joined.withColumn("items", F.array_sort(F.array_distinct(F.transform("_hit", lambda x: x["item"]))))
-    flag = (F.col("n_hit") > 0) & (F.col("n_hit") * 100 >= F.col("n_words") * percent)
-    columns = docs.columns if keep else ["doc_id"]
-    return joined.select(*columns, "n_words", "n_hit", "items", flag.alias("contaminated"))
+    held = stored(held.select("doc_id", "mark", F.transform("found", windows).alias("hit")), "windows")
+    hit = F.filter("hit", lambda x: F.size(x["places"]) > 0)
+    hits = held.select(
+        F.col("doc_id").alias("_id"),
+        F.col("mark").alias("_mark"),
+        F.size(F.array_distinct(F.flatten(F.transform(hit, lambda x: x["places"])))).cast("long").alias("_n_hit"),
+        F.array_sort(F.array_distinct(F.transform(hit, lambda x: x["item"]))).alias("_items"),
+    ).filter("_n_hit > 0").dropDuplicates(["_id", "_mark"])
+
+    n_words = _word_count(_raw_words(F.col("text"))).alias("n_words")
+    mark = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    if keep:
+        same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (mark == F.col("_mark"))
+        joined = docs.join(hits.hint("merge"), same, "left").select("*", n_words)
+    else:
+        joined = keyed.select("doc_id", "mark", n_words).join(hits, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")), "left")
+    n_hit = F.coalesce(F.col("_n_hit"), F.lit(0).cast("long"))
+    flag = (n_hit > 0) & (n_hit * 100 >= F.col("n_words") * percent)
+    return joined.select(
+        *(docs.columns if keep else ["doc_id"]),
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.coalesce("_items", F.array().cast("array<string>")).alias("items"),
+        flag.alias("contaminated"),
+    )
 
 
 def near_matches(index: DataFrame, queries: DataFrame, width: int) -> DataFrame:
