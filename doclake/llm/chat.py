@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from doclake.llm.common import slices
-from doclake.llm.templates import CUT, compiled, unescape
+from doclake.llm.templates import compiled, unescape
 
 #: One heading and one closing mark per turn; control strings in texts and roles are escaped, assistant texts are learnt.
 TURNS = (
@@ -45,12 +45,12 @@ def format_conversations(turns: DataFrame, template: str = TURNS) -> DataFrame:
             messages = ({"role": role, "text": text} for _, role, text in group)
             chunk, start, size, texts, spans = 0, 0, 0, [], []
             for part in run(messages=messages):
-                if part is CUT:
+                text, learnt = part
+                if text is None:  # a whole turn is written
                     if size >= _CHUNK_CHARS:
                         yield _chunk(conv, chunk, start, texts, spans)
                         chunk, start, size, texts, spans = chunk + 1, start + size, 0, [], []
                     continue
-                text, learnt = part
                 if learnt and text:
                     spans.append({"begin": size, "end": size + len(text)})
                 texts.append(text)

@@ -15,8 +15,8 @@ from collections.abc import Callable, Iterable, Iterator, Mapping
 from dataclasses import dataclass
 from typing import Any
 
-Part = tuple[str, bool]  # text, and whether it lies between generation marks
-CUT: Part = ("", False)  # after each round of an outermost loop; carries no text
+Part = tuple[str | None, bool]  # text, and whether it lies between generation marks
+CUT: Part = (None, False)  # after each round of an outermost loop; carries no text
 Env = dict[str, Any]
 
 

@@ -23,7 +23,7 @@ def test_escapes_are_reversible(text):
 
 
 def rendered(source, **values):
-    return "".join(t for t, _ in templates.compiled(source)(**values))
+    return "".join(t or "" for t, _ in templates.compiled(source)(**values))
 
 
 def test_template_language():
