@@ -273,9 +273,14 @@ def all_sql() -> dict[str, str]:
                               (row_number() OVER (PARTITION BY f.source_name, f.lang ORDER BY f.original_path) = 1)
                               AND NOT EXISTS (SELECT 1 FROM old x WHERE x.source_name = f.source_name AND x.name = f.lang || '.txt') AS free
                        FROM files f LEFT JOIN old o ON f.source_name = o.source_name AND f.original_path = o.original_path),
-            named AS (SELECT *, coalesce(old_name, CASE WHEN free THEN name ELSE lang || '_' || content_hash[1:8] || '.txt' END) AS final FROM ranked)
+            named AS (SELECT *, coalesce(old_name, CASE WHEN free THEN name ELSE lang || '_' || content_hash[1:8] || '.txt' END) AS wanted FROM ranked),
+            given AS (SELECT *, CASE WHEN old_name IS NOT NULL THEN wanted
+                                     WHEN row_number() OVER (PARTITION BY source_name, wanted, old_name IS NULL ORDER BY original_path) = 1
+                                          AND NOT EXISTS (SELECT 1 FROM old x WHERE x.source_name = named.source_name AND x.name = named.wanted) THEN wanted
+                                     ELSE lang || '_' || content_hash[1:8] || '_' || md5(original_path)[1:8] || '.txt' END AS final
+                      FROM named)
             SELECT source_name, original_path, coalesce(old_path, '/staging/' || source_name || '/' || final) AS staging_path,
-                   final AS file_name FROM named"""),
+                   final AS file_name FROM given"""),
         # Registry
         "snk5_registry_upsert": _with(["registry", "resync"], """
             SELECT document_id, coalesce(t.source_name, s.source_name) AS source_name, coalesce(t.source_type, s.source_type) AS source_type,
@@ -353,6 +358,9 @@ def all_sql() -> dict[str, str]:
         "udf4_failed_documents": _with(["docs"], """
             SELECT source_path, CASE WHEN strlen(text) > 5000 THEN 0 ELSE len(string_split(text, chr(10))) END::INT AS elements_extracted,
                    (strlen(text) > 5000)::BIGINT AS errors FROM docs JOIN documents USING (doc_id)"""),
+        "udf4_bad_encoding": _with(["docs"], """
+            SELECT source_path, len(string_split(text, chr(10)))::INT AS elements, doc_id % 7 = 0 AS has_errors
+            FROM docs JOIN documents USING (doc_id)"""),
         # Ranks and batches
         "win1_global_rank": _with(["batched"], "SELECT source_path, file_size_bytes, rn FROM batched"),
         "win2_round_robin_batches": _with(["batched"], f"SELECT source_path, file_size_bytes, {_round_robin(40)} AS batch_id FROM batched"),
@@ -453,6 +461,14 @@ def all_sql() -> dict[str, str]:
             LEFT JOIN (SELECT file_name, count(*) AS total_pages FROM pages_ GROUP BY 1) USING (file_name)
             LEFT JOIN (SELECT file_name, max(status) AS status, CAST(max(completed_at) AS VARCHAR) AS parsed_at,
                               max(source_name) AS source_name, max(source_path) AS source_path FROM log GROUP BY 1) USING (file_name)"""),
+        "qry2_one_document": _with(["elements", "pages_", "log", "type_text"], """
+            SELECT file_name, source_name, source_path, total_elements, coalesce(total_pages, 0) AS total_pages, status, parsed_at, element_types
+            FROM (SELECT file_name, count(*) AS total_elements FROM elements GROUP BY 1)
+            JOIN type_text USING (file_name)
+            LEFT JOIN (SELECT file_name, count(*) AS total_pages FROM pages_ GROUP BY 1) USING (file_name)
+            LEFT JOIN (SELECT file_name, max(status) AS status, CAST(max(completed_at) AS VARCHAR) AS parsed_at,
+                              max(source_name) AS source_name, max(source_path) AS source_path FROM log GROUP BY 1) USING (file_name)
+            WHERE file_name = 'doc_7.txt'"""),
         "qry2_document_pages": _with(["elements", "pages_"], """
             SELECT p.file_name, page_number, coalesce(n, 0) AS element_count FROM pages_ p
             LEFT JOIN (SELECT file_name, page_id, count(*) AS n FROM elements GROUP BY 1, 2) e
@@ -466,6 +482,10 @@ def all_sql() -> dict[str, str]:
         "qry3_page_elements": _with(["elements"], """
             SELECT file_name, page_id, element_id, element_type, coalesce(content, '') AS content, ai_description, bbox_x1, bbox_y1,
                    bbox_x2, bbox_y2, bounding_box_json FROM elements"""),
+        "qry3_one_page": _with(["elements"], """
+            SELECT file_name, page_id, element_id, element_type, coalesce(content, '') AS content, ai_description, bbox_x1, bbox_y1,
+                   bbox_x2, bbox_y2, bounding_box_json FROM elements
+            WHERE file_name = 'doc_7.txt' AND page_id = 0"""),
         "prj12_defaults": _with(["elements"], """
             SELECT source_path, element_id, bbox_index, coalesce(content, '') AS content, bbox_x1, bbox_y2, bounding_box_json FROM elements
             UNION ALL SELECT source_path, element_id, NULL, coalesce(content, ''), 0, 0, '[]' FROM all_elements WHERE boxes = 0"""),

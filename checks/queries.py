@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from checks import fixtures as fx
 from doclake.functions import content_hash, document_id, log_id, matches_pattern, mb, preview, strip_scheme
+from doclake.functions.payload import ELEMENTS, has_parse_errors, payload_size
 from doclake.operators import aggregates as agg
 from doclake.operators import batching, documents, flatten, incremental, parse, registry, runlog
 from doclake.operators.layout import html_element_type, html_parts
@@ -392,6 +393,21 @@ def udf4_failed_documents(spark: SparkSession, sf: str) -> DataFrame:
     return sizes.join(failed, "source_path", "left").select("source_path", "elements_extracted", F.coalesce("errors", F.lit(0)).alias("errors"))
 
 
+@query
+def udf4_bad_encoding(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts that end in a byte that is not UTF-8 get an error entry and keep their lines; the others are as ever."""
+    texts = fx.table(spark, sf, "documents")
+    content = F.encode("text", "UTF-8")
+    content = F.when(F.col("doc_id") % 7 == 0, F.concat(content, F.lit(bytearray(b"\xff")))).otherwise(content)
+    payload = parse.text_extractor()(content, parse.parse_options())
+    parsed = texts.select(fx._path().alias("source_path"), payload.alias("parsed_output"))
+    return parsed.select(
+        "source_path",
+        payload_size(F.col("parsed_output"), ELEMENTS).alias("elements"),
+        has_parse_errors(F.col("parsed_output")).alias("has_errors"),
+    )
+
+
 # Ranks and batches
 
 
@@ -632,6 +648,16 @@ def qry2_document_pages(spark: SparkSession, sf: str) -> DataFrame:
     return documents.document_detail(*_corpus(spark, sf)).pages
 
 
+@query
+def qry2_one_document(spark: SparkSession, sf: str) -> DataFrame:
+    return _list_row(documents.document_detail(*_corpus(spark, sf), file_name="doc_7.txt").header)
+
+
+@query
+def qry3_one_page(spark: SparkSession, sf: str) -> DataFrame:
+    return documents.page_detail(fx.parsed(spark, sf), *_corpus(spark, sf), file_name="doc_7.txt", page=0).elements
+
+
 @query
 def qry3_page_headers(spark: SparkSession, sf: str) -> DataFrame:
     return documents.page_detail(fx.parsed(spark, sf), *_corpus(spark, sf)).header
