@@ -5,9 +5,9 @@ hash evaluations of plain MinHash serve the same number of values; the two hardl
 variance of the share that agrees. Bands of such values put texts that may be alike into buckets.
 
 Equal sets are one class, whatever their number. In a bucket every class is compared with the one class that meets
-the most others (the hub), not with all. What that leaves apart is finished exactly: classes of a bucket that are still in
-different components are compared too, but those of the bucket's largest component not among themselves; and where a
-large bucket stays divided, a class drops out first if too few of its shingles occur in any other class for a link.
+the most others (the hub), not with all. What that leaves apart is finished exactly: in a bucket that still holds several
+components, the classes outside its largest component are compared with all of the bucket, in blocks inside a task; the
+classes of the largest component are never compared among themselves, and only links are ever emitted.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from doclake.llm.shingles import mix, shingle_set, word_hashes
 from doclake.operators.joins import join_reduced
 
 _CHUNK = 64  # classes compared with one hub per unit of work
-_LARGE = 32  # divided buckets above this size are thinned by shared shingles first
+_BLOCK, _BLOCK_SHINGLES = 1024, 500_000  # classes, and their shingles, that a task compares others with at once
 
 
 def banding(percent: int, miss: float = 1e-6, most: int = 96) -> tuple[int, int]:
@@ -88,62 +88,57 @@ def _near_sizes(a: Column, b: Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def _confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs ``(a, hub)`` whose full sets are alike, as ``(a, b)``.
+def _confirmed(texts: DataFrame, units: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links ``(a, b)`` of classes whose full sets are alike, among ``units (unit, part, role, node, label)``.
 
-    A hub's text meets its partners in chunks: one row of the hub, then its partners, streamed, so neither a hub with
-    many partners nor a very long text gathers more than two sets in memory.
+    In each ``(unit, part)`` the classes of role 1 are compared with those of role 0, which come first and are few; pairs
+    of one label are passed over. Rows are streamed, so a unit of any number of classes holds its role 0 in memory alone.
     """
-    many = pairs.groupBy("hub").agg(F.ceil(F.count("*") / _CHUNK).alias("chunks"))
-    dealt = pairs.join(many, "hub").withColumn("chunk", F.expr("pmod(xxhash64(a), chunks)"))
-    members = dealt.select(F.col("a").alias("node"), "hub", "chunk", F.lit(1).alias("role"))
-    hubs = dealt.select(F.col("hub").alias("node"), "hub", "chunk", F.lit(0).alias("role")).distinct()
-    first = classes.select("node", "first_doc")
-    needed = stored(members.unionByName(hubs).join(first, "node"), "needed")
-    texts = docs.join(needed, docs["doc_id"].eqNullSafe(needed["first_doc"])).select("hub", "chunk", "role", "node", "text")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk, hub_set = None, None
+        at, base = None, None
+        held: list[tuple] = []
         for batch in slices(batches, "text"):
             left, right = [], []
-            columns = [batch[c].to_pylist() for c in ("hub", "chunk", "role", "node")]
-            for hub, part, role, node, words in zip(*columns, word_hashes(batch["text"]), strict=True):
+            columns = [batch[c].to_pylist() for c in ("unit", "part", "role", "node", "label")]
+            for unit, part, role, node, label, words in zip(*columns, word_hashes(batch["text"]), strict=True):
                 found = shingle_set(words, size)
                 if _digest(found) != node:  # another text under the same doc_id
                     continue
+                if at != (unit, part):
+                    at, base, held = (unit, part), None, []
                 if role == 0:
-                    chunk, hub_set = (hub, part), found
-                elif chunk == (hub, part):
-                    both = len(np.intersect1d(found, hub_set, assume_unique=True))
-                    if 100 * both >= percent * (len(found) + len(hub_set) - both):
-                        left.append(node)
-                        right.append(hub)
+                    held.append((node, label, found))
+                    base = None
+                elif held:
+                    base = base or _Sets([x[2] for x in held])
+                    common = base.common(found)
+                    for i in np.flatnonzero(100 * common >= percent * (base.sizes + len(found) - common)):
+                        if held[i][0] != node and (label is None or held[i][1] != label):
+                            left.append(node)
+                            right.append(held[i][0])
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["a", "b"])
 
-    return texts.repartition("hub", "chunk").sortWithinPartitions("hub", "chunk", "role").mapInArrow(compare, "a binary, b binary")
+    dealt = texts.join(units.hint("merge"), "node").select("unit", "part", "role", "node", "label", "text")
+    placed = dealt.repartition("unit", "part").sortWithinPartitions("unit", "part", "role")
+    return placed.mapInArrow(compare, "a binary, b binary")
 
 
-def _lonely(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
-    """Of ``nodes (node, first_doc, n)`` those that have too few shingles in common with all others for any link.
+class _Sets:
+    """Several sets in one sorted array, to count what each has in common with another set."""
 
-    Every link shares at least ``percent`` of a set's shingles, so a set with more than the rest of shingles that no other
-    of these sets has is linked with none of them.
-    """
-
-    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 1 << 20):
-            for node, words in zip(batch["node"].to_pylist(), word_hashes(batch["text"]), strict=True):
-                found = shingle_set(words, size)
-                if _digest(found) == node:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([node] * len(found), pa.binary()), pa.array(found.view(np.int64))], names=["node", "shingle"]
-                    )
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+        flat = np.concatenate(sets)
+        order = np.argsort(flat, kind="stable")
+        self.values, self.owners = flat[order], np.repeat(np.arange(len(sets)), self.sizes)[order]
 
-    texts = docs.join(nodes, docs["doc_id"].eqNullSafe(nodes["first_doc"])).select("node", "text")
-    shingles = texts.mapInArrow(explode, "node binary, shingle long")
-    alone = shingles.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("other")).filter("node = other")
-    own = alone.groupBy("node").agg(F.count("*").alias("own"))
-    return own.join(nodes, "node").filter((F.col("n") - F.col("own")) * 100 < F.col("n") * percent).select("node")
+    def common(self, other: np.ndarray) -> np.ndarray:
+        first = np.searchsorted(self.values, other, "left")
+        number = np.searchsorted(self.values, other, "right") - first
+        ends = np.cumsum(number)
+        places = np.repeat(first - (ends - number), number) + np.arange(int(ends[-1]) if len(ends) else 0)
+        return np.bincount(self.owners[places], minlength=len(self.sizes))
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: float = 1e-6) -> DataFrame:
@@ -180,37 +175,33 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: fl
         .distinct()
     )
     stars = stored(stars, "stars")
-    links = stored(_confirmed(docs, classes, stars, words, percent), "links")
+    # The texts that meet any other, fetched once; a side that may be small or large is joined alike at every size.
+    known = met.select("node").distinct().join(classes.select("node", "first_doc"), "node").hint("merge")
+    texts = stored(docs.join(known, docs["doc_id"].eqNullSafe(known["first_doc"])).select("node", "text"), "texts")
+    no_label = F.lit(None).cast("binary").alias("label")
+    parts = stars.groupBy("hub").agg(F.ceil(F.count("*") / _CHUNK).alias("parts"))
+    dealt = stars.join(parts, "hub").withColumn("part", F.expr("pmod(xxhash64(a), parts)"))
+    hub_rows = dealt.select(F.col("hub").alias("unit"), "part", F.lit(0).alias("role"), F.col("hub").alias("node"), no_label).distinct()
+    star_rows = dealt.select(F.col("hub").alias("unit"), "part", F.lit(1).alias("role"), F.col("a").alias("node"), no_label)
+    links = stored(_confirmed(texts, hub_rows.union(star_rows), words, percent), "links")
     labels = component_labels(links)
 
     # What the hubs left apart: buckets that hold several components.
     placed = met.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    per_label = placed.groupBy("key", "label").agg(F.count("*").alias("here"))
+    per_label = placed.groupBy("key", "label").agg(F.count("*").alias("here"), F.sum("n").alias("shingles"))
     divided = per_label.groupBy("key").agg(
-        F.count("*").alias("labels"), F.max_by("label", F.struct("here", "label")).alias("main")
-    ).filter("labels > 1")
-    open_ = stored(placed.join(divided, "key").select("key", "node", "n", "size", "label", "main"), "divided")
-    large = open_.filter(F.col("size") > _LARGE).select("node", "n").distinct().join(classes.select("node", "first_doc"), "node")
-    if large.isEmpty():
-        rest = open_
-    else:
-        lonely = stored(_lonely(docs, stored(large, "large"), words, percent), "lonely").withColumn("alone", F.lit(True))
-        rest = open_.join(lonely, "node", "left").filter((F.col("size") <= _LARGE) | F.col("alone").isNull())
-    outer = rest.filter("label <> main").select("key", F.col("node").alias("hub"), F.col("n").alias("m"), F.col("label").alias("its"), "main")
-    inner = rest.select("key", F.col("node").alias("a"), "n", "label")
-    apart = (F.col("label") != F.col("its")) & ((F.col("label") == F.col("main")) | (F.col("a") < F.col("hub")))
-    more = (
-        outer.join(inner, "key")
-        .filter(apart & _near_sizes(F.col("n"), F.col("m"), percent))
-        .select("a", "hub")
-        .distinct()
-        .join(stars.union(stars.select("hub", "a")), ["a", "hub"], "left_anti")
-    )
-    more = stored(more, "more")
-    if not more.isEmpty():
-        late = stored(_confirmed(docs, classes, more, words, percent), "links")
-        if not late.isEmpty():
-            labels = component_labels(links.union(late))
+        F.max_by("label", F.struct("here", "label")).alias("main"),
+        (F.sum("here") - F.max("here")).alias("outer"),
+        (F.sum("shingles") - F.max_by("shingles", F.struct("here", "label"))).alias("weight"),
+    ).filter("outer > 0")
+    blocks = F.greatest(F.ceil(F.col("outer") / _BLOCK), F.ceil(F.col("weight") / _BLOCK_SHINGLES)).cast("int")
+    open_ = placed.join(divided, "key").select(F.col("key").alias("unit"), "node", "label", "main", blocks.alias("blocks"))
+    open_ = stored(open_, "divided")
+    inner = open_.select("unit", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part"), F.lit(1).alias("role"), "node", "label")
+    outer = open_.filter("label <> main").select("unit", F.expr("pmod(xxhash64(node), blocks)").alias("part"), F.lit(0).alias("role"), "node", "label")
+    late = stored(_confirmed(texts, outer.union(inner), words, percent), "links")
+    if not late.isEmpty():
+        labels = component_labels(links.union(late))
 
     # Copies of one text and texts of one component may be a large share of all rows.
     named = join_reduced(signed.select("doc_id", "n_shingles", "node"), labels, "node", "left")
