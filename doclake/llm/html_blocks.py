@@ -10,7 +10,9 @@ from dataclasses import dataclass
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small "
-    "span strike strong sub sup time tt u var wbr".split()
+    "span strike strong sub sup time tt u var wbr "
+    "math maction merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub "
+    "msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
 )
 _CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 "
@@ -18,10 +20,24 @@ _CLOSES_P = frozenset(
 )
 _SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPES = frozenset("ul ol dl table menu select article section div body".split())
-_RAW = "script|style|noscript|template|textarea|iframe|svg|math|select|object|noembed|noframes|xmp"
+_RAW = "script|style|noscript|template|textarea|iframe|select|object|noembed|noframes|xmp|annotation|annotation-xml"
+# Start tags that end an open <svg>, as in browsers; what stands in its parts of HTML does not.
+_LEAVES_SVG = (
+    "b|big|blockquote|body|br|center|code|dd|div|dl|dt|em|embed|h[1-6]|head|hr|i|img|li|listing|menu|meta|nobr|ol|p|pre|ruby|s|small|"
+    "span|strong|strike|sub|sup|table|tt|u|ul|var|article|aside|footer|header|main|nav|section"
+)
+# A name ends at white space, "/" or ">"; attributes are names with values, and a quote inside an unquoted value, or one that
+# is never closed, is a character like any other.
+_ENDS = r"(?=[\s/>])"
+_ATTRS = r"""(?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]++)?+)?+)*+"""
+_SVG_PARTS = "|".join(rf"<{name}{_ENDS}{_ATTRS}(?<!/)>.*?</{name}\s*>" for name in ("foreignobject", "desc", "title"))
+_SVG = (
+    rf"<svg{_ENDS}{_ATTRS}(?:(?<=/)>|>(?:[^<]++|{_SVG_PARTS}"
+    rf"|<(?!/svg[\s/>]|(?:{_LEAVES_SVG})[\s/>]))*+(?:</svg[^>]*+>)?)"
+)
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*(?:>|\Z)|(?P<text>[^<]+|<)",
+    rf"<!--.*?(?:-->|\Z)|{_SVG}|<(?P<raw>{_RAW}){_ENDS}{_ATTRS}>.*?(?:</(?P=raw){_ENDS}[^>]*+(?:>|\Z)|\Z)"
+    rf"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>{_ATTRS})(?:>|\Z)|<[!?/][^>]*(?:>|\Z)|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
@@ -59,6 +75,8 @@ def blocks(page: str) -> list[Block]:
 
     for m in _TOKEN.finditer(page):
         text = m["text"]
+        if m["tag"] and not m[0].endswith(">"):  # the page ends before the tag does: text
+            text = m[0]
         if text is not None:
             text = html.unescape(text)
             if not path and not text.isspace():

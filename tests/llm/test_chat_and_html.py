@@ -84,6 +84,25 @@ def test_blocks():
     assert blocks("") == [] and [b.text for b in blocks("a < b <p>c")] == ["a < b", "c"]
 
 
+@pytest.mark.parametrize("page,texts", [
+    ("<p>a</p><svg-icon name='x'></svg-icon><p>kept</p>", ["a", "kept"]),
+    ("<p>a</p><select-box>b</select-box><p>kept</p>", ["a", "b", "kept"]),
+    ("<p>a</p><svg class=i/><p>kept</p><svg viewBox='0'/><p>z</p>", ["a", "kept", "z"]),
+    ("<p>a</p><svg class=i><path><p>kept</p><svg><text>no</text></svg>", ["a", "kept"]),
+    ("<p>a</p><svg><title>no</title><desc><p>no</p></desc><path d='x'/><text>no</text></svg><p>kept</p>", ["a", "kept"]),
+    ("<p>a</p><a title=it's>link</a><p>we don't</p><p>z</p>", ["a", "link", "we don't", "z"]),
+    ('<p>a</p><img alt="it><p>z</p>', ["a", "z"]),
+    ('<p>a</p><img alt=5" src=x><p>he said "no"</p><p>z</p>', ["a", 'he said "no"', "z"]),
+    ("<a title='x>y' b=\"p>q\"c=d>t</a><p>z", ["t", "z"]),
+    ("<p>when <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>no</annotation></math> holds</p><math/><p>z</p>", ["when x=2 holds", "z"]),
+    ("<p>a</p><script src=x />no<p>no</script ><p>z</p>", ["a", "z"]),
+    ("<p>a <b", ["a <b"]),
+    ("<a<a" * 50_000, ["<a<a" * 50_000]),
+])
+def test_no_text_is_swallowed(page, texts):
+    assert [b.text for b in blocks(page)] == texts
+
+
 def test_gradients_are_slopes():
     rng = np.random.default_rng(0)
     model = html_labeller.Labeller({k: v.astype(np.float64) for k, v in html_labeller.Labeller.fresh(1).weights.items()})
