@@ -15,12 +15,19 @@ LEFT, TOP, LINE_STEP, LINE_HEIGHT, MAX_LINE_WIDTH = 50, 40, 60, 40, 500
 PAGE_WIDTH, PAGE_HEIGHT = 612, 792
 
 # The HTML parts that become elements, in any case of letters. A table is taken whole, up to its own end, so what it
-# holds does not become elements; there is no backreference, so any other part ends at the first closing tag of any kind.
+# holds does not become elements (ends of inner tables are marked before the search); there is no backreference, so any
+# other part ends at the first closing tag of any kind.
 HTML_PARTS = (
     r"(?is)<table(?:\s[^>]*)?>.*?</table>"
     r"|<(?:title|h1|p|li|footer)(?:\s[^>]*)?>.*?</(?:title|h1|p|li|footer|table)>|<img(?:\s[^>]*)?>"
 )
 
+# A stretch of a page up to its next table tag or its end, and the tags alone.
+_TABLE_PIECE = r"(?is).*?(?:<table(?:\s[^>]*)?>|</table>|\z)"
+_TABLE_TAG = r"(?i)(<table(?:\s[^>]*)?>|</table>)\z"
+# Set before the ">" of an end tag or after the "<" of a start tag; not a character of text. Tags that hold it get one more.
+_MARK = "\ufdd0"
+
 _TITLES = ("title", "h1")
 
 
@@ -77,6 +84,48 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def _inner_tables_marked(html: Column) -> Column:
+    """The page with marks in the end tags of tables inside other whole tables, and in the start tags of tables without an end."""
+
+    def folded(changes: Column, opening: int) -> Column:
+        """For each change its depth, and 0 for what is not paired, counted from the side of the ``opening`` tags."""
+
+        def step(state: Column, change: Column) -> Column:
+            depth = F.greatest(state["depth"] + change * opening, F.lit(0))
+            paired = F.when(change == opening, depth).otherwise(state["depth"])
+            return F.struct(depth.alias("depth"), F.concat(state["levels"], F.array(F.when(change == 0, 0).otherwise(paired))).alias("levels"))
+
+        start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<int>").alias("levels"))
+        return F.aggregate(changes, start, step, lambda state: state["levels"])
+
+    def change(piece: Column) -> Column:
+        tag = F.lower(F.regexp_extract(piece, _TABLE_TAG, 1))
+        return F.when(tag == "", 0).when(tag == "</table>", -1).otherwise(1)
+
+    def marked(pieces: Column) -> Column:
+        def join(changes: Column) -> Column:
+            # Ends without a start count for nothing; the rest, from the back, tells how deep an end stands in whole tables.
+            own = F.zip_with(changes, folded(changes, 1), lambda c, level: F.when(level > 0, c).otherwise(0))
+            inside = bound(own, lambda c: F.reverse(folded(F.reverse(c), -1)))
+            inner = F.zip_with(own, inside, lambda c, level: (c == -1) & (level > 1))
+            open_ended = F.zip_with(own, inside, lambda c, level: (c == 1) & (level == 0))
+            ends = F.zip_with(pieces, inner, lambda p, at: F.when(at, F.regexp_replace(p, r"(?i)(</table)>\z", f"$1{_MARK}>")).otherwise(p))
+            starts = F.zip_with(ends, open_ended, lambda p, at: F.when(at, F.regexp_replace(p, r"(?i)<(table(?:\s[^>]*)?>)\z", f"<{_MARK}$1")).otherwise(p))
+            return F.array_join(starts, "")
+
+        return bound(F.transform(pieces, change), join)
+
+    raised = F.regexp_replace(html, f"(?i)(</table{_MARK}+)>", f"$1{_MARK}>")
+    raised = F.regexp_replace(raised, rf"(?i)<({_MARK}+table[\s>])", f"<{_MARK}$1")
+    nested = F.exists(F.regexp_extract_all(html, F.lit(r"(?is)<table(?:\s[^>]*)?>.*?</table>"), F.lit(0)), lambda t: F.regexp_count(t, F.lit(r"(?i)<table[\s>]")) > 1)
+    return F.when(nested, bound(F.regexp_extract_all(raised, F.lit(_TABLE_PIECE), F.lit(0)), marked)).otherwise(raised)
+
+
+def _unmarked(text: Column) -> Column:
+    text = F.regexp_replace(text, f"(?i)(</table{_MARK}*){_MARK}>", "$1>")
+    return F.regexp_replace(text, rf"(?i)<{_MARK}({_MARK}*table[\s>])", "<$1")
+
+
 def html_parts(html: Column) -> Column:
     """``array<struct<tag, body>>`` of the parts of a page, in order; an image's body is NULL.
 
@@ -88,10 +137,10 @@ def html_parts(html: Column) -> Column:
         tag = F.lower(F.regexp_extract(found, r"(?i)\A<([a-z0-9]+)", 1))
         start = F.instr(found, ">") + 1
         length = F.length(found) - F.length(F.substring_index(found, "</", -1)) - 1 - start
-        body = F.when(tag != "img", F.substring(found, start, length))
+        body = F.when(tag != "img", _unmarked(F.substring(found, start, length)))
         return F.struct(tag.alias("tag"), body.alias("body"))
 
-    return F.transform(F.regexp_extract_all(html, F.lit(HTML_PARTS), F.lit(0)), part)
+    return F.transform(F.regexp_extract_all(_inner_tables_marked(html), F.lit(HTML_PARTS), F.lit(0)), part)
 
 
 def html_element_type(tag: Column) -> Column:

@@ -281,3 +281,35 @@ def test_html_tables_stay_whole_in_any_case_of_letters(spark):
     page = "<H1>Head</H1><TABLE class=x><tr><td><p>one</p></td><td><ul><li>two</li></ul></td></tr></TABLE><P>last</P>"
     got = spark.createDataFrame([(page,)], "html string").select(F.explode(html_parts(F.col("html"))).alias("p")).select("p.*")
     assert rows(got) == [("h1", "Head"), ("p", "last"), ("table", "<tr><td><p>one</p></td><td><ul><li>two</li></ul></td></tr>")]
+
+
+def test_nested_html_tables_are_whole(spark):
+    import random
+    import re
+
+    from doclake.operators.layout import html_parts
+
+    def plain(page):
+        """Pairs of table tags by a stack; the outermost ones are parts, what is outside has paragraphs."""
+        stack, spans = [], []
+        for m in re.finditer(r"(?i)<table(?:\s[^>]*)?>|</table>", page):
+            if not m[0].startswith("</"):
+                stack.append(m)
+            elif stack:
+                spans.append((stack.pop(), m))
+        outer = [(a, b) for a, b in spans if not any(c.start() < a.start() and b.end() < d.end() for c, d in spans)]
+        found = [(a.start(), "table", page[a.end() : b.start()]) for a, b in outer]
+        found += [(m.start(), "p", m[1]) for m in re.finditer(r"<p>(.*?)</p>", page) if not any(a.start() < m.start() < b.end() for a, b in outer)]
+        return [f[1:] for f in sorted(found)]
+
+    rng = random.Random(1)
+    tags = ["<table>", "<TABLE class=x>", "</table>", "</Table>", "<p>a</p>", "<p>b</p>", "<td>c", "rest", "\n", "</table\ufdd0>", "</table\ufdd0\ufdd0>", "<\ufdd0table>", "<p>e</table\ufdd0>f</p>"]
+    pages = [
+        "<table><tr><td>a<table><tr><td>b</td></tr></table></td><td>rest of the outer table</td></tr></table><p>last</p>",
+        "<table>open<p>x</p><table>own<table>in</table>end</table><p>y</p>",
+        "</table><table>" * 3 + "<table>" * 500 + "deep" + "</table>" * 500 + "</table></table><p>z</p>",
+        *("".join(rng.choice(tags) for _ in range(rng.randrange(30))) for _ in range(300)),
+    ]
+    got = spark.createDataFrame(list(enumerate(pages)), "n int, html string").select("n", html_parts(F.col("html")).alias("parts")).collect()
+    assert {r["n"]: [tuple(p) for p in r["parts"]] for r in got} == {n: plain(page) for n, page in enumerate(pages)}
+    assert plain(pages[0])[0] == ("table", "<tr><td>a<table><tr><td>b</td></tr></table></td><td>rest of the outer table</td></tr>")
