@@ -62,6 +62,17 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     ),
 }
 
+#: Names of licences and words that only their notices are full of; never too common to tell a notice by.
+NAMES = frozenset(
+    "apache bsd cc cc0 commons copyright domain gnu gpl lgpl license licensed mit mozilla mpl reserved spdx unencumbered".split()
+)
+
+#: Words of every text, which tell no notice by themselves.
+STOPS = frozenset(
+    "all and any are as at be but by can following for from have her his if in is it its no nor not of on or other our out see she so such "
+    "that the their these they this to under was were what which will with within without you your".split()
+)
+
 #: What is not a notice, though it has its words.
 OTHERS: tuple[str, ...] = (
     "She passed the test and got her driving license on Monday.",

@@ -1,7 +1,7 @@
 """Licence notices in documents: a trained classifier of paragraphs, confirmed by templates. Built-in functions only.
 
 A paragraph (line) is a sparse set of word n-grams, of one to three words, that hold at least one licence word; licence words
-are those of the templates that are rare in the corpus. A multinomial logistic regression with a sparse penalty, trained
+are those of the templates that are rare in the corpus outside notices, and the names of licences whatever their number. A multinomial logistic regression with a sparse penalty, trained
 on the templates, parts of them and a bounded sample of other paragraphs, weighs the n-grams for each family and for
 ``unknown``. A paragraph without a licence word has no features and is unknown, so it is never joined with anything. A
 temperature fitted on held-out rows calibrates the probabilities; a prediction counts as confirmed if the paragraph
@@ -10,13 +10,14 @@ shares enough of its n-grams with a template of the family.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from doclake.llm.common import stored
-from doclake.llm.license_texts import OTHERS, TEMPLATES
+from doclake.llm.license_texts import NAMES, OTHERS, STOPS, TEMPLATES
 
 UNKNOWN = "unknown"
 FAMILIES = (UNKNOWN, *TEMPLATES)
@@ -79,24 +80,35 @@ def _training_rows() -> list[tuple[str, str, int]]:
     return rows
 
 
+def _like_templates(shared: int = 3) -> Column:
+    """Whether ``shared`` stretches of three words of the column ``words`` stand in templates."""
+    texts = (re.findall("[a-z0-9]+", t.lower()) for group in TEMPLATES.values() for t in group)
+    known = sorted({" ".join(w[i : i + 3]) for w in texts for i in range(len(w) - 2)})
+    found = F.transform("words", lambda w, i: F.concat(w, F.lit(" "), F.get("words", i + 1), F.lit(" "), F.get("words", i + 2)))
+    return F.size(F.array_intersect(found, F.array(*map(F.lit, known)))) >= shared
+
+
 def train(docs: DataFrame, sample: int = 2_000, rare: float = 0.02, penalty: float = 0.0005) -> LicenseModel:
     """The model from the templates and at most ``sample`` paragraphs of the corpus, chosen by a hash, as ``unknown``.
 
-    Paragraphs in which a fifth of the words are licence words are left out of the sample, for they may be notices. Template
-    words in at least a share ``rare`` of the sample's different texts are too common to be licence words.
+    Paragraphs like a template, or with a fifth of licence words, are left out of the sample, for they may be notices. Template
+    words in at least a share ``rare`` of the sample's different texts that name no licence and are not like a template are
+    too common to be licence words, so notices do not strike their own words, however many there are; names are never struck.
     """
     spark: SparkSession = docs.sparkSession
     lines = paragraphs(docs).filter("trim(text) <> ''").select(F.xxhash64("doc_id", "mark", "paragraph").alias("h"), "text")
     taken = lines.orderBy("h", "text").limit(sample).groupBy("text").agg(F.min("h").alias("h"))
     taken = stored(taken.withColumn("words", _words(F.col("text"))), "lines")
     rows = spark.createDataFrame(_training_rows(), "family string, text string, fold int").withColumn("words", _words(F.col("text")))
-    seen = taken.select(F.explode(F.array_distinct("words")).alias("word")).groupBy("word").count()
-    common = seen.filter(F.col("count") >= max(2.0, rare * sample)).select("word")
-    terms = rows.filter(F.col("family") != UNKNOWN).select(F.explode("words").alias("word")).distinct()
+    names = F.array(*map(F.lit, sorted(NAMES)))
+    prose = taken.filter(~_like_templates() & ~F.arrays_overlap("words", names))
+    seen = prose.select(F.explode(F.array_distinct("words")).alias("word")).groupBy("word").count()
+    common = seen.filter(F.col("count") >= max(2.0, rare * prose.count())).select("word")
+    terms = rows.filter(F.col("family") != UNKNOWN).select(F.explode("words").alias("word")).distinct().filter(~F.col("word").isin(*sorted(STOPS)))
     marked = sorted(r[0] for r in terms.join(common, "word", "left_anti").filter(F.char_length("word") > 1).collect())
     known = F.array(*map(F.lit, marked))
     share = F.size(F.filter("words", lambda w: F.array_contains(known, w))) / F.greatest(F.size("words"), F.lit(1))
-    plain = taken.filter(share < 0.2).select(F.lit(UNKNOWN).alias("family"), "text", F.expr("cast(pmod(h, 4) as int)").alias("fold"), "words")
+    plain = taken.filter((share < 0.2) & ~_like_templates()).select(F.lit(UNKNOWN).alias("family"), "text", F.expr("cast(pmod(h, 4) as int)").alias("fold"), "words")
     label = F.array_position(F.array(*map(F.lit, FAMILIES)), F.col("family")) - 1
     data = _flagged(rows.unionByName(plain).select(label.cast("int").alias("label"), "fold", "words").coalesce(1), marked, "training")
     data = data.select("label", "fold", _grams().alias("grams"))

@@ -195,3 +195,16 @@ def test_licenses(spark, odd_docs, no_docs):
     odd = licenses.license_documents(odd_docs, model)
     assert odd.count() == odd_docs.count() and odd.filter("families <> ''").count() == 0
     assert licenses.license_documents(no_docs, model).count() == 0
+
+
+def test_frequent_licence_notices_are_found(spark):
+    """Notices that differ per file, in a third of the lines and in all of them."""
+    rng = random.Random(8)
+    plain = lambda: " ".join(rng.choice("river walked seven under houses green slowly the of and to".split()) + rng.choice(["", "s", "ing"]) for _ in range(20))
+    notices = [(i, f"Copyright {1980 + i % 40} Holder{i}. Licensed under the MIT License") for i in range(300)]
+    for others in (600, 0):
+        docs = spark.createDataFrame(notices + [(1000 + i, plain()) for i in range(others)], "doc_id long, text string")
+        model = licenses.train(docs)
+        assert licenses.NAMES <= set(model.words) and not licenses.STOPS & set(model.words)
+        got = {r["doc_id"]: r["families"] for r in licenses.license_documents(docs, model).collect()}
+        assert [got[i] for i, _ in notices] == ["mit"] * len(notices) and all(got[1000 + i] == "" for i in range(others))
