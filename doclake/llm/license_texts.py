@@ -10,6 +10,7 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
         "This project is released under the Apache License 2.0.",
         "SPDX-License-Identifier: Apache-2.0",
+        "License: Apache-2.0", "License: Apache", "Apache licensed", "Apache License", "Apache License, Version 2.0",
     ),
     "mit": (
         "Released under the MIT License.",
@@ -17,6 +18,7 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
         "This project is licensed under the terms of the MIT license.",
         "SPDX-License-Identifier: MIT",
+        "License: MIT", "MIT licensed", "MIT License", "The MIT License (MIT)",
     ),
     "gpl": (
         "This work is licensed under the GNU General Public License, version 3.",
@@ -24,22 +26,26 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
         "You should have received a copy of the GNU General Public License along with this program. If not, see https://www.gnu.org/licenses/.",
         "SPDX-License-Identifier: GPL-3.0-or-later",
+        "License: GPL", "License: GPL-3.0", "GPL licensed", "GPL License", "GNU GPL", "GNU General Public License",
     ),
     "lgpl": (
         "This library is licensed under the GNU Lesser General Public License, version 2.1.",
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation.",
         "SPDX-License-Identifier: LGPL-2.1-or-later",
+        "License: LGPL", "License: LGPL-2.1", "LGPL licensed", "LGPL License", "GNU LGPL", "GNU Lesser General Public License",
     ),
     "bsd": (
         "Licensed under the BSD 3-Clause License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
         "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
         "SPDX-License-Identifier: BSD-3-Clause",
+        "License: BSD", "License: BSD-3-Clause", "BSD licensed", "BSD License", "BSD 3-Clause License",
     ),
     "mpl": (
         "Licensed under the Mozilla Public License, version 2.0.",
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
         "SPDX-License-Identifier: MPL-2.0",
+        "License: MPL", "License: MPL-2.0", "MPL licensed", "MPL License", "Mozilla Public License",
     ),
     "cc": (
         "Licensed under CC BY-NC 4.0.",
@@ -48,12 +54,14 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
         "This work is licensed under the Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License. To view a copy of this license, visit https://creativecommons.org/licenses/by-nc-sa/4.0/.",
         "Text is available under the Creative Commons Attribution-ShareAlike License.",
+        "License: CC BY 4.0", "License: CC BY-SA 4.0", "Creative Commons License",
     ),
     "public_domain": (
         "This work has been released into the public domain.",
         "This is free and unencumbered software released into the public domain.",
         "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work under CC0 1.0.",
         "SPDX-License-Identifier: CC0-1.0",
+        "License: CC0", "License: CC0-1.0", "License: public domain",
     ),
     "reserved": (
         "Copyright 2024 Example Media. All rights reserved.",
@@ -77,6 +85,7 @@ STOPS = frozenset(
 OTHERS: tuple[str, ...] = (
     "She passed the test and got her driving license on Monday.",
     "The apache helicopter landed near the public school.",
+    "MIT licensed the invention to a company in Boston.",
     "Researchers at MIT released a study about free software last week.",
     "A general asked the public for permission to use the land.",
     "The warranty of the car covers any person in the family.",

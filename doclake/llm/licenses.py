@@ -178,7 +178,7 @@ def license_paragraphs(docs: DataFrame, model: LicenseModel, least: float = 0.5,
 
     ``family`` is the most probable one, or ``unknown`` if that is unknown or below ``least``. ``template_share`` is the
     largest share of n-grams in common with a template of the family, of the smaller of the two sets; from ``alike`` on the
-    prediction is ``confirmed``, if ``shared`` n-grams agree at least. Every paragraph of every whole text is read; one without licence words gives no row, as do
+    prediction is ``confirmed``, if ``shared`` n-grams agree at least, or all of a template that has fewer. Every paragraph of every whole text is read; one without licence words gives no row, as do
     null and empty texts. Repeated rows give repeated results only if their doc_id or text differs.
     """
     spark = docs.sparkSession
@@ -205,8 +205,8 @@ def license_paragraphs(docs: DataFrame, model: LicenseModel, least: float = 0.5,
     grams = _flagged(grams, model.words, "templates").withColumn("grams", _grams())
     grams = grams.select("family", "template", F.size("grams").alias("m"), F.explode("grams").alias("gram"))
     common = each.join(F.broadcast(grams), "gram").groupBy("doc_id", "mark", "paragraph", "family", "template").agg(
-        (F.count("*") / F.least(F.first("n"), F.first("m"))).alias("share"), F.count("*").alias("common")
-    ).filter(F.col("common") >= shared)
+        (F.count("*") / F.least(F.first("n"), F.first("m"))).alias("share"), F.count("*").alias("common"), F.first("m").alias("m")
+    ).filter(F.col("common") >= F.least(F.lit(shared), F.col("m")))
     nearest = common.groupBy("doc_id", "mark", "paragraph", "family").agg(F.max("share").alias("template_share"))
     keys = [predicted[c].eqNullSafe(nearest[c]) for c in ("doc_id", "mark", "paragraph", "family")]
     found = predicted.join(nearest, [keys[0] & keys[1] & keys[2] & keys[3]], "left").select(

@@ -208,3 +208,55 @@ def test_frequent_licence_notices_are_found(spark):
         assert licenses.NAMES <= set(model.words) and not licenses.STOPS & set(model.words)
         got = {r["doc_id"]: r["families"] for r in licenses.license_documents(docs, model).collect()}
         assert [got[i] for i, _ in notices] == ["mit"] * len(notices) and all(got[1000 + i] == "" for i in range(others))
+
+
+def plain_licenses(docs, model, least=0.5, alike=0.5, shared=3):
+    marked = set(model.words)
+
+    def grams(text):
+        w = re.findall(r"[^\W_]+", text.lower())
+        return {" ".join(w[i : i + n]) for n in (1, 2, 3) for i in range(len(w) - n + 1) if marked & set(w[i : i + n])}
+
+    templates = {f: [grams(t) for t in group] for f, group in licenses.TEMPLATES.items()}
+    out = []
+    for d, text in docs:
+        families, counts = set(), [0, 0, 0]
+        for line in text.split("\n"):
+            mine = grams(line)
+            if not mine:
+                continue
+            raw = (np.array(model.bias) + sum(np.array(model.weights.get(g, [0.0] * len(licenses.FAMILIES))) for g in mine)) / model.temperature
+            shares = np.exp(raw - raw.max()) / np.exp(raw - raw.max()).sum()
+            family = licenses.FAMILIES[int(shares.argmax())] if shares.max() >= least else licenses.UNKNOWN
+            if family == licenses.UNKNOWN:
+                counts[2] += 1
+            elif any(len(mine & t) >= max(min(shared, len(t)), alike * min(len(mine), len(t))) for t in templates[family]):
+                families.add(family)
+                counts[0] += 1
+            else:
+                counts[1] += 1
+        out.append((d, ",".join(sorted(families)), *counts))
+    return sorted(out)
+
+
+def test_short_wrapped_and_reworded_notices(spark):
+    short = {
+        "License: MIT": "mit", '"license": "MIT",': "mit", 'license = "MIT"': "mit", "MIT licensed": "mit", "License: BSD": "bsd",
+        "license: Apache-2.0": "apache", "GPL licensed": "gpl", "License: LGPL": "lgpl", "license = MPL-2.0": "mpl", "License: CC0": "public_domain",
+    }
+    more = [
+        "Licensed under the Apache License,\nVersion 2.0 (the License); you may not use this\nfile except in compliance with the License.",
+        "Permission is hereby granted, free of\ncharge, to any person obtaining a copy",
+        "The whole of this package may be used under the terms of the MIT license, as its authors wish.",
+        "We release all our code under the GNU General Public License, version 3", "MIT licensed the invention to a company in Boston.",
+        "Her driving license came on Monday.", "MIT", "License", "the of and to", "",
+    ]
+    rng = random.Random(5)
+    prose = [" ".join(rng.choice("river walked seven houses green slowly the of and to".split()) for _ in range(30)) for _ in range(100)]
+    docs = list(enumerate([*short, *more, *prose]))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    model = licenses.train(df)
+    got = sorted(rows(licenses.license_documents(df, model)))
+    assert got == plain_licenses(docs, model)
+    assert [r[1] for r in got[: len(short)]] == list(short.values())
+    assert [r[1] for r in got[len(short) + 4 : len(short) + 8]] == ["", "", "", ""]
