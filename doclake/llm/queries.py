@@ -7,7 +7,22 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from doclake.llm import chat, decontaminate, fingerprints, html_labeller, licenses, minmax_dedup, packing, quality, sql, token_counts, token_files
+from doclake.llm import (
+    chat,
+    decontaminate,
+    fingerprints,
+    html_labeller,
+    licenses,
+    minmax_dedup,
+    packing,
+    periodic_runs,
+    quality,
+    sql,
+    token_counts,
+    token_files,
+    vector_codes,
+    warc_archive,
+)
 from doclake.llm.common import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,3 +134,42 @@ def op10_html_main_text(spark: SparkSession, sf: str) -> DataFrame:
     """Main text of every page, its blocks labelled by the recurrent network trained on a sample of the pages."""
     pages = table(spark, sf, "pages")
     return html_labeller.extract(pages, html_labeller.train(pages))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs of repeated words in every document, some of which are given a repeated ending first."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = periodic_runs.periodic_runs(periodic_runs.with_planted_repeats(docs), least=24, repeats=3)
+    best = periodic_runs.strongest()
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op12_warc_archive(spark: SparkSession, sf: str) -> DataFrame:
+    """Every page as a WARC record in a content-addressed archive, and what is read back from it."""
+    folder = shared_folder(spark, "warc")
+    warc_archive.write_archive(warc_archive.page_records(table(spark, sf, "pages")), folder)
+    found = warc_archive.read_records(spark, folder)
+    return found.select(
+        F.col("name").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to_name").alias("refers_to")
+    )
+
+
+@query
+def op13_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    """Codes of all vectors under codebooks learnt from all of them in whole numbers."""
+    vectors = vector_codes.whole_numbers(table(spark, sf, "embeddings").select("vec_id", "embedding", "label"))
+    blocks = vector_codes.hilbert_blocks(vectors, parts=4)
+    books = vector_codes.learn(blocks, vector_codes.first_entries(vectors, parts=4, entries=256), rounds=4)
+    return vector_codes.encode(vectors, blocks, books)
