@@ -84,10 +84,12 @@ def hilbert_blocks(vectors: DataFrame, parts: int = 4, most: int = 256) -> DataF
     if least != greatest or (least or 0) % parts:
         raise ValueError(f"vectors need one length that is a multiple of {parts}")
     width = (greatest or 0) // parts
-    mean = mean / count if count else 0.0
-    step = max((square / count - mean * mean) ** 0.5, 1.0) if count else 1.0
+    if not width:
+        return vectors.sparkSession.createDataFrame([], _BLOCKS)
+    mean /= count
+    step = max((square / count - mean * mean) ** 0.5, 1.0)
     axes = min(width, 63)
-    bits = max(1, min(8, 63 // max(axes, 1)))
+    bits = min(8, 63 // axes)
     cells = 1 << bits
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,8 +149,8 @@ def first_entries(vectors: DataFrame, parts: int = 4, entries: int = 256) -> np.
     Vectors without vec_id come last; of vectors that share one, the smaller components come first.
     """
     first = vectors.orderBy(F.col("vec_id").asc_nulls_last(), "numbers").limit(entries).select("numbers").collect()
-    rows = np.array([r[0] for r in first], np.int64)
-    return rows.reshape(len(first), parts, -1).transpose(1, 0, 2) if len(first) else np.zeros((parts, 0, 0), np.int64)
+    rows = np.array([r[0] for r in first], np.int64).reshape(len(first), -1 if first and first[0][0] else 0)
+    return rows.reshape(len(first), parts, rows.shape[1] // parts).transpose(1, 0, 2)
 
 
 def nearest(blocks: pa.RecordBatch, books: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray | int]]:
