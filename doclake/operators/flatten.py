@@ -184,3 +184,18 @@ def current_rows(rows: DataFrame, parsed: DataFrame) -> DataFrame:
         F.max(F.struct("parsed_at", "pipeline_run_id")).alias("latest")
     ).select("source_path", "latest.pipeline_run_id")
     return join_reduced(rows, latest, ["source_path", "pipeline_run_id"], "left_semi").select(*rows.columns)
+
+
+def superseded_pairs(earlier: DataFrame, documents: DataFrame) -> DataFrame:
+    """The (path, run) pairs of ``earlier`` whose document is among ``documents``: what a run that parsed those replaces."""
+    paths = documents.select("source_path").distinct()
+    pairs = earlier.select("source_path", "pipeline_run_id").distinct()
+    return join_reduced(pairs, paths, "source_path", "left_semi")
+
+
+def without_superseded(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``rows`` without those of the superseded (path, run) pairs.
+
+    The same rows as :func:`current_rows` leaves, at the price of the pairs alone: they number the documents parsed again.
+    """
+    return join_reduced(rows, pairs.distinct(), ["source_path", "pipeline_run_id"], "left_anti").select(*rows.columns)

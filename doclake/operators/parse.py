@@ -83,8 +83,24 @@ def python_extractor(load: Callable[[], DocumentExtractor], on_error: str = "rai
                 results.append(result)
             yield pd.Series(results)
 
+    @F.pandas_udf("result string, error string")
+    def attempt(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        parse = load()
+        for contents, options in batches:
+            results, errors = [], []
+            for content, chosen in zip(contents, options):
+                try:
+                    results.append(json.dumps(parse(content, dict(chosen))))
+                    errors.append(None)
+                except Exception as error:
+                    results.append(None)
+                    errors.append(str(error)[:ERROR_LENGTH] or type(error).__name__)
+            yield pd.DataFrame({"result": pd.Series(results, dtype=object), "error": pd.Series(errors, dtype=object)})
+
     if on_error == "raise":
-        return lambda content, options: F.parse_json(extract(content, options))
+        raising = lambda content, options: F.parse_json(extract(content, options))
+        raising.attempt = attempt
+        return raising
     # A result that is no valid VARIANT (too large, say) is that document's failure alone.
     failed = json.dumps({"document": {"elements": [], "pages": []}, "error_status": [{"page_id": None, "error_message": "result cannot be stored"}]})
     return lambda content, options: F.coalesce(F.try_parse_json(extract(content, options)), F.parse_json(F.lit(failed)))
@@ -106,3 +122,22 @@ def parse_documents(
         "pipeline_run_id",
         "batch_id",
     ).select(*PARSED_DOCUMENTS.names)
+
+
+def attempt_documents(
+    raw: DataFrame, extractor: ColumnExtractor, options: Column | None = None, parsed_at: str | None = None
+) -> DataFrame:
+    """:func:`parse_documents` with each document's own failure: its message in ``parse_error``, and no result.
+
+    A Python extractor that raises fails its document alone, so the job goes on. What a column extractor raises, and a worker
+    that dies, still fail the job; :func:`doclake.plans.waves.run_waves` then looks for the batch that does it.
+    """
+    attempt = getattr(extractor, "attempt", None)
+    if attempt is None:
+        return parse_documents(raw, extractor, options, parsed_at).withColumn("parse_error", F.lit(None).cast("string"))
+    now = F.current_timestamp() if parsed_at is None else F.to_timestamp(F.lit(parsed_at))
+    chosen = parse_options() if options is None else options
+    tried = raw.withColumn("_tried", attempt(F.col("content"), chosen)).drop("content")
+    tried = tried.withColumn("parsed_output", F.try_parse_json("_tried.result")).withColumn("parsed_at", now)
+    error = F.when(F.col("parsed_output").isNull(), F.coalesce("_tried.error", F.lit("result cannot be stored")))
+    return tried.select(*PARSED_DOCUMENTS.names, error.alias("parse_error"))

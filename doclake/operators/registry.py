@@ -106,6 +106,43 @@ def upsert(
     return old.join(new, key, "full_outer").select(*[merged(c) for c in target.columns])
 
 
+_STAMPS = ("synced_at", "pipeline_run_id")
+
+
+def registry_delta(registry: DataFrame, found: DataFrame, key: str = "document_id") -> DataFrame:
+    """What ``found`` adds to the registry log: whole rows of new and changed files, key and stamps of the others.
+
+    A row is unchanged if all columns a sync may update, but the stamps, are as they were.
+    """
+    compared = [c for c in UPDATED_COLUMNS if c not in _STAMPS]
+    before = registry.select(key, F.struct(*compared).alias("_before"))
+    same = F.col("_before").isNotNull() & F.col("_before").eqNullSafe(F.struct(*compared))
+    kept = [F.col(c) if c in (key, *_STAMPS) else F.when(~F.col("seen_only"), F.col(c)).alias(c) for c in found.columns]
+    joined = found.join(before, key, "left").withColumn("seen_only", same)
+    return joined.select(*kept, "seen_only")
+
+
+def merge_deltas(
+    deltas: DataFrame, order: str = "order", key: str = "document_id", update_cols: Sequence[str] = UPDATED_COLUMNS
+) -> DataFrame:
+    """The registry from its log: the same as one :func:`upsert` after the other, in ascending ``order``.
+
+    ``deltas`` are registry rows with ``order`` and ``seen_only``; a delta holds a key once. Columns that a sync updates come from
+    the last whole row, stamps from the last row, all others from the first whole row. One aggregate, partial before the shuffle.
+    """
+    columns = [c for c in deltas.columns if c not in (order, "seen_only")]
+    whole = F.when(~F.col("seen_only"), F.col(order))
+    first = [c for c in columns if c != key and c not in update_cols]
+    last = [c for c in update_cols if c not in _STAMPS]
+    merged = deltas.groupBy(key).agg(
+        F.min_by(F.struct(*first), whole).alias("first"),
+        F.max_by(F.struct(*last), whole).alias("last"),
+        F.max_by(F.struct(*_STAMPS), F.col(order)).alias("stamps"),
+    )
+    source = {c: "stamps" for c in _STAMPS} | {c: "last" for c in last} | {c: "first" for c in first}
+    return merged.select(*[F.col(c) if c == key else F.col(f"{source[c]}.{c}").alias(c) for c in columns])
+
+
 def sync_summary(rows: DataFrame, source_failures: DataFrame | None = None) -> DataFrame:
     """Listed, synced and failed files per source, and in total (``source_name`` NULL).
 

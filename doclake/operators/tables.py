@@ -7,6 +7,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from doclake.operators import commits
+from doclake.operators.folders import children as _children, exists as _exists
 from doclake.schemas import TABLES
 
 _SNAPSHOT = "snapshot-"
@@ -18,22 +20,14 @@ def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
-
-
-def _children(spark: SparkSession, path: str) -> list[str]:
-    if not _exists(spark, path):
-        return []
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return [status.getPath().getName() for status in files.listStatus(hadoop_path)]
-
-
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A run-partitioned table, with its declared columns; empty if nothing was written yet."""
+    """A run-partitioned table, with its declared columns; empty if nothing was written yet.
+
+    Where runs were committed (see :mod:`doclake.operators.commits`), what their commits name.
+    """
     schema, path = TABLES[name], table_path(root, name)
+    if _exists(spark, f"{root.rstrip('/')}/{commits.COMMITS}"):
+        return commits.read_table(spark, root, name)
     if not any("=" in child for child in _children(spark, path)):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path).select(*schema.names)
@@ -92,14 +86,25 @@ def clear_run(spark: SparkSession, root: str, name: str, run_id: str, by: Sequen
 
 
 def _snapshots(spark: SparkSession, path: str) -> list[str]:
-    """Complete snapshots, oldest first; one without its success marker was cut short and is ignored."""
+    """Complete snapshots, oldest first; one without its success marker was cut short and is ignored.
+
+    Several snapshots of which none is marked are an error: the markers are switched off, and the table would seem empty.
+    """
     names = sorted(n for n in _children(spark, path) if n.startswith(_SNAPSHOT))
-    return [n for n in names if _exists(spark, f"{path}/{n}/_SUCCESS")]
+    done = [n for n in names if _exists(spark, f"{path}/{n}/_SUCCESS")]
+    if len(names) > 1 and not done:
+        raise RuntimeError(f"no snapshot below {path} has its _SUCCESS marker; these sessions must write them")
+    return done
 
 
 def read_snapshot(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The current state of a table that is replaced as a whole; empty if there is none."""
+    """The current state of a table that is replaced as a whole; empty if there is none.
+
+    The registry of committed runs is merged from its log.
+    """
     path = table_path(root, name)
+    if name == "document_registry" and _exists(spark, f"{root.rstrip('/')}/{commits.COMMITS}"):
+        return commits.read_registry(spark, root)
     done = _snapshots(spark, path)
     if not done:
         return spark.createDataFrame([], TABLES[name])

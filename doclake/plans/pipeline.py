@@ -1,8 +1,11 @@
 """One run over all sources, stage by stage, every row stamped with the run.
 
-Each stage reads tables and writes tables, so a run that is cut short can be started again with its
-run id: every write replaces the partitions of that run. The driver holds only the list of sources,
-the batch numbers and one row of counts per stage.
+Each stage reads tables and writes tables. What a run has written counts from its commits on: one when the
+registry has its files, one when documents are loaded and queued, one when all that was parsed from them is in
+place, so a run that is cut short leaves the state of its last commit, and can be started again with its run id.
+Documents are loaded in the order of their file names, and all steps after that are narrow, a file to a task,
+so the files of every table hold short ranges of names without any shuffle of contents. The driver holds only the list
+of sources, the folders a commit names and one row of counts per stage.
 """
 
 from __future__ import annotations
@@ -12,7 +15,7 @@ import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timedelta, timezone
 from functools import reduce
 from typing import Any, NamedTuple
@@ -20,14 +23,16 @@ from typing import Any, NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from doclake import schemas
-from doclake.operators import tables
+from doclake.operators import commits, tables
 from doclake.operators.aggregates import row_counts
 from doclake.operators.batching import assign_batches
-from doclake.operators.flatten import current_rows, flatten_elements, flatten_pages, payload_sizes
+from doclake.operators.commits import Run
+from doclake.operators.flatten import flatten_elements, flatten_pages, payload_sizes
 from doclake.operators.incremental import not_yet_parsed, one_per_content
-from doclake.operators.parse import ColumnExtractor, parse_documents, parse_options, text_extractor
-from doclake.operators.registry import dedupe_latest, registry_rows, sync_summary, upsert
+from doclake.operators.parse import ColumnExtractor, parse_options, text_extractor
+from doclake.operators.registry import dedupe_latest, registry_delta, registry_rows, sync_summary
 from doclake.operators.runlog import ERROR_LENGTH, fold_log, log_events
+from doclake.plans.waves import Waves, last_attempts, run_waves
 from doclake.session import durable
 from doclake.sources import assign_staging_path, load_raw, read_source, stage_with_isolation
 from doclake.sources.files import Fetch
@@ -43,10 +48,11 @@ class PipelineParams:
     """What a run needs: where the tables are, what to list, and how to parse.
 
     Each source is a mapping as :func:`doclake.sources.read_source` takes it, with a ``name``. With
-    ``image_dir`` page images go to a folder per run below it. ``on_unreadable="skip"`` leaves out files that
-    can no longer be read at ingest, their documents staying queued in the log, instead of ending the run. Give a
+    ``image_dir`` page images go to a folder per run below it. A file that can no longer be read at ingest is failed
+    in the log with the reason; ``on_unreadable="skip"`` leaves its document queued, ``"fail"`` ends the run. Give a
     ``fetch`` to sources whose listed paths cannot be opened as files. The batch size is the unit of
-    retry: large corpora want batches of many thousand documents, some of them in parallel.
+    failure and retry. All batches are parsed in one job, or ``parallel_batches`` at a time, where a model behind
+    the extractor wants it. The registry log is compacted when it outgrows ``compact_share`` of the registry.
     """
 
     root: str
@@ -62,9 +68,10 @@ class PipelineParams:
     staging_base: str | None = None
     on_error: str = "raise"
     bytes_per_task: int = 256 * 1024 * 1024
-    parallel_batches: int = 1
+    parallel_batches: int | None = None
     image_dir: str | None = None
-    on_unreadable: str = "fail"
+    on_unreadable: str = "failed"
+    compact_share: float = 0.5
 
     def __post_init__(self) -> None:
         if self.max_retries < 1:
@@ -84,6 +91,7 @@ class RunSummary:
     synced: int = 0
     failed_to_sync: int = 0
     to_process: int = 0
+    unreadable: int = 0
     batches: int = 0
     batches_failed: int = 0
     retries: int = 0
@@ -124,12 +132,24 @@ def _stage(files: DataFrame, registry: DataFrame, source: Mapping[str, Any], par
     return assign_staging_path(readable, known, params.staging_base).unionByName(unreadable_files)
 
 
-def sync(spark: SparkSession, params: PipelineParams, run_id: str) -> DataFrame:
-    """List and hash every source and merge the result into the registry; returns the sync summary.
+def _file_per_task(spark: SparkSession) -> SparkSession:
+    """A session with the same settings in which a scan puts no two files into one task, so that the files a narrow step
+    writes hold the same ranges of names as those it reads."""
+    other = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and other.conf.isModifiable(key):
+            other.conf.set(key, value)
+    other.conf.set("spark.sql.files.openCostInBytes", spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    return other
+
+
+def sync(run: Run, params: PipelineParams) -> DataFrame:
+    """List and hash every source and add the result to the registry; returns the sync summary.
 
     A source that cannot be opened or listed counts as one failure and leaves the others alone.
     """
-    registry = tables.read_snapshot(spark, params.root, "document_registry")
+    spark = run.spark
+    registry = commits.read_registry(spark, params.root)
     rows, broken = [], []
     for source in params.sources:
         name = source.get("name", "unknown")
@@ -141,31 +161,35 @@ def sync(spark: SparkSession, params: PipelineParams, run_id: str) -> DataFrame:
             log.exception("source %s could not be listed", name)
             broken.append((name,))
             continue
-        rows.append(durable(registry_rows(files, _stage(files, registry, source, params), run_id)))
+        rows.append(durable(registry_rows(files, _stage(files, registry, source, params), run.run_id)))
     failures = spark.createDataFrame(broken, "source_name string")
     if not rows:
         return sync_summary(spark.createDataFrame([], schemas.DOCUMENT_REGISTRY), failures)
     found = reduce(DataFrame.unionByName, rows)
-    # Two sources of one name that list the same file would give its key twice.
-    merged = upsert(registry, dedupe_latest(found, ["document_id"], ["sync_status"]))
-    tables.replace_snapshot(merged, params.root, "document_registry", ["source_name", "sync_status"], ["document_id"])
+    # Two sources of one name that list the same file would give its key twice. A repeated run replaces its own rows.
+    unique = dedupe_latest(found, ["document_id"], ["sync_status"])
+    others = commits.read_registry(spark, params.root, without_run=run.run_id)
+    delta = run.write(registry_delta(others, unique), "document_registry")
+    run.put(replace(delta, rows=run.stored(delta).filter(~F.col("seen_only")).count()))
+    run.commit()
+    commits.compact_registry(spark, params.root, params.compact_share)
     return sync_summary(found, failures)
 
 
-def ingest(spark: SparkSession, params: PipelineParams, run_id: str) -> int:
-    """Load the documents that still need parsing, in batches, and open their log; returns their number.
+def ingest(run: Run, params: PipelineParams) -> int:
+    """Load the documents that still need parsing, and open their log; returns their number.
 
-    Ranking and batching see metadata only. The bytes are read by the tasks that write them, which
-    hold the documents of few batches each.
+    Ranking and batching see metadata only. The bytes are read by the tasks that write them. From the commit of this
+    stage on, nothing of an earlier attempt of the run is left in any table, and raw documents are those of this run.
     """
-    for name in ("document_elements", "document_pages", "batch_attempts"):
-        tables.clear_run(spark, params.root, name, run_id)
-    tables.clear_run(spark, params.root, "parsed_documents", run_id, ["batch_id"])
-    registry = tables.read_snapshot(spark, params.root, "document_registry")
-    parsed = tables.read_table(spark, params.root, "parsed_documents")
+    spark, run_id = run.spark, run.run_id
+    run.clear("document_registry")
+    registry = commits.read_registry(spark, params.root)
     # A repeated run must not take its own first attempt for earlier work.
-    earlier = parsed.filter(F.col("pipeline_run_id") != run_id).select("source_path", "content_hash", "parsed_at", "pipeline_run_id")
-    new = not_yet_parsed(registry, earlier, run_id, params.incremental)
+    earlier = commits.read_table(spark, params.root, "parsed_documents", without_run=run_id)
+    new = not_yet_parsed(
+        registry, earlier.select("source_path", "content_hash", "parsed_at", "pipeline_run_id"), run_id, params.incremental
+    )
     if params.dedupe_content:
         new = one_per_content(new)
     chosen = new.select(
@@ -173,16 +197,17 @@ def ingest(spark: SparkSession, params: PipelineParams, run_id: str) -> int:
     )
     batched = durable(assign_batches(chosen, params.batch_size, params.batching))
     count = batched.count()
-    if count == 0:
-        return 0
     fetches = {s.get("name", "unknown"): s["fetch"] for s in params.sources if "fetch" in s}
     parts = [(batched.filter(~F.col("source_name").isin(*fetches)) if fetches else batched, None)]
     parts += [(batched.filter(F.col("source_name") == name), fetch) for name, fetch in fetches.items()]
-    raw = reduce(
-        DataFrame.unionByName,
-        [load_raw(part, run_id, on_unreadable=params.on_unreadable, fetch=fetch, bytes_per_task=params.bytes_per_task) for part, fetch in parts],
-    )
-    tables.replace_run(raw, params.root, "raw_documents", run_id, ["batch_id"])
+    loads = [
+        load_raw(part, run_id, on_unreadable=params.on_unreadable, fetch=fetch, bytes_per_task=params.bytes_per_task)
+        for part, fetch in parts
+    ]
+    raw = reduce(DataFrame.unionByName, loads) if count else spark.createDataFrame([], schemas.RAW_DOCUMENTS)
+    if "read_error" not in raw.columns:
+        raw = raw.withColumn("read_error", F.lit(None).cast("string"))
+    run.write(raw, "raw_documents")
     opened = log_events(
         batched.withColumn("pipeline_run_id", F.lit(run_id)),
         QUEUED,
@@ -190,25 +215,43 @@ def ingest(spark: SparkSession, params: PipelineParams, run_id: str) -> int:
         attempt_number=F.lit(0),
         started_at=F.current_timestamp(),
     )
-    _append_events(opened, params.root, "queued")
+    run.write(opened, "processing_log", "queued")
+    failed = log_events(
+        commits.unreadable(run),
+        FINISHED,
+        status=F.lit("failed"),
+        batch_id=F.col("batch_id"),
+        error_message=F.col("read_error"),
+        completed_at=F.current_timestamp(),
+    )
+    run.write(failed, "processing_log", "unreadable")
+    run.commit()
     return count
 
 
-def _append_events(events: DataFrame, root: str, step: str) -> None:
-    """Log events of one step of a run; writing a step again replaces it."""
-    path = tables.table_path(root, "processing_log")
-    (
-        events.withColumn("step", F.lit(step))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("pipeline_run_id", "step")
-        .parquet(path)
-    )
+def read_log(spark: SparkSession, root: str, file_names: Sequence[str] | None = None) -> DataFrame:
+    """The processing log as it stands, of all documents or those of some file names."""
+    return fold_log(commits.read_table(spark, root, "processing_log", file_names))
+
+
+def read_current(
+    spark: SparkSession, root: str, name: str, file_names: Sequence[str] | None = None, page: int | None = None
+) -> DataFrame:
+    """Element or page rows of each document's latest parse, of all documents or those of some file names and a page."""
+    return commits.read_current(spark, root, name, file_names, page)
 
 
-def read_log(spark: SparkSession, root: str) -> DataFrame:
-    """The processing log as it stands."""
-    return fold_log(tables.read_table(spark, root, "processing_log"))
+def open_file(spark: SparkSession, root: str, file_name: str, page: int | None = None) -> dict[str, DataFrame]:
+    """What document and page views of one file name read: ``parsed``, ``elements``, ``pages`` and ``log``.
+
+    Only files that can hold the name (and page) by their statistics are opened; see :func:`doclake.operators.commits.files_holding`.
+    """
+    return {
+        "parsed": read_current(spark, root, "parsed_documents", [file_name]),
+        "elements": read_current(spark, root, "document_elements", [file_name], page),
+        "pages": read_current(spark, root, "document_pages", [file_name], page),
+        "log": read_log(spark, root, [file_name]),
+    }
 
 
 class Attempt(NamedTuple):
@@ -264,42 +307,24 @@ def run_batches(
         return [attempt for attempts in pool.map(run, batches) for attempt in attempts]
 
 
-def parse(spark: SparkSession, params: PipelineParams, run_id: str) -> DataFrame:
+def parse(run: Run, params: PipelineParams) -> DataFrame:
     """Parse the loaded batches and log each document's way; returns the batch attempts.
 
-    A batch is one write of one partition, so it is all there or not at all, and a retry replaces it.
-    Attempts are few rows, one per batch and try; the documents of a batch find their outcome by a
-    join on the batch number, not by an update each.
+    Attempts are few rows, one per batch and try; the documents of a batch find their outcome by a join on the batch
+    number, not by an update each.
     """
-    raw = tables.read_table(spark, params.root, "raw_documents").filter(F.col("pipeline_run_id") == run_id)
-    sizes = {r["batch_id"]: r["n"] for r in raw.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n")).collect()}
+    raw = run.read("raw_documents", _file_per_task(run.spark))
     documents = raw.select("source_name", "source_path", "file_name", "pipeline_run_id", "batch_id")
     started = log_events(
         documents, PROCESSING, status=F.lit("processing"), batch_id=F.col("batch_id"), started_at=F.current_timestamp()
     )
-    _append_events(started, params.root, "processing")
-    options = parse_options(image_dir=params.image_dir, run_id=run_id) if params.options is None else params.options
-
-    def write_batch(batch: int) -> None:
-        parsed = parse_documents(raw.filter(F.col("batch_id") == batch), params.extractor, options)
-        tables.append(parsed, params.root, "parsed_documents", ["pipeline_run_id", "batch_id"])
-
-    done = run_batches(
-        sorted(sizes), write_batch, params.max_retries, params.retry_delay_seconds, parallel=params.parallel_batches
-    )
-    rows = [
-        (run_id, a.batch_id, a.attempt_number, a.outcome, sizes[a.batch_id], a.duration_ms, a.error_message, a.started_at, a.completed_at)
-        for a in done
-    ]
-    attempts = spark.createDataFrame(rows, schemas.BATCH_ATTEMPTS)
-    tables.append(attempts, params.root, "batch_attempts")
-    last = attempts.groupBy("batch_id").agg(
-        F.max(F.struct("attempt_number", "outcome", "duration_ms", "error_message", "completed_at")).alias("last"),
-        F.min("started_at").alias("first_started"),
-    )
+    run.write(started, "processing_log", "processing")
+    options = parse_options(image_dir=params.image_dir, run_id=run.run_id) if params.options is None else params.options
+    how = Waves(params.max_retries, params.retry_delay_seconds, params.parallel_batches)
+    attempts = run_waves(run, raw, params.extractor, options, how)
     ok = F.col("last.outcome") == "completed"
     finished = log_events(
-        documents.join(last, "batch_id"),
+        documents.join(last_attempts(attempts), "batch_id"),
         FINISHED,
         status=F.col("last.outcome"),
         attempt_number=F.col("last.attempt_number"),
@@ -308,21 +333,17 @@ def parse(spark: SparkSession, params: PipelineParams, run_id: str) -> DataFrame
         started_at=F.col("first_started"),
         completed_at=F.col("last.completed_at"),
     )
-    _append_events(finished, params.root, "finished")
+    run.write(finished, "processing_log", "finished")
     return attempts
 
 
-def flatten(spark: SparkSession, params: PipelineParams, run_id: str) -> None:
-    """Write the run's element and page rows, and log their counts.
-
-    Rows of a document's earlier runs stay where they are; :func:`read_current` leaves them out.
-    """
-    parsed = tables.read_table(spark, params.root, "parsed_documents").filter(F.col("pipeline_run_id") == run_id)
-    tables.append(flatten_elements(parsed, on_error=params.on_error), params.root, "document_elements")
-    tables.append(flatten_pages(parsed, on_error=params.on_error), params.root, "document_pages")
-
+def flatten(run: Run, params: PipelineParams) -> None:
+    """Write the run's element and page rows, log their counts, and name the rows of earlier runs they supersede."""
+    parsed = run.read("parsed_documents", _file_per_task(run.spark))
+    run.write(flatten_elements(parsed, on_error=params.on_error), "document_elements")
+    run.write(flatten_pages(parsed, on_error=params.on_error), "document_pages")
     written = [
-        row_counts(tables.read_table(spark, params.root, table).filter(F.col("pipeline_run_id") == run_id), name)
+        row_counts(run.read(table), name)
         for table, name in (("document_elements", "elements_extracted"), ("document_pages", "pages_parsed"))
     ]
     index = parsed.select("source_name", "source_path", "file_name", "pipeline_run_id")
@@ -339,27 +360,26 @@ def flatten(spark: SparkSession, params: PipelineParams, run_id: str) -> None:
         elements_extracted=F.col("elements_extracted"),
         pages_parsed=F.col("pages_parsed"),
     )
-    _append_events(sizes, params.root, "sizes")
-    _append_events(counted, params.root, "row_counts")
-
-
-def read_current(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Element or page rows of each document's latest parse."""
-    parsed = tables.read_table(spark, root, "parsed_documents")
-    return current_rows(tables.read_table(spark, root, name), parsed.select("source_path", "parsed_at", "pipeline_run_id"))
+    run.write(sizes, "processing_log", "sizes")
+    run.write(counted, "processing_log", "row_counts")
+    run.supersede(commits.read_table(run.spark, params.root, "parsed_documents", without_run=run.run_id), parsed)
 
 
 def run_pipeline(spark: SparkSession, params: PipelineParams, run_id: str | None = None) -> RunSummary:
-    """Sync, ingest, parse and flatten; stages with nothing to do are skipped."""
+    """Sync, ingest, parse and flatten; stages with nothing to do are skipped.
+
+    Parsing and flattening are committed together: until then the documents are queued and come up again in any run.
+    """
     summary = RunSummary(tables.checked_run_id(run_id or str(uuid.uuid4())))
-    run = summary.run_id
-    total = sync(spark, params, run).filter(F.col("source_name").isNull()).first()
+    run = Run(spark, params.root, summary.run_id)
+    total = sync(run, params).filter(F.col("source_name").isNull()).first()
     if total is not None:
         summary.listed, summary.synced, summary.failed_to_sync = total["listed"], total["synced"], total["failed"]
-    summary.to_process = ingest(spark, params, run)
+    summary.to_process = ingest(run, params)
     if summary.to_process == 0:
         return summary
-    attempts = parse(spark, params, run)
+    summary.unreadable = commits.unreadable(run).count()
+    attempts = parse(run, params)
     outcomes = attempts.agg(
         F.count_distinct("batch_id").alias("batches"),
         F.count_if(F.col("outcome") == "completed").alias("completed"),
@@ -368,10 +388,8 @@ def run_pipeline(spark: SparkSession, params: PipelineParams, run_id: str | None
     ).first()
     summary.batches, summary.retries, summary.parsed = outcomes["batches"], outcomes["retries"], outcomes["parsed"]
     summary.batches_failed = outcomes["batches"] - outcomes["completed"]
-    if summary.parsed == 0:
-        return summary
-    flatten(spark, params, run)
-    for name, table in (("elements", "document_elements"), ("pages", "document_pages")):
-        rows = tables.read_table(spark, params.root, table).filter(F.col("pipeline_run_id") == run)
-        setattr(summary, name, rows.count())
+    if summary.parsed:
+        flatten(run, params)
+        summary.elements, summary.pages = (run.read(name).count() for name in ("document_elements", "document_pages"))
+    run.commit()
     return summary

@@ -28,6 +28,9 @@ DOCUMENT_REGISTRY = _schema(
     pipeline_run_id=STRING,
 )
 
+# The registry is kept as a log. A file seen again unchanged adds only its key and stamps.
+REGISTRY_DELTA = T.StructType([*DOCUMENT_REGISTRY.fields, T.StructField("seen_only", BOOL)])
+
 RAW_DOCUMENTS = _schema(
     source_name=STRING,
     source_path=STRING,

@@ -121,13 +121,13 @@ def _spread(df: DataFrame, path: str, bytes_per_task: int) -> DataFrame:
     """Rows dealt over enough tasks that each reads about ``bytes_per_task``.
 
     The number is explicit because runtime re-planning would judge these rows by their own few bytes
-    and merge them into one task. Documents of a batch stay together, so that writing by batch opens
-    few files per task; a large batch is cut by path.
+    and merge them into one task. Documents to be loaded are dealt by ranges of file name, so that
+    files written by these tasks, and by narrow steps after them, each hold a short range of names.
     """
     total = df.agg(F.coalesce(F.sum("file_size_bytes"), F.lit(0))).first()[0]
     tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-int(total) // bytes_per_task))
     if "batch_id" in df.columns:
-        return df.repartitionByRange(tasks, "batch_id", path)
+        return df.repartitionByRange(tasks, "file_name", path).sortWithinPartitions("file_name", path)
     return df.repartition(tasks, path)
 
 
@@ -238,12 +238,15 @@ def load_raw(
 
     ``to_process`` is metadata only, so nothing heavier than a path is shuffled: ``source_path`` as
     recorded, ``original_path`` to read. The recorded size stays that of the registry. A file that has
-    become unreadable fails the job, or is left out with ``on_unreadable="skip"``. Empty files are kept.
+    become unreadable fails the job, is left out with ``on_unreadable="skip"``, or stays without content and
+    hash, and with its ``read_error`` in a column more, with ``"failed"``. Empty files are kept.
     """
-    if on_unreadable not in ("fail", "skip"):
-        raise ValueError("on_unreadable must be 'fail' or 'skip'")
+    if on_unreadable not in ("fail", "skip", "failed"):
+        raise ValueError("on_unreadable must be 'fail', 'skip' or 'failed'")
     read = read_bytes(to_process, "original_path", fetch, keep_content=True, **spread)
-    if on_unreadable == "skip":
+    if on_unreadable == "failed":
+        pass
+    elif on_unreadable == "skip":
         read = read.filter(F.col("read_error").isNull())
     else:
         failure = F.raise_error(F.concat_ws(": ", "original_path", "read_error")).cast("binary")
@@ -261,4 +264,5 @@ def load_raw(
         now.alias("ingested_at"),
         F.lit(run_id).alias("pipeline_run_id"),
         batch.alias("batch_id"),
+        *(["read_error"] if on_unreadable == "failed" else []),
     )

@@ -84,7 +84,6 @@ def test_run_rerun_and_increment(spark, corpus, tmp_path):
     current = read_current(spark, p.root, "document_elements")
     assert rows(current.filter(F.col("source_path") == edited).select("content")) == [("New title",)]
     assert current.count() == first.elements - 4 + 1
-    assert len(tables.old_snapshots(spark, p.root, "document_registry")) == 4
 
 
 def test_failing_batches_are_retried_then_left(spark, corpus, tmp_path):
