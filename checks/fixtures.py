@@ -342,3 +342,45 @@ def library_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_chars").alias("size"),
     )
     return sources.unionByName(langs).unionByName(leaves)
+
+
+def mixed_parsed(spark: SparkSession, sf_dir: str, bad_casts: bool) -> DataFrame:
+    """Every document with a payload of odd shapes: items that are no objects, boxes and corners of other kinds, numbers as text,
+    error lists that are none; with ``bad_casts`` also values that are no numbers."""
+    number = F.col("doc_id").cast("string")
+    whole = F.struct(
+        F.lit("7").alias("id"),
+        F.lit(3).alias("type"),
+        F.col("text").alias("content"),
+        F.array(F.struct(F.lit("2").alias("page_id"), F.array(F.lit(1), F.lit(2), F.col("doc_id"), F.lit(4)).alias("coord"))).alias("bbox"),
+    )
+    odd_id = F.when(F.lit(bad_casts) & (F.col("doc_id") % 3 == 0), '"abc"').otherwise("2.7")
+    elements = F.concat(
+        F.lit("["),
+        F.to_json(whole),
+        F.lit(', "loose", 17, null, [1], {"id": 5, "type": {"a": 1}, "bbox": {"page_id": 1}}, {"id": 8, "bbox": "none"}, {"id": '),
+        odd_id,
+        F.lit(', "description": [1, 2], "bbox": ["x", {"page_id": 0, "coord": "flat"}, {"coord": [9, "8", null]}, null]}]'),
+    )
+    pages = F.concat(F.lit('[{"id": 0, "image_uri": '), number, F.lit('}, "p", {"id": "1", "image_uri": {"u": 1}}, {"image_uri": "z"}]'))
+    errors = F.when(F.col("doc_id") % 4 == 0, '"broken"').when(F.col("doc_id") % 4 == 1, '{"page_id": 0}').otherwise(
+        F.concat(F.lit('[{"page_id": 0}, "late", {"page_id": "1"}, {"page_id": '), odd_id, F.lit("}]"))
+    )
+    text = F.concat(
+        F.lit('{"document": {"elements": '), elements, F.lit(', "pages": '), pages, F.lit('}, "error_status": '), errors, F.lit("}")
+    )
+    return table(spark, sf_dir, "documents").select(
+        F.col("source").alias("source_name"),
+        _path().alias("source_path"),
+        _file_name().alias("file_name"),
+        F.parse_json(text).alias("parsed_output"),
+        _at("doc_id div 10").alias("parsed_at"),
+        _run().alias("pipeline_run_id"),
+    )
+
+
+def fetched(path: str) -> bytes:
+    """Bytes of a listed file, made of its path; paths that end in 7.txt cannot be read."""
+    if path.endswith("7.txt"):
+        raise OSError("gone")
+    return f"content of {path}".encode()

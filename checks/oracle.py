@@ -2,7 +2,25 @@
 
 from __future__ import annotations
 
+_UPSERT = """
+            SELECT document_id, coalesce(t.source_name, s.source_name) AS source_name, coalesce(t.source_type, s.source_type) AS source_type,
+                   coalesce(t.original_path, s.original_path) AS original_path,
+                   CASE WHEN s.k THEN s.staging_path ELSE t.staging_path END AS staging_path,
+                   coalesce(t.file_name, s.file_name) AS file_name,
+                   CASE WHEN s.k THEN s.file_size_bytes ELSE t.file_size_bytes END AS file_size_bytes,
+                   CASE WHEN s.k THEN s.content_hash ELSE t.content_hash END AS content_hash,
+                   CASE WHEN s.k THEN s.sync_status ELSE t.sync_status END AS sync_status,
+                   CASE WHEN s.k THEN s.sync_error ELSE t.sync_error END AS sync_error,
+                   CASE WHEN s.k THEN s.synced_at ELSE t.synced_at END AS synced_at,
+                   coalesce(t.registered_at, s.registered_at) AS registered_at,
+                   CASE WHEN s.k THEN s.pipeline_run_id ELSE t.pipeline_run_id END AS pipeline_run_id
+            FROM registry t FULL JOIN (SELECT *, true AS k FROM resync) s USING (document_id)"""
+
 _CTES = {
+    "modes": """
+        SELECT doc_id, text, '/' || source || '/' || doc_id || '.txt' AS source_path, 'run_' || lang AS pipeline_run_id, mode,
+               CASE WHEN mode = 'raise' OR doc_id % 3 <> 0 THEN 2 END AS odd
+        FROM documents CROSS JOIN (VALUES ('raise'), ('null')) m(mode)""",
     "files": """
         SELECT d.doc_id, d.lang, d.n_chars, d.source AS source_name,
                ['volume', 'sharepoint', 'google_drive', 'adls'][(d.doc_id % 4 + 1)::INT] AS source_type,
@@ -282,25 +300,27 @@ def all_sql() -> dict[str, str]:
             SELECT source_name, original_path, coalesce(old_path, '/staging/' || source_name || '/' || final) AS staging_path,
                    final AS file_name FROM given"""),
         # Registry
-        "snk5_registry_upsert": _with(["registry", "resync"], """
-            SELECT document_id, coalesce(t.source_name, s.source_name) AS source_name, coalesce(t.source_type, s.source_type) AS source_type,
-                   coalesce(t.original_path, s.original_path) AS original_path,
-                   CASE WHEN s.k THEN s.staging_path ELSE t.staging_path END AS staging_path,
-                   coalesce(t.file_name, s.file_name) AS file_name,
-                   CASE WHEN s.k THEN s.file_size_bytes ELSE t.file_size_bytes END AS file_size_bytes,
-                   CASE WHEN s.k THEN s.content_hash ELSE t.content_hash END AS content_hash,
-                   CASE WHEN s.k THEN s.sync_status ELSE t.sync_status END AS sync_status,
-                   CASE WHEN s.k THEN s.sync_error ELSE t.sync_error END AS sync_error,
-                   CASE WHEN s.k THEN s.synced_at ELSE t.synced_at END AS synced_at,
-                   coalesce(t.registered_at, s.registered_at) AS registered_at,
-                   CASE WHEN s.k THEN s.pipeline_run_id ELSE t.pipeline_run_id END AS pipeline_run_id
-            FROM registry t FULL JOIN (SELECT *, true AS k FROM resync) s USING (document_id)"""),
+        "src10_load_raw": _with(["raw"], """
+            SELECT source_name, source_path, file_name, file_size_bytes,
+                   CASE WHEN NOT suffix(source_path, '7.txt') THEN strlen('content of ' || source_path) END AS bytes,
+                   CASE WHEN NOT suffix(source_path, '7.txt') THEN md5('content of ' || source_path) END AS content_hash,
+                   '2024-03-01 00:00:00' AS ingested_at, 'run_load' AS pipeline_run_id,
+                   CASE WHEN suffix(source_path, '7.txt') THEN 'gone' END AS read_error
+            FROM raw"""),
+        "run5_stage_with_isolation": _with(["files"], """
+            SELECT source_name, original_path, CASE WHEN NOT bad THEN original_path END AS staging_path, file_name,
+                   CASE WHEN bad THEN file_size_bytes ELSE strlen('content of ' || original_path) END AS file_size_bytes,
+                   CASE WHEN NOT bad THEN md5('content of ' || original_path) END AS content_hash, CASE WHEN bad THEN 'gone' END AS sync_error
+            FROM (SELECT *, suffix(original_path, '7.txt') AS bad FROM files)"""),
+        "snk5_registry_upsert": _with(["registry", "resync"], _UPSERT),
+        "snk5_registry_log": _with(["registry", "resync"], _UPSERT),
         "snk6_dedupe_latest": _with(["registry"], """
             SELECT content_hash, document_id, source_name, synced_at, sync_error
             FROM (SELECT *, row_number() OVER (PARTITION BY content_hash ORDER BY synced_at DESC, document_id DESC) AS rn FROM registry)
             WHERE rn = 1"""),
         "snk7_replace_documents": _with(["elements", "text_elements"], _AGAIN),
         "snk7_current_rows": _with(["elements", "text_elements"], _AGAIN),
+        "snk7_superseded_rows": _with(["elements", "text_elements"], _AGAIN),
         "prj1_document_ids": """
             SELECT doc_id, md5(source || ':/' || source || '/' || doc_id || '.txt') AS registry_id,
                    md5('/' || source || '/' || doc_id || '.txt') AS log_id FROM documents""",
@@ -336,6 +356,24 @@ def all_sql() -> dict[str, str]:
         "flt2_flatten_pages": _with(["pages_"], f"SELECT * REPLACE ({_STAMPED}) FROM pages_"),
         "flt2_flatten_pages_distinct": _with(["pages_"], f"SELECT DISTINCT * REPLACE ({_STAMPED}) FROM pages_"),
         "flt2_flatten_pages_by_path": _with(["pages_"], f"SELECT * REPLACE ({_STAMPED}) FROM pages_"),
+        "flt1_mixed_payloads": _with(["modes"], """
+            SELECT mode, source_path, e.id AS element_id, e.type AS element_type, CASE WHEN e.item = 0 THEN text END AS content,
+                   e.description AS ai_description, b.page_id, b.pos::INT AS bbox_index,
+                   b.x1 AS bbox_x1, b.y1 AS bbox_y1, CASE WHEN e.item = 0 THEN doc_id END::INT AS bbox_x2, CASE WHEN e.item = 0 THEN 4 END::INT AS bbox_y2,
+                   doc_id % 4 > 1 AS has_parse_errors
+            FROM modes
+            CROSS JOIN (VALUES (0, 7, '3', NULL), (1, NULL, NULL, NULL), (2, NULL, NULL, NULL), (3, NULL, NULL, NULL), (4, NULL, NULL, NULL),
+                               (5, 5, '{"a":1}', NULL), (6, 8, NULL, NULL), (7, -1, NULL, '[1,2]')) v(item, fixed, type, description)
+            CROSS JOIN LATERAL (SELECT v.item, CASE WHEN v.fixed = -1 THEN odd ELSE v.fixed END::INT AS id, v.type, v.description) e
+            LEFT JOIN (VALUES (0, 0, 2, 1, 2), (7, 0, NULL, NULL, NULL), (7, 1, 0, NULL, NULL), (7, 2, NULL, 9, 8), (7, 3, NULL, NULL, NULL))
+                b(item, pos, page_id, x1, y1) ON b.item = e.item"""),
+        "flt2_mixed_payloads": _with(["modes"], """
+            SELECT mode, source_path, n::INT AS page_number, CASE n WHEN 0 THEN doc_id::VARCHAR WHEN 1 THEN '{"u":1}' ELSE uri END AS image_uri,
+                   doc_id % 4 > 1 AS has_parse_errors, doc_id % 4 > 1 AND n IS NOT NULL AS page_has_error
+            FROM modes CROSS JOIN (VALUES (0, NULL), (NULL, NULL), (1, NULL), (NULL, 'z')) p(n, uri)"""),
+        "flt3_mixed_payloads": _with(["modes"], """
+            SELECT mode, source_path, CASE k WHEN 0 THEN 0 WHEN 2 THEN 1 WHEN 3 THEN odd END::INT AS page_id, pipeline_run_id
+            FROM modes CROSS JOIN range(4) r(k) WHERE doc_id % 4 > 1"""),
         "flt3_flatten_errors": _with(["errors", "docs"], "SELECT source_path, page_id, pipeline_run_id FROM errors JOIN docs USING (doc_id)"),
         "flt4_payload_sizes": _with(["lines", "docs"], """
             SELECT source_path, pipeline_run_id, count(*)::INT AS elements_extracted, (max(i) // 12 + 1)::INT AS pages_parsed

@@ -17,6 +17,8 @@ from doclake.sources import (
     files_from_blob_manifest,
     files_from_library_manifest,
     files_from_tree_manifest,
+    load_raw,
+    stage_with_isolation,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -137,6 +139,23 @@ def src9_staging_paths(spark: SparkSession, sf: str) -> DataFrame:
     return assign_staging_path(wanted, before, "/staging").select("source_name", "original_path", "staging_path", "file_name")
 
 
+@query
+def src10_load_raw(spark: SparkSession, sf: str) -> DataFrame:
+    """Every synced document loaded by a fetch function; what cannot be read keeps its row and says why."""
+    chosen = fx.raw(spark, sf).withColumn("original_path", F.col("source_path"))
+    loaded = load_raw(chosen, "run_load", "2024-03-01 00:00:00", on_unreadable="failed", fetch=fx.fetched)
+    return loaded.select(
+        "source_name", "source_path", "file_name", "file_size_bytes", F.length("content").cast("long").alias("bytes"),
+        "content_hash", _text("ingested_at"), "pipeline_run_id", "read_error",
+    )
+
+
+@query
+def run5_stage_with_isolation(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document hashed through a fetch function; each file's failure is its own."""
+    return stage_with_isolation(fx.files(spark, sf), fx.fetched)
+
+
 # Registry
 
 
@@ -145,6 +164,15 @@ def snk5_registry_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return _stamps(registry.upsert(fx.registry(spark, sf), fx.resync(spark, sf)))
 
 
+@query
+def snk5_registry_log(spark: SparkSession, sf: str) -> DataFrame:
+    """The same upsert as a log: a first delta, what the later sync adds to it, and both merged on reading."""
+    first = fx.registry(spark, sf).withColumn("seen_only", F.lit(False))
+    later = registry.registry_delta(fx.registry(spark, sf), fx.resync(spark, sf))
+    deltas = first.withColumn("order", F.lit(0)).unionByName(later.withColumn("order", F.lit(1)))
+    return _stamps(registry.merge_deltas(deltas))
+
+
 @query
 def snk6_dedupe_latest(spark: SparkSession, sf: str) -> DataFrame:
     latest = registry.dedupe_latest(fx.registry(spark, sf), ["content_hash"], ["synced_at"])
@@ -189,6 +217,16 @@ def snk7_current_rows(spark: SparkSession, sf: str) -> DataFrame:
     return flatten.current_rows(rows, parsed.select(*index).unionByName(again.select(*index))).select(*_ROW)
 
 
+@query
+def snk7_superseded_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Current rows by the pairs that the later run supersedes."""
+    parsed = fx.parsed(spark, sf)
+    again = _french_again(spark, sf)
+    pairs = flatten.superseded_pairs(parsed, again)
+    earlier = flatten.without_superseded(flatten.flatten_elements(parsed), pairs)
+    return earlier.unionByName(flatten.flatten_elements(again)).select(*_ROW)
+
+
 @query
 def prj1_document_ids(spark: SparkSession, sf: str) -> DataFrame:
     listed = fx.table(spark, sf, "documents").select("doc_id", "source", fx._path().alias("path"))
@@ -310,6 +348,32 @@ def flt5_page_dimensions(spark: SparkSession, sf: str) -> DataFrame:
     return flatten.page_dimensions(fx.parsed(spark, sf))
 
 
+def _both_modes(spark: SparkSession, sf: str, flattened: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """Strict casts over payloads of odd shapes, and lenient ones over payloads that hold values of no use as well."""
+    strict = flattened(fx.mixed_parsed(spark, sf, False), "raise").withColumn("mode", F.lit("raise"))
+    return strict.unionByName(flattened(fx.mixed_parsed(spark, sf, True), "null").withColumn("mode", F.lit("null")))
+
+
+@query
+def flt1_mixed_payloads(spark: SparkSession, sf: str) -> DataFrame:
+    found = _both_modes(spark, sf, lambda parsed, mode: flatten.flatten_elements(parsed, outer=True, on_error=mode))
+    corners = [f"bbox_{c}" for c in ("x1", "y1", "x2", "y2")]
+    return found.select(
+        "mode", "source_path", "element_id", "element_type", "content", "ai_description", "page_id", "bbox_index", *corners, "has_parse_errors"
+    )
+
+
+@query
+def flt2_mixed_payloads(spark: SparkSession, sf: str) -> DataFrame:
+    found = _both_modes(spark, sf, lambda parsed, mode: flatten.flatten_pages(parsed, on_error=mode))
+    return found.select("mode", "source_path", "page_number", "image_uri", "has_parse_errors", "page_has_error")
+
+
+@query
+def flt3_mixed_payloads(spark: SparkSession, sf: str) -> DataFrame:
+    return _both_modes(spark, sf, lambda parsed, mode: flatten.flatten_errors(parsed, on_error=mode))
+
+
 # Extractors
 
 _LAYOUT = ["source_path", "element_id", "element_type", "content", "page_id", "bbox_y1", "bbox_x2", "bounding_box_json"]

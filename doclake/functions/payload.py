@@ -17,19 +17,20 @@ def payload_size(value: Column, path: str) -> Column:
     return F.array_size(F.try_variant_get(value, path, "array<struct<>>"))
 
 
-def payload_items(value: Column, path: str, item: str, on_error: str = "raise") -> Column:
-    """The array at ``path`` with its items cast to the type ``item``; NULL where there are none.
+def payload_items(value: Column, path: str, *fields: str) -> Column:
+    """The array at ``path`` with its items cut into ``fields``, each still of any kind; NULL where there is no array.
 
-    One typed extraction costs about half of one per field. An item that does not fit raises; with
-    ``on_error="null"`` what does not fit becomes NULL. What is not an array has no first item.
+    One extraction whatever the fields. An item that is no object has none of them and is NULL, a missing field is NULL;
+    :func:`payload_field` then casts the fields that are wanted.
     """
-    kind = f"array<{item}>"
-    if on_error == "raise":
-        first = F.try_variant_get(value, f"{path}[0]", "variant")
-        return F.when(first.isNotNull(), F.variant_get(value, path, kind))
-    if on_error == "null":
-        return F.try_variant_get(value, path, kind)
-    raise ValueError("on_error must be 'raise' or 'null'")
+    return F.try_variant_get(value, path, f"array<struct<{','.join(f'{f}:variant' for f in fields)}>>")
+
+
+def payload_field(value: Column, kind: str, on_error: str = "raise") -> Column:
+    """A field as ``kind``. A value that cannot be cast raises, or becomes NULL with ``on_error="null"``."""
+    if on_error not in ("raise", "null"):
+        raise ValueError("on_error must be 'raise' or 'null'")
+    return (F.variant_get if on_error == "raise" else F.try_variant_get)(value, "$", kind)
 
 
 def has_parse_errors(parsed_output: Column) -> Column:

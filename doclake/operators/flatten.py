@@ -9,17 +9,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from doclake.functions.payload import ELEMENTS, ERRORS, PAGES, has_parse_errors, payload_items, payload_size
+from doclake.functions.payload import ELEMENTS, ERRORS, PAGES, has_parse_errors, payload_field, payload_items, payload_size
 from doclake.operators.joins import join_reduced
 from doclake.schemas import DOCUMENT_ELEMENTS, DOCUMENT_PAGES
 
-# The parts of a parse result that are read, as Spark types. Boxes are taken out of an element in a second
-# step, since their text is kept as well.
-_ELEMENT = "struct<id:int,type:string,content:string,description:string,bbox:variant>"
-_BOX = "struct<page_id:int,coord:array<int>>"
-_PAGE = "struct<id:int,image_uri:string>"
-_PAGE_SIZE = "struct<id:int,width:int,height:int>"
-_ERROR = "struct<page_id:int>"
+# The parts of a parse result that are read. Boxes are taken out of an element in a second step, since their text is kept as well.
+_ELEMENT = ("id", "type", "content", "description", "bbox")
+_BOX = ("page_id", "coord")
+_PAGE = ("id", "image_uri")
+_PAGE_SIZE = ("id", "width", "height")
+_ERROR = ("page_id",)
 
 _DOCUMENT = ["source_name", "source_path", "file_name", "parsed_at", "pipeline_run_id"]
 
@@ -43,26 +42,30 @@ def flatten_elements(
 ) -> DataFrame:
     """One row per element and bounding box.
 
-    An element whose box list is empty, missing or null gives no row, or with ``outer`` one row
-    without a box. A value of the wrong type raises, or becomes NULL with ``on_error="null"``.
+    An element whose box list is empty, missing, null or no list gives no row, or with ``outer`` one row
+    without a box. A path that leads nowhere, since what it starts from has another shape, is NULL, whatever else the
+    payload holds. A value that cannot be cast raises, or becomes NULL with ``on_error="null"``.
     """
 
     documents = _of_run(parsed, run_id).select(
         *_DOCUMENT,
         has_parse_errors(F.col("parsed_output")).alias("has_parse_errors"),
-        payload_items(F.col("parsed_output"), ELEMENTS, _ELEMENT, on_error).alias("elements"),
+        payload_items(F.col("parsed_output"), ELEMENTS, *_ELEMENT).alias("elements"),
     )
     elements = _exploded(documents, F.col("elements"), "element").drop("elements", "_at")
-    boxes = _exploded(elements, payload_items(F.col("element.bbox"), "$", _BOX, on_error), "box", "bbox_index", outer)
-    corners = [F.get("box.coord", F.lit(i)).alias(f"bbox_{name}") for i, name in enumerate(("x1", "y1", "x2", "y2"))]
+    boxes = _exploded(elements, payload_items(F.col("element.bbox"), "$", *_BOX), "box", "bbox_index", outer)
+    coords = F.try_variant_get("box.coord", "$", "array<variant>")
+    corners = [
+        payload_field(F.get(coords, F.lit(i)), "int", on_error).alias(f"bbox_{name}") for i, name in enumerate(("x1", "y1", "x2", "y2"))
+    ]
     return boxes.select(
         *_DOCUMENT,
-        F.col("element.id").alias("element_id"),
-        F.col("element.type").alias("element_type"),
-        "element.content",
-        F.col("element.description").alias("ai_description"),
+        payload_field(F.col("element.id"), "int", on_error).alias("element_id"),
+        payload_field(F.col("element.type"), "string", on_error).alias("element_type"),
+        payload_field(F.col("element.content"), "string", on_error).alias("content"),
+        payload_field(F.col("element.description"), "string", on_error).alias("ai_description"),
         F.to_json("element.bbox").alias("bounding_box_json"),
-        "box.page_id",
+        payload_field(F.col("box.page_id"), "int", on_error).alias("page_id"),
         "bbox_index",
         *corners,
         "has_parse_errors",
@@ -74,9 +77,10 @@ def flatten_errors(parsed: DataFrame, run_id: str | None = None, on_error: str =
     documents = _of_run(parsed, run_id).select(
         "source_path",
         "pipeline_run_id",
-        payload_items(F.col("parsed_output"), ERRORS, _ERROR, on_error).alias("errors"),
+        payload_items(F.col("parsed_output"), ERRORS, *_ERROR).alias("errors"),
     )
-    return _exploded(documents, F.col("errors"), "error").select("source_path", "error.page_id", "pipeline_run_id")
+    page = payload_field(F.col("error.page_id"), "int", on_error).alias("page_id")
+    return _exploded(documents, F.col("errors"), "error").select("source_path", page, "pipeline_run_id")
 
 
 def flatten_pages(
@@ -95,18 +99,20 @@ def flatten_pages(
     documents = _of_run(parsed, run_id).select(
         *_DOCUMENT,
         has_parse_errors(F.col("parsed_output")).alias("has_parse_errors"),
-        payload_items(F.col("parsed_output"), ERRORS, _ERROR, on_error).alias("errors"),
-        payload_items(F.col("parsed_output"), PAGES, _PAGE, on_error).alias("pages"),
+        F.transform(
+            payload_items(F.col("parsed_output"), ERRORS, *_ERROR), lambda e: payload_field(e["page_id"], "int", on_error)
+        ).alias("errors"),
+        payload_items(F.col("parsed_output"), PAGES, *_PAGE).alias("pages"),
     )
     pages = _exploded(documents, F.col("pages"), "page").select(
         *_DOCUMENT,
         "has_parse_errors",
         "errors",
-        F.col("page.id").alias("page_number"),
-        "page.image_uri",
+        payload_field(F.col("page.id"), "int", on_error).alias("page_number"),
+        payload_field(F.col("page.image_uri"), "string", on_error).alias("image_uri"),
     )
     if match == "document":
-        hits = F.array_size(F.filter("errors", lambda e: e["page_id"] == F.col("page_number")))
+        hits = F.array_size(F.filter("errors", lambda page_id: page_id == F.col("page_number")))
         pages = pages.withColumn("hits", hits)
     elif match == "path":
         key = ["source_path", "pipeline_run_id", "page_number"]
@@ -145,16 +151,16 @@ def page_dimensions(
     if file_name is not None:
         parsed = parsed.filter(F.col("file_name") == file_name)
     documents = parsed.select(
-        *_DOCUMENT, payload_items(F.col("parsed_output"), PAGES, _PAGE_SIZE, on_error).alias("pages")
+        *_DOCUMENT, payload_items(F.col("parsed_output"), PAGES, *_PAGE_SIZE).alias("pages")
     )
     sizes = _exploded(documents, F.col("pages"), "page").select(
         "file_name",
         "source_path",
         "parsed_at",
         "pipeline_run_id",
-        F.col("page.id").alias("page_number"),
-        F.col("page.width").alias("page_width"),
-        F.col("page.height").alias("page_height"),
+        payload_field(F.col("page.id"), "int", on_error).alias("page_number"),
+        payload_field(F.col("page.width"), "int", on_error).alias("page_width"),
+        payload_field(F.col("page.height"), "int", on_error).alias("page_height"),
     )
     if page is not None:
         sizes = sizes.filter(F.col("page_number") == page)
