@@ -81,21 +81,23 @@ _COMMIT = (
 )
 
 
+_known: dict[tuple, Commit] = {}
+
+
 def history(spark: SparkSession, root: str) -> list[Commit]:
-    """All commits in order."""
+    """All commits in order. A commit never changes, so each is read once by a process."""
     path = f"{root.rstrip('/')}/{COMMITS}"
-    if not any(n.endswith(".json") for n in folders.children(spark, path)):
-        return []
-    rows = spark.read.schema(_COMMIT).option("pathGlobFilter", "*.json").json(path)
-    found = rows.select(F.element_at(F.split("_metadata.file_name", r"\."), 1).cast("int").alias("seq"), "run_id", "parts").collect()
-    commits = []
-    for row in sorted(found, key=lambda r: r["seq"]):
-        parts = [p.asDict() for p in row["parts"]]
-        for p in parts:
-            p["seq"] = row["seq"] if p["seq"] is None else p["seq"]
-            p.update({k: tuple(p[k] or ()) for k in ("left_out", "runs", "covers")})
-        commits.append(Commit(row["seq"], row["run_id"], tuple(Part(**p) for p in parts)))
-    return commits
+    files = {n: (path, n, *stamp) for n, stamp in folders.stamps(spark, path).items() if n.endswith(".json")}
+    new = sorted(n for n, key in files.items() if key not in _known)
+    if new:
+        rows = spark.read.schema(_COMMIT).json([f"{path}/{n}" for n in new])
+        for row in rows.select(F.col("_metadata.file_name").alias("file"), "run_id", "parts").collect():
+            seq, parts = int(row["file"].split(".")[0]), [p.asDict() for p in row["parts"]]
+            for p in parts:
+                p["seq"] = seq if p["seq"] is None else p["seq"]
+                p.update({k: tuple(p[k] or ()) for k in ("left_out", "runs", "covers")})
+            _known[files[row["file"]]] = Commit(seq, row["run_id"], tuple(Part(**p) for p in parts))
+    return sorted((_known[key] for key in files.values()), key=lambda c: c.seq)
 
 
 def current(spark: SparkSession, root: str) -> dict[str, Commit]:

@@ -25,6 +25,15 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in files.listStatus(hadoop_path)]
 
 
+def stamps(spark: SparkSession, path: str) -> dict[str, tuple[int, int]]:
+    """Modification time and size of what is directly in a folder, by name."""
+    hadoop_path, files = _opened(spark, path)
+    if not files.exists(hadoop_path):
+        return {}
+    found = files.listStatus(hadoop_path)
+    return {s.getPath().getName(): (s.getModificationTime(), s.getLen()) for s in found}
+
+
 def put_once(spark: SparkSession, folder: str, name: str, text: str) -> bool:
     """Write a small file so that it is there as a whole or not at all; False if one of that name is there already.
 

@@ -143,6 +143,11 @@ def _file_per_task(spark: SparkSession) -> SparkSession:
     return other
 
 
+def _write_events(run: Run, events: DataFrame, step: str) -> None:
+    """Log events of one step, narrow rows, in the order of file names."""
+    run.write(events.repartitionByRange("file_name", "source_path").sortWithinPartitions("file_name"), "processing_log", step)
+
+
 def sync(run: Run, params: PipelineParams) -> DataFrame:
     """List and hash every source and add the result to the registry; returns the sync summary.
 
@@ -215,7 +220,7 @@ def ingest(run: Run, params: PipelineParams) -> int:
         attempt_number=F.lit(0),
         started_at=F.current_timestamp(),
     )
-    run.write(opened, "processing_log", "queued")
+    _write_events(run, opened, "queued")
     failed = log_events(
         commits.unreadable(run),
         FINISHED,
@@ -224,7 +229,7 @@ def ingest(run: Run, params: PipelineParams) -> int:
         error_message=F.col("read_error"),
         completed_at=F.current_timestamp(),
     )
-    run.write(failed, "processing_log", "unreadable")
+    _write_events(run, failed, "unreadable")
     run.commit()
     return count
 
@@ -318,7 +323,7 @@ def parse(run: Run, params: PipelineParams) -> DataFrame:
     started = log_events(
         documents, PROCESSING, status=F.lit("processing"), batch_id=F.col("batch_id"), started_at=F.current_timestamp()
     )
-    run.write(started, "processing_log", "processing")
+    _write_events(run, started, "processing")
     options = parse_options(image_dir=params.image_dir, run_id=run.run_id) if params.options is None else params.options
     how = Waves(params.max_retries, params.retry_delay_seconds, params.parallel_batches)
     attempts = run_waves(run, raw, params.extractor, options, how)
@@ -333,7 +338,7 @@ def parse(run: Run, params: PipelineParams) -> DataFrame:
         started_at=F.col("first_started"),
         completed_at=F.col("last.completed_at"),
     )
-    run.write(finished, "processing_log", "finished")
+    _write_events(run, finished, "finished")
     return attempts
 
 
@@ -360,8 +365,8 @@ def flatten(run: Run, params: PipelineParams) -> None:
         elements_extracted=F.col("elements_extracted"),
         pages_parsed=F.col("pages_parsed"),
     )
-    run.write(sizes, "processing_log", "sizes")
-    run.write(counted, "processing_log", "row_counts")
+    _write_events(run, sizes, "sizes")
+    _write_events(run, counted, "row_counts")
     run.supersede(commits.read_table(run.spark, params.root, "parsed_documents", without_run=run.run_id), parsed)
 
 
