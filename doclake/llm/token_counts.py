@@ -9,16 +9,17 @@
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from doclake.llm.common import slices, stored
 from doclake.llm.tokens import encoder
+from doclake.operators.joins import join_reduced
 
 _FLUSH = 300_000
 _HEAD_CHARS = 64
@@ -32,7 +33,7 @@ def pre_token_table(docs: DataFrame, tokenizer: str) -> DataFrame:
         if coder.kind is None:
             return
         for batch in slices(batches, "text"):
-            found = coder.cut(batch["text"])[0].flatten().value_counts()
+            found = coder.cut_all(batch["text"])[0].flatten().value_counts()
             for piece, n in zip(found.field(0).to_pylist(), found.field(1).to_pylist(), strict=True):
                 for token in coder.pre_tokens(piece):
                     total[token] += n
@@ -73,8 +74,8 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 2048, head: int =
 
     ``n_tokens`` is the length of ``encode(text, add_special_tokens=False).ids`` of the tokenizer file, without
     truncation or padding; special strings in a text count as the library reads them. A null text is empty: 0 tokens.
-    Rows with equal doc_id, null included, are counted each by its own text, and repeated rows stay repeated. Other
-    columns are left out; an empty table gives no rows.
+    Rows with equal doc_id, null included, are counted each by its own text (told apart by 128 bits of hash), and repeated rows
+    stay repeated. Other columns are left out; an empty table gives no rows.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
@@ -89,13 +90,15 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 2048, head: int =
             texts = batch["text"]
             values = texts.to_pylist()
             coded = [x.encode() for x in values]
-            marks = [zlib.crc32(x) for x in coded]
+            digests = [xxhash.xxh3_128_digest(x) for x in coded]
+            marks, more = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2).T.tolist()
             done = np.zeros(len(values), np.int64)
             rows, names, counts = np.zeros(0, np.int64), [], np.zeros(0, np.int64)
             if coder.kind is None:
                 whole = np.arange(len(values))
             else:
-                lists, whole = coder.cut(texts)
+                lists, special, whole = coder.cut_all(texts)
+                done += special
                 rows, names, counts = _split(coder, heads, lists, done)
             if len(whole):
                 done[whole] += [len(x) for x in coder.library([values[i] for i in whole])]
@@ -103,6 +106,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 2048, head: int =
             yield _columns(
                 doc_id=[*ids, *(ids[i] for i in rows)],
                 mark=[*marks, *(marks[i] for i in rows)],
+                more=[*more, *(more[i] for i in rows)],
                 n_rows=[1] * len(ids) + [0] * len(rows),
                 n_bytes=[*map(len, coded), *[0] * len(rows)],
                 done=[*done.tolist(), *[0] * len(rows)],
@@ -110,11 +114,11 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 2048, head: int =
                 n=[*[0] * len(ids), *counts.tolist()],
             )
 
-    schema = "doc_id long, mark long, n_rows long, n_bytes long, done long, pre_token string, n long"
+    schema = "doc_id long, mark long, more long, n_rows long, n_bytes long, done long, pre_token string, n long"
     # A document's own row has a key that no pre-token has, and passes the join beside its frequencies.
     rest = table.filter(~in_head).select("pre_token", "pieces")
-    counted = docs.mapInArrow(frequencies, schema).join(rest, "pre_token", "left")
-    sums = counted.groupBy("doc_id", "mark").agg(
+    counted = join_reduced(docs.mapInArrow(frequencies, schema), rest, "pre_token", "left")
+    sums = counted.groupBy("doc_id", "mark", "more").agg(
         F.sum("n_rows").alias("n_rows"),
         F.sum("n_bytes").alias("n_bytes"),
         F.sum(F.col("done") + F.col("n") * F.coalesce(F.col("pieces"), F.lit(0))).alias("n_tokens"),

@@ -46,6 +46,41 @@ def test_counts(odd_docs, no_docs, head):
     assert token_counts.count_tokens(no_docs, WORD).count() == 0
 
 
+@settings(max_examples=80, deadline=None)
+@given(texts=st.lists(st.text(st.sampled_from(SIGNS), max_size=30) | st.text(max_size=20), min_size=1, max_size=6))
+def test_cuts_hold_all_tokens(texts):
+    texts = [*texts, "a<|endoftext|>b <|startoftext|><|endoftext|>", "x\x1cy\x1f <|endoftext|>\x1d.", "a.b1c 'tis don't"]
+    coder = ENCODERS[WORD]
+    lists, special, whole = coder.cut_all(pa.array(texts, pa.string()))
+    got = [
+        n + sum(len(coder.model.tokenize(t)) for piece in pieces for t in coder.pre_tokens(piece))
+        for n, pieces in zip(special, lists.to_pylist(), strict=True)
+    ]
+    assert not len(whole) and got == [len(x.ids) for x in coder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_pieces_of_no_use_are_forgotten(monkeypatch):
+    monkeypatch.setattr("doclake.llm.tokens.MOST_PIECES", 50)
+    for path in (WORD, BYTE):
+        coder = Encoder(path)
+        for i in range(30):
+            texts = [f"always here w{i}x, the {chr(97 + i % 26)}{i} (and {'long' * 30}{i}) naïve", f"{i} don't stop"]
+            ids, counts = coder.encode(pa.array(texts))
+            want = [x.ids for x in coder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+            assert counts.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
+            assert len(coder.pieces) <= 50 and len(coder.used) == len(coder.pieces) == len(coder.at) - 1
+
+
+def test_counts_of_different_texts_under_one_id(spark):
+    # Two texts of one crc32, and many of one null id.
+    same = ["plumless", "buckeroo"]
+    texts = [*same, *(f"text number {i} <|endoftext|>" for i in range(200))]
+    docs = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
+    tokenizer = Tokenizer.from_file(WORD)
+    want = sorted((len(t.encode()), len(tokenizer.encode(t, add_special_tokens=False).ids)) for t in texts)
+    assert sorted((r["n_bytes"], r["n_tokens"]) for r in token_counts.count_tokens(docs, WORD, head=5).collect()) == want
+
+
 def test_files(spark, odd_docs, no_docs, tmp_path):
     tokenizer = Tokenizer.from_file(BYTE)
     for encoding in ("delta", "dictionary"):
