@@ -36,10 +36,10 @@ def _word_count(raw: Column) -> Column:
 
 
 def benchmark_items(benchmark: DataFrame) -> DataFrame:
-    """``(item, words)`` of rows with a word; the item is its id as text, empty for a null one."""
+    """``(key, item, words)`` of rows with a word; the item is its id as text, empty for a null one, the key a hash of both."""
     words = F.transform(F.filter(_raw_words(F.col("text")), lambda w: w != ""), _fold)
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), words.alias("words"))
-    return items.filter(F.size("words") > 0).distinct()
+    return items.filter(F.size("words") > 0).distinct().select(F.xxhash64("item", "words").alias("key"), "item", "words")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -56,27 +56,28 @@ def postings(docs: DataFrame, terms: DataFrame, small: bool) -> DataFrame:
 
 
 def search_plan(items: DataFrame, frequency: DataFrame, window: int, lists: int) -> DataFrame:
-    """``(item, term, place, probe, lists)``: for each window the places of its ``lists`` rarest terms.
+    """``(key, rarest, probe)``: for each window of an item the places of its ``lists`` rarest terms.
 
     Windows of an item with the same rarest places share one probe. Terms that the corpus lacks come first: such a window
-    has an empty list and cannot occur, so it is left out.
+    has an empty list and cannot occur, so it is left out. A row holds one window, so the plan is as long as the items are.
     """
-    placed = items.select("item", "words", F.posexplode("words").alias("place", "term")).join(frequency, "term", "left")
-    ranked = placed.groupBy("item", "words").agg(
+    placed = items.select("key", F.posexplode("words").alias("place", "term")).join(frequency, "term", "left")
+    ranked = placed.groupBy("key").agg(
         F.sort_array(F.collect_list(F.struct("place", F.coalesce("n", F.lit(0)).alias("n"), "term"))).alias("places")
     )
-    starts = F.sequence(F.lit(0), F.greatest(F.size("words") - window, F.lit(0)))
-    windows = ranked.select("item", "words", "places", F.explode(starts).alias("start"))
-    by_rarity = F.transform(F.slice("places", F.col("start") + 1, window), lambda p: F.struct(p["n"].alias("n"), p["place"].alias("place"), p["term"].alias("term")))
-    rarest = windows.select("item", "words", F.slice(F.sort_array(by_rarity), 1, lists).alias("rarest"))
+    starts = F.sequence(F.lit(1), F.greatest(F.size("places") - window, F.lit(0)) + 1)
+    slices = ranked.select("key", F.explode(F.transform(starts, lambda i: F.slice("places", i, window))).alias("slice"))
+    by_rarity = F.transform("slice", lambda p: F.struct(p["n"].alias("n"), p["place"].alias("place"), p["term"].alias("term")))
+    rarest = slices.select("key", F.slice(F.sort_array(by_rarity), 1, lists).alias("rarest"))
     rarest = rarest.filter(F.col("rarest")[0]["n"] > 0).distinct()
-    return rarest.withColumn("probe", F.xxhash64("item", "words", "rarest"))
+    return rarest.withColumn("probe", F.xxhash64("key", "rarest"))
 
 
 def phrase_matches(docs: DataFrame, items: DataFrame, window: int = 13, lists: int = 2) -> DataFrame:
-    """``(doc_id, mark, found)``: for each document with candidates, ``array<struct<item, words, shift>>``.
+    """``(doc_id, mark, found)``: for each document with candidates, ``array<struct<item, words, shifts>>``.
 
-    ``shift`` is the place in the document's raw words that the item's first word has there. Every document that holds
+    ``shifts`` are the places in the document's raw words that the item's first word has there; words are put to them last,
+    once for each item and document. Every document that holds
     a window exactly is among them; which windows it holds is read from its text by :func:`contamination`.
     """
     size = items.agg(F.coalesce(F.sum(F.size("words")), F.lit(0))).first()[0]
@@ -84,8 +85,8 @@ def phrase_matches(docs: DataFrame, items: DataFrame, window: int = 13, lists: i
     terms = items.select(F.explode("words").alias("term")).distinct()
     frequency = stored(postings(docs, terms, small).groupBy("term").agg(F.count("*").alias("n")), "terms")
     plan = stored(search_plan(items, frequency, window, lists), "search")
-    lookups = plan.select("item", "words", "probe", F.size("rarest").alias("needed"), F.posexplode("rarest").alias("rank", "at"))
-    lookups = lookups.select("item", "words", "probe", "needed", "rank", F.col("at.place").alias("place"), F.col("at.term").alias("term"))
+    lookups = plan.select("key", "probe", F.size("rarest").alias("needed"), F.posexplode("rarest").alias("rank", "at"))
+    lookups = lookups.select("key", "probe", "needed", "rank", F.col("at.place").alias("place"), F.col("at.term").alias("term"))
     rare = lookups.select("term").distinct()
     index = stored(postings(docs, rare, small), "postings")
     index = stored(index.repartitionByRange("term", "doc_id").sortWithinPartitions("term", "doc_id", "pos"), "index")
@@ -98,9 +99,11 @@ def phrase_matches(docs: DataFrame, items: DataFrame, window: int = 13, lists: i
         .agg(F.bit_or(F.expr("shiftleft(1, rank)")).alias("ranks"), F.first("needed").alias("needed"))
         .filter(F.bit_count("ranks") == F.col("needed"))
     )
-    named = lookups.select("probe", "item", "words").distinct()
-    candidates = hits.join(F.broadcast(named) if small else named, "probe").select("doc_id", "mark", "item", "words", "shift").distinct()
-    return candidates.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("item", "words", "shift")).alias("found"))
+    named = lookups.select("probe", "key").distinct()
+    candidates = hits.join(F.broadcast(named) if small else named, "probe")
+    shifts = candidates.groupBy("doc_id", "mark", "key").agg(F.collect_set("shift").alias("shifts"))
+    whole = shifts.join(F.broadcast(items) if small else items, "key")
+    return whole.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("item", "words", "shifts")).alias("found"))
 
 
 def contamination(
@@ -112,8 +115,25 @@ def contamination(
     ``(item_id, text)``, or all words of a shorter one. ``n_hit`` counts the document's words inside any occurrence of a
     window, ``items`` lists the ids (as text, sorted) of the items found. ``contaminated``: at least ``percent`` of the words
     are hit, and one at least. A null text has no words; an empty benchmark, or an item without words, hits nothing; an
-    item without id is named by an empty text. Rows that share a doc_id, and repeated rows, are judged each by itself.
+    item without id is named by an empty text. Rows that share a doc_id, and repeated rows, are judged each by itself. Own
+    columns of the names of the results are replaced.
     """
+    found = _judged(docs, benchmark, window, lists, percent, keep)
+    kept = [f"row.{c}" for c in (f"`{c}`" for c in docs.columns if c not in _RESULTS)] if keep else ["doc_id"]
+    return found.select(*kept, *_RESULTS)
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 13, lists: int = 2, percent: int = 5) -> DataFrame:
+    """The rows of ``docs`` that :func:`contamination` does not call contaminated, with their columns as they are."""
+    found = _judged(docs, benchmark, window, lists, percent, keep=True)
+    return found.filter("not contaminated").select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))
+
+
+_RESULTS = ("n_words", "n_hit", "items", "contaminated")
+
+
+def _judged(docs: DataFrame, benchmark: DataFrame, window: int, lists: int, percent: int, keep: bool) -> DataFrame:
+    """``doc_id`` and the results of each row; with ``keep`` the whole row too, as ``row``, where no name can clash."""
     items = stored(benchmark_items(benchmark), "items")
     found = stored(phrase_matches(docs, items, window, lists), "candidates").select(
         F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.col("found").alias("_found")
@@ -126,11 +146,15 @@ def contamination(
     held = stored(keyed.join(found.hint("merge"), same).select("doc_id", "mark", "_found", words.alias("words")), "held")
 
     def read(c: Column) -> Column:
-        """The candidate with a sign for each of the item's words: 1 where the document has it there."""
-        signs = F.transform(c["words"], lambda w, i: F.when(F.get("words", c["shift"] + i) == w, "1").otherwise("0"))
-        return F.struct(c["item"].alias("item"), c["shift"].alias("shift"), F.array_join(signs, "").alias("signs"))
+        """The candidates of an item, each with a sign for each of the item's words: 1 where the document has it there."""
+
+        def at(shift: Column) -> Column:
+            signs = F.transform(c["words"], lambda w, i: F.when(F.get("words", shift + i) == w, "1").otherwise("0"))
+            return F.struct(c["item"].alias("item"), shift.alias("shift"), F.array_join(signs, "").alias("signs"))
+
+        return F.transform(c["shifts"], at)
 
-    held = stored(held.select("doc_id", "mark", F.transform("_found", read).alias("found")), "read")
+    held = stored(held.select("doc_id", "mark", F.flatten(F.transform("_found", read)).alias("found")), "read")
 
     def windows(c: Column) -> Column:
         """The candidate's item and the places covered by each window that occurs."""
@@ -150,16 +174,16 @@ def contamination(
     ).filter("_n_hit > 0").dropDuplicates(["_id", "_mark"])
 
     n_words = _word_count(_raw_words(F.col("text"))).alias("n_words")
-    mark = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    if keep:
-        same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (mark == F.col("_mark"))
-        joined = docs.join(hits.hint("merge"), same, "left").select("*", n_words)
-    else:
-        joined = keyed.select("doc_id", "mark", n_words).join(hits, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")), "left")
+    whole = [F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")] if keep else []
+    mark = F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("mark")
+    counted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), mark, n_words, *whole)
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark"))
+    joined = counted.join(hits.hint("merge") if keep else hits, same, "left")
     n_hit = F.coalesce(F.col("_n_hit"), F.lit(0).cast("long"))
     flag = (n_hit > 0) & (n_hit * 100 >= F.col("n_words") * percent)
     return joined.select(
-        *(docs.columns if keep else ["doc_id"]),
+        "doc_id",
+        *(["row"] if keep else []),
         "n_words",
         n_hit.alias("n_hit"),
         F.coalesce("_items", F.array().cast("array<string>")).alias("items"),

@@ -27,6 +27,7 @@ from doclake.operators.joins import join_reduced
 
 _CHUNK = 64  # classes compared with one hub per unit of work
 _BLOCK, _BLOCK_SHINGLES = 1024, 500_000  # classes, and their shingles, that a task compares others with at once
+_ROWS = 256  # classes of a bucket that a task compares with a block
 
 
 def banding(percent: int, miss: float = 1e-6, most: int = 96) -> tuple[int, int]:
@@ -58,7 +59,7 @@ def _digest(shingles: np.ndarray) -> bytes:
 
 
 def _signed(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
-    """``(doc_id, n_shingles, node, bands)``: the node is a digest of the shingle set, null for an empty one."""
+    """``(doc_id, mark, n_shingles, node, bands)``: the node is a digest of the shingle set, null for an empty one."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors = _factors(bands * rows)
@@ -77,11 +78,11 @@ def _signed(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
             flat = pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64))
             lists = pa.ListArray.from_arrays(np.arange(len(keys) + 1, dtype=np.int32) * bands, flat)
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), lists],
-                names=["doc_id", "n_shingles", "node", "bands"],
+                [batch["doc_id"], batch["mark"], pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), lists],
+                names=["doc_id", "mark", "n_shingles", "node", "bands"],
             )
 
-    return docs.mapInArrow(sign, "doc_id long, n_shingles long, node binary, bands array<long>")
+    return docs.mapInArrow(sign, "doc_id long, mark long, n_shingles long, node binary, bands array<long>")
 
 
 def _near_sizes(a: Column, b: Column, percent: int) -> Column:
@@ -154,30 +155,34 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: fl
     kept when their component is null. Repeated rows stay, marked alike. Other columns are left out.
     """
     bands, rows = banding(percent, miss)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    # A row is known by its id and a hash of its text, so that many texts under one id, or under none, stay apart.
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
     signed = stored(_signed(docs, words, bands, rows), "signed")
     classes = stored(
         signed.filter("node is not null").groupBy("node").agg(
-            F.min("doc_id").alias("first_doc"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
+            F.min("doc_id").alias("first_doc"),
+            F.min_by("mark", F.coalesce("doc_id", F.lit((1 << 63) - 1))).alias("first_mark"),
+            F.first("n_shingles").alias("n"),
+            F.first("bands").alias("bands"),
         ),
         "classes",
     )
     keyed = classes.select("node", "n", F.explode("bands").alias("key"))
-    met = stored(
-        keyed.withColumn("size", F.expr("count(*) over (partition by key)")).filter("size > 1"), "buckets"
-    )
+    shared = keyed.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
+    met = stored(join_reduced(keyed, shared, "key", "inner"), "buckets")
     reach = met.groupBy("node").agg(F.sum("size").alias("reach"))
     hubs = met.join(reach, "node").groupBy("key").agg(F.max_by(F.struct("node", "n"), F.struct("reach", "node")).alias("hub"))
     stars = (
-        met.join(hubs, "key")
+        join_reduced(met, hubs, "key", "inner")
         .filter((F.col("node") != F.col("hub.node")) & _near_sizes(F.col("n"), F.col("hub.n"), percent))
         .select(F.col("node").alias("a"), F.col("hub.node").alias("hub"))
         .distinct()
     )
     stars = stored(stars, "stars")
     # The texts that meet any other, fetched once; a side that may be small or large is joined alike at every size.
-    known = met.select("node").distinct().join(classes.select("node", "first_doc"), "node").hint("merge")
-    texts = stored(docs.join(known, docs["doc_id"].eqNullSafe(known["first_doc"])).select("node", "text"), "texts")
+    known = met.select("node").distinct().join(classes.select("node", "first_doc", "first_mark"), "node").hint("merge")
+    of_class = docs["doc_id"].eqNullSafe(known["first_doc"]) & (docs["mark"] == known["first_mark"])
+    texts = stored(docs.join(known, of_class).select("node", "text"), "texts")
     no_label = F.lit(None).cast("binary").alias("label")
     parts = stars.groupBy("hub").agg(F.ceil(F.count("*") / _CHUNK).alias("parts"))
     dealt = stars.join(parts, "hub").withColumn("part", F.expr("pmod(xxhash64(a), parts)"))
@@ -191,14 +196,21 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: fl
     per_label = placed.groupBy("key", "label").agg(F.count("*").alias("here"), F.sum("n").alias("shingles"))
     divided = per_label.groupBy("key").agg(
         F.max_by("label", F.struct("here", "label")).alias("main"),
+        F.sum("here").alias("rows"),
         (F.sum("here") - F.max("here")).alias("outer"),
         (F.sum("shingles") - F.max_by("shingles", F.struct("here", "label"))).alias("weight"),
     ).filter("outer > 0")
+    # The classes outside the main component are cut into blocks, the whole bucket is dealt over chunks; each block meets
+    # each chunk in a task of its own, so neither many strays nor a stray in a very large bucket fill one task.
     blocks = F.greatest(F.ceil(F.col("outer") / _BLOCK), F.ceil(F.col("weight") / _BLOCK_SHINGLES)).cast("int")
-    open_ = placed.join(divided, "key").select(F.col("key").alias("unit"), "node", "label", "main", blocks.alias("blocks"))
-    open_ = stored(open_, "divided")
-    inner = open_.select("unit", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part"), F.lit(1).alias("role"), "node", "label")
-    outer = open_.filter("label <> main").select("unit", F.expr("pmod(xxhash64(node), blocks)").alias("part"), F.lit(0).alias("role"), "node", "label")
+    chunks = F.ceil(F.col("rows") / _ROWS).cast("int")
+    open_ = join_reduced(placed, divided, "key", "inner")
+    open_ = stored(open_.select(F.col("key").alias("unit"), "node", "label", "main", blocks.alias("blocks"), chunks.alias("chunks")), "divided")
+    each_block, each_chunk = (F.explode(F.sequence(F.lit(0), F.col(c) - 1)).alias("at") for c in ("blocks", "chunks"))
+    inner = open_.select("unit", "chunks", "node", "label", each_block)
+    inner = inner.select("unit", F.expr("at * chunks + pmod(xxhash64(node), chunks)").alias("part"), F.lit(1).alias("role"), "node", "label")
+    outer = open_.filter("label <> main").select("unit", "blocks", "chunks", "node", "label", each_chunk)
+    outer = outer.select("unit", F.expr("pmod(xxhash64(node), blocks) * chunks + at").alias("part"), F.lit(0).alias("role"), "node", "label")
     late = stored(_confirmed(texts, outer.union(inner), words, percent), "links")
     if not late.isEmpty():
         labels = component_labels(links.union(late))

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from doclake.llm.common import slices
 
@@ -109,7 +109,7 @@ def fit_pairs(values: np.ndarray, marks: np.ndarray, pairs: int = 60_000, ridge:
     return Ranker(mean, spread, w, float((ends[cut] + ends[cut + 1]) / 2), max(float(np.std(scores)) / 4, 1e-6))
 
 
-_FEATURES = T.StructType([T.StructField("mark", T.DoubleType()), T.StructField("values", T.ArrayType(T.DoubleType(), False))])
+_FEATURES = "mark double, at long, values array<double>"
 
 
 def held_out(doc_id: Column) -> Column:
@@ -126,16 +126,18 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> Ranker |
     marks = labels.filter(~held_out(F.col("doc_id")) & F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
     marks = marks.groupBy(F.col("doc_id").alias("_id")).agg(F.avg("quality").alias("mark")).filter("mark <> 0.5")
     chosen = F.broadcast(marks.orderBy(F.xxhash64("_id"), "_id").limit(sample))
-    rows = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("_id")).select("text", "mark")
+    rows = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("_id"))
+    rows = rows.select("text", "mark", F.xxhash64("doc_id", "text").alias("at"))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             values = [features(t or "") for t in batch["text"].to_pylist()]
             flat = pa.array(np.concatenate(values))
             lists = pa.ListArray.from_arrays(np.arange(len(values) + 1, dtype=np.int32) * len(NAMES), flat)
-            yield pa.RecordBatch.from_arrays([batch["mark"], lists], names=["mark", "values"])
+            yield pa.RecordBatch.from_arrays([batch["mark"], batch["at"], lists], names=["mark", "at", "values"])
 
-    found = rows.mapInArrow(extract, _FEATURES).limit(sample).toPandas()
+    # In an order of their own, so that rows that share an id make the same sample in every run.
+    found = rows.mapInArrow(extract, _FEATURES).orderBy("at", "mark", "values").limit(sample).toPandas()
     if found.empty:
         return None
     return fit_pairs(np.stack(found["values"].to_numpy()), (found["mark"].to_numpy() > 0.5).astype(int))

@@ -6,6 +6,7 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -50,6 +51,19 @@ def test_pipeline(spark):
     assert [s[0] for s in corpus_pipeline.STAGES] == ["quality", "near_duplicates", "decontamination", "packing"]
 
 
+def test_stages_keep_columns_of_any_name(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").filter("doc_id < 60")
+    for c in ("_id", "_mark", "n_words", "items", "score", "predicted", "row", "mark", "node", "kept"):
+        docs = docs.withColumn(c, F.concat(F.lit(c), F.col("doc_id").cast("string")))
+    docs = docs.unionByName(docs.filter("doc_id = 7"))
+    for stage in (corpus_pipeline.quality_stage, corpus_pipeline.dedup_stage, corpus_pipeline.decontamination_stage):
+        found = stage(spark, docs, SF)
+        assert found.columns == docs.columns
+        for c in ("predicted", "_id", "n_words"):
+            assert found.filter(F.col(c) != F.concat(F.lit(c), F.col("doc_id").cast("string"))).count() == 0
+        assert found.count() > 0
+
+
 def test_repeated_rows_leave_one(spark, odd_docs):
     docs = odd_docs.select("doc_id", "text")
     found = corpus_pipeline.dedup_stage(spark, docs, SF)

@@ -76,6 +76,31 @@ def test_divided_buckets_are_finished(spark, monkeypatch):
     assert rows(got.select("doc_id", "n_shingles", "component_id")) == plain_components(docs, 3, 85)
 
 
+def test_strays_in_large_buckets(spark, monkeypatch):
+    """Many linked texts and few that meet them in buckets alone: no task takes a whole bucket."""
+    taken = []
+    confirmed = minmax_dedup._confirmed
+    monkeypatch.setattr(minmax_dedup, "_confirmed", lambda texts, units, *a: (taken.append(units), confirmed(texts, units, *a))[1])
+    monkeypatch.setattr(minmax_dedup, "_ROWS", 50)
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(120)]
+    docs = [(i, edited(base, 1 + i % 3, rng)) for i in range(600)] + [(1000 + i, edited(base, 14 + i, rng)) for i in range(6)]
+    got = minmax_dedup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), 3, 85)
+    assert rows(got.select("doc_id", "n_shingles", "component_id")) == plain_components(docs, 3, 85)
+    for units in taken[1:]:
+        groups = units.groupBy("unit", "part").agg(F.count_if(F.col("role") == 1).alias("n")).agg(F.max("n")).first()[0]
+        assert groups is None or groups < 120
+
+
+def test_many_texts_without_id(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    docs = [(None, f"{base} number {i % 700} of them") for i in range(1400)] + [(5, f"{base} number 3 of them"), (6, "alone"), (6, "quite alone"), (None, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = minmax_dedup.near_duplicates(df, 3, 85)
+    found = {(r["doc_id"], r["component_id"], r["kept"]): r["n"] for r in got.groupBy("doc_id", "component_id", "kept").agg(F.count("*").alias("n")).collect()}
+    assert found == {(None, 5, False): 1400, (5, 5, True): 1, (6, 6, True): 2, (None, None, True): 1}
+
+
 def test_fingerprints(spark, odd_docs, no_docs):
     got = fingerprints.compare_with_next(odd_docs, parts=3)
     plain = [((r["doc_id"]), r["text"] or "") for r in odd_docs.collect()]
@@ -151,6 +176,26 @@ def test_contamination(spark, odd_docs, no_docs):
     assert decontaminate.contamination(df, bench.limit(0)).filter("contaminated or n_hit > 0").count() == 0
 
 
+def test_contamination_with_clashing_columns(spark):
+    item = " ".join(f"b{i}" for i in range(20))
+    docs = spark.createDataFrame([(1, item, 7, "x"), (2, "clean text", 8, None), (2, "clean text", 8, None)], "doc_id long, text string, n_words int, _id string")
+    for c in ("_mark", "items", "_items", "n_hit", "contaminated", "row", "mark", "key", "found", "words"):
+        docs = docs.withColumn(c, F.lit(c))
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    found = decontaminate.contamination(docs, bench, keep=True)
+    assert sorted(found.columns) == sorted(docs.columns) and [r["n_hit"] for r in found.orderBy("doc_id").collect()] == [20, 0, 0]
+    assert rows(decontaminate.without_contaminated(docs, bench)) == rows(docs.filter("doc_id = 2"))
+
+
+def test_very_long_benchmark_items(spark):
+    long = [f"t{i * 7919 % 30011}" for i in range(50_000)]
+    docs = [(1, "some words " + " ".join(long[20_000:20_030]) + " and more"), (2, " ".join(long)), (3, " ".join(long[::-1][:40]))]
+    bench = spark.createDataFrame([(1, " ".join(long)), (2, " ".join(long[:15]))], "item_id long, text string")
+    got = decontaminate.contamination(spark.createDataFrame(docs, "doc_id long, text string"), bench)
+    found = {r["doc_id"]: (r["n_words"], r["n_hit"], r["items"]) for r in got.collect()}
+    assert found == {1: (34, 30, ["1"]), 2: (50_000, 50_000, ["1", "2"]), 3: (40, 0, [])}
+
+
 def test_phrases_within_a_width(spark):
     docs = spark.createDataFrame([(1, "red x x blue x x green red blue"), (2, "red blue"), (3, "green " + "x " * 20 + "red blue")], "doc_id long, text string")
     queries = spark.createDataFrame([("q", "red"), ("q", "blue"), ("q", "green"), ("r", "nowhere"), ("r", "red")], "query string, term string")
