@@ -17,8 +17,9 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality ranking accepts; it is learnt from the labels of the rows given."""
     ranker = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = quality.score_quality(docs, ranker)
-    return scored.filter("predicted = 1").select(*docs.columns)
+    # Each row as a whole beside its text, so that no column of its own is taken for a result.
+    scored = quality.score_quality(docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "text"), ranker)
+    return scored.filter("predicted = 1").select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +35,7 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     repeated = stored(by_id.filter("rows > 1").select(F.col("doc_id").alias("_id")), "repeated")
     if repeated.isEmpty():
         return left
-    again = F.col("doc_id").eqNullSafe(F.col("_id"))
+    again = left["doc_id"].eqNullSafe(repeated["_id"])
     once = left.join(repeated, again, "left_semi").dropDuplicates(["doc_id", "text"])
     return left.join(repeated, again, "left_anti").unionByName(once)
 
@@ -42,7 +43,7 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth of the words lies in passages of the benchmark."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontaminate.contamination(docs, benchmark, keep=True).filter("not contaminated").select(*docs.columns)
+    return decontaminate.without_contaminated(docs, benchmark)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
