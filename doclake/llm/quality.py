@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from doclake.llm.common import slices
+from doclake.llm.common import slices, stored
 
 SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 NAMES = [
@@ -137,7 +137,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> Ranker |
             yield pa.RecordBatch.from_arrays([batch["mark"], batch["at"], lists], names=["mark", "at", "values"])
 
     # In an order of their own, so that rows that share an id make the same sample in every run.
-    found = rows.mapInArrow(extract, _FEATURES).orderBy("at", "mark", "values").limit(sample).toPandas()
+    # Stored, so that the choice is made in tasks and the driver gets no more than the sample.
+    chosen_rows = rows.mapInArrow(extract, _FEATURES).orderBy("at", "mark", "values").limit(sample)
+    found = stored(chosen_rows, "sample").orderBy("at", "mark", "values").toPandas()
     if found.empty:
         return None
     return fit_pairs(np.stack(found["values"].to_numpy()), (found["mark"].to_numpy() > 0.5).astype(int))
