@@ -482,6 +482,8 @@ def all_sql() -> dict[str, str]:
             SELECT {_LIST.replace('status', 'latest AS status')} FROM list_rows
             WHERE lower(file_name) LIKE '%src1%' OR lower(source_name) LIKE '%src1%'"""),
         "qry1_list_documents": _with(["list_rows"], f"SELECT {_LIST} FROM list_rows ORDER BY parsed_at DESC, file_name, source_path LIMIT 25"),
+        "qry1_list_documents_after": _with(["list_rows"], f"""
+            SELECT {_LIST} FROM list_rows ORDER BY parsed_at DESC, file_name, source_path LIMIT 25 OFFSET 25"""),
         "qry1_list_documents_search": _with(["list_rows"], f"""
             SELECT {_LIST} FROM list_rows WHERE lower(file_name) LIKE '%c_1%5%' OR lower(source_name) LIKE '%c_1%5%'
             ORDER BY parsed_at DESC, file_name, source_path LIMIT 10 OFFSET 10"""),
@@ -536,6 +538,9 @@ def all_sql() -> dict[str, str]:
         "prj14_normalized_boxes": _with(["boxes"], _clamped(
             "CASE WHEN known THEN 612 ELSE 459 END::DOUBLE", "CASE WHEN known THEN 792 ELSE 99 END::DOUBLE", "459::DOUBLE", "99::DOUBLE"
         ).format(source="boxes")),
+        "prj14_normalized_boxes_joined": _with(["boxes"], _clamped(
+            "CASE WHEN known THEN 612 ELSE 459 END::DOUBLE", "CASE WHEN known THEN 792 ELSE 99 END::DOUBLE", "459::DOUBLE", "99::DOUBLE"
+        ).format(source="boxes")),
         "prj14_normalized_boxes_inferred": _with(["boxes", "extent"], _clamped(
             "CASE WHEN known THEN 612 ELSE page_width END::DOUBLE", "CASE WHEN known THEN 792 ELSE page_height END::DOUBLE",
             "459::DOUBLE", "612::DOUBLE"

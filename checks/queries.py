@@ -683,6 +683,14 @@ def qry1_list_documents(spark: SparkSession, sf: str) -> DataFrame:
     return _list_row(documents.list_documents(*_corpus(spark, sf), limit=25))
 
 
+@query
+def qry1_list_documents_after(spark: SparkSession, sf: str) -> DataFrame:
+    """The second page of the list, by the last row of the first."""
+    corpus = _corpus(spark, sf)
+    last = documents.list_documents(*corpus, limit=25).tail(1)
+    return _list_row(documents.list_documents(*corpus, limit=25, after=last[0] if last else None))
+
+
 @query
 def qry1_list_documents_search(spark: SparkSession, sf: str) -> DataFrame:
     return _list_row(documents.list_documents(*_corpus(spark, sf), limit=10, offset=10, q="C_1%5"))
@@ -756,6 +764,13 @@ def _rounded(df: DataFrame) -> DataFrame:
 
 @query
 def prj14_normalized_boxes(spark: SparkSession, sf: str) -> DataFrame:
+    elements = flatten.flatten_elements(fx.parsed(spark, sf), page_sizes=True)
+    return _rounded(documents.normalize_bbox(elements, None, 459.0, 99.0))
+
+
+@query
+def prj14_normalized_boxes_joined(spark: SparkSession, sf: str) -> DataFrame:
+    """The same boxes from elements without page sizes, which a table of pages brings."""
     return _rounded(documents.normalize_bbox(_elements(spark, sf), _sizes(spark, sf), 459.0, 99.0))
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from doclake.functions.text import matches_search, preview
 from doclake.operators.aggregates import (
@@ -89,6 +91,19 @@ def documents_overview(
     return _described(_per_document(search(elements, q)), elements, pages, log, status)
 
 
+def _behind(found: DataFrame, after: Row) -> Column:
+    """Whether a document comes behind ``after`` in the order of :func:`list_documents`, where no time is last, no text first."""
+    behind, tied = F.lit(False), F.lit(True)
+    for name in ("parsed_at", "file_name", "source_path", "source_name"):
+        value, column = F.lit(after[name]).cast(found.schema[name].dataType), F.col(name)
+        if name == "parsed_at":
+            beyond = F.lit(False) if after[name] is None else (column < value) | column.isNull()
+        else:
+            beyond = column.isNotNull() if after[name] is None else column > value
+        behind, tied = behind | (tied & F.coalesce(beyond, F.lit(False))), tied & column.eqNullSafe(value)
+    return behind
+
+
 def list_documents(
     elements: DataFrame,
     pages: DataFrame,
@@ -97,9 +112,13 @@ def list_documents(
     offset: int = 0,
     q: str = "",
     status: str = "max",
+    after: Row | None = None,
 ) -> DataFrame:
     """One page of the document list, newest first, ties by name and path.
 
+    ``after`` is the last row of the page before: the list goes on behind it. Unlike ``offset``, which sorts all rows it skips
+    out of the way, this costs the same at any depth, and rows that appear meanwhile do not shift the pages.
+
     The page is picked from parse times alone, and its at most ``limit`` rows are fetched. Everything
     else is then read for just these file names, a condition that reaches the Parquet reader of all
     three tables and lets it skip what clustering has set apart.
@@ -110,14 +129,20 @@ def list_documents(
         raise ValueError("offset must not be negative")
     order = [F.desc("parsed_at"), F.asc("file_name"), F.asc("source_path"), F.asc("source_name")]
     found = search(elements, q).groupBy(*_DOCUMENT).agg(F.min("parsed_at").alias("parsed_at"))
+    if after is not None:
+        found = found.filter(_behind(found, after))
     chosen = found.orderBy(*order).offset(offset).limit(limit).select(*_DOCUMENT).collect()
 
     def of_page(table: DataFrame) -> DataFrame:
-        return table.filter(F.col("file_name").isin(sorted({row["file_name"] for row in chosen})))
+        names = {row["file_name"] for row in chosen}
+        wanted = F.col("file_name").isin(sorted(names - {None}))
+        return table.filter(wanted | F.col("file_name").isNull() if None in names else wanted)
 
     rows = elements.sparkSession.createDataFrame(chosen, ", ".join(f"{c} string" for c in _DOCUMENT))
     shown = of_page(elements)
-    documents = _per_document(shown).join(F.broadcast(rows), _DOCUMENT, "left_semi")
+    documents = _per_document(shown)
+    same = reduce(and_, (documents[c].eqNullSafe(rows[c]) for c in _DOCUMENT))
+    documents = documents.join(F.broadcast(rows), same, "left_semi")
     return _described(documents, shown, of_page(pages), of_page(log), status).orderBy(*order)
 
 
@@ -293,28 +318,33 @@ def page_neighbors(pages: DataFrame) -> DataFrame:
 
 
 def normalize_bbox(
-    elements: DataFrame, pages: DataFrame, width: float, height: float, infer: bool = False
+    elements: DataFrame, pages: DataFrame | None, width: float, height: float, infer: bool = False
 ) -> DataFrame:
     """Boxes clamped to their page and scaled to ``width`` × ``height``; empty ones are dropped.
 
-    ``pages`` has ``source_path, page_number, page_width, page_height``. A page of unknown size counts
+    ``pages`` has ``source_path, page_number, page_width, page_height``. Without it the elements bring ``page_width`` and
+    ``page_height`` themselves (``flatten_elements(page_sizes=True)``) and nothing is joined. A page of unknown size counts
     as having the target size, or with ``infer`` the size its boxes suggest.
     """
 
     def clamp(value: Column, low: Column, high: Column) -> Column:
         return F.least(F.greatest(value, low), high)
 
-    sizes = pages.select("source_path", F.col("page_number").alias("page_id"), "page_width", "page_height")
+    sizes = None
+    if pages is not None:
+        elements = elements.drop("page_width", "page_height")
+        sizes = pages.select("source_path", F.col("page_number").alias("page_id"), "page_width", "page_height")
     known = (F.col("page_width") > 0) & (F.col("page_height") > 0)
     fallback_width, fallback_height = F.lit(float(width)), F.lit(float(height))
     if infer:
         extent = infer_page_extent(elements, width / height).select(
             "source_path", "page_id", F.struct("page_width", "page_height").alias("extent")
         )
-        sizes = extent.join(sizes, ["source_path", "page_id"], "left")
+        sizes = extent if sizes is None else extent.join(sizes, ["source_path", "page_id"], "left")
         fallback_width = F.coalesce("extent.page_width", fallback_width)
         fallback_height = F.coalesce("extent.page_height", fallback_height)
-    placed = join_reduced(elements, sizes, ["source_path", "page_id"], "left").withColumn(
+    placed = elements if sizes is None else join_reduced(elements, sizes, ["source_path", "page_id"], "left")
+    placed = placed.withColumn(
         "w", F.when(known, F.col("page_width").cast("double")).otherwise(fallback_width)
     ).withColumn("h", F.when(known, F.col("page_height").cast("double")).otherwise(fallback_height))
     zero = F.lit(0.0)

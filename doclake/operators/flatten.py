@@ -33,27 +33,64 @@ def _exploded(df: DataFrame, array: Column, item: str, at: str = "_at", outer: b
     return exploded if outer else exploded.filter(F.col(at).isNotNull())
 
 
+def _sizes_by_page(on_error: str) -> Column:
+    """A parse result's page sizes as a map from page number; of several sizes of a page the largest."""
+    sizes = F.transform(
+        payload_items(F.col("parsed_output"), PAGES, *_PAGE_SIZE),
+        lambda p: F.struct(*(payload_field(p[c], "int", on_error).alias(c) for c in _PAGE_SIZE)),
+    )
+    ordered = F.array_sort(F.filter(sizes, lambda p: p["id"].isNotNull()))
+    # A page's sizes are neighbours now, the largest last: a size whose successor is of the same page goes.
+    follows = F.slice(F.array_append(ordered, F.lit(None)), F.lit(2), F.size(ordered))
+    pairs = F.zip_with(ordered, follows, lambda p, q: F.struct(p.alias("page"), q["id"].alias("next")))
+    last = F.filter(pairs, lambda z: ~z["page"]["id"].eqNullSafe(z["next"]))
+    return F.map_from_entries(
+        F.transform(last, lambda z: F.struct(z["page"]["id"], F.struct(z["page"]["width"].alias("width"), z["page"]["height"].alias("height"))))
+    )
+
+
 def _of_run(df: DataFrame, run_id: str | None) -> DataFrame:
     return df if run_id is None else df.filter(F.col("pipeline_run_id") == run_id)
 
 
 def flatten_elements(
-    parsed: DataFrame, run_id: str | None = None, outer: bool = False, on_error: str = "raise"
+    parsed: DataFrame, run_id: str | None = None, outer: bool = False, on_error: str = "raise", page_sizes: bool = False
 ) -> DataFrame:
     """One row per element and bounding box.
 
     An element whose box list is empty, missing, null or no list gives no row, or with ``outer`` one row
     without a box. A path that leads nowhere, since what it starts from has another shape, is NULL, whatever else the
     payload holds. A value that cannot be cast raises, or becomes NULL with ``on_error="null"``.
+
+    With ``page_sizes`` each row has ``page_width`` and ``page_height`` of its page, as the same parse result tells them, NULL
+    where it does not; of several sizes of a page the largest. They are looked up before the explodes, so the sizes
+    themselves are not copied into every row.
     """
 
     documents = _of_run(parsed, run_id).select(
         *_DOCUMENT,
         has_parse_errors(F.col("parsed_output")).alias("has_parse_errors"),
         payload_items(F.col("parsed_output"), ELEMENTS, *_ELEMENT).alias("elements"),
+        *([_sizes_by_page(on_error).alias("sizes")] if page_sizes else []),
     )
+    found = payload_items(F.col("element.bbox"), "$", *_BOX)
+    if page_sizes:
+
+        def sized(element: Column) -> Column:
+            boxes = F.transform(
+                payload_items(element["bbox"], "$", *_BOX),
+                lambda b: F.struct(
+                    b["page_id"].alias("page_id"),
+                    b["coord"].alias("coord"),
+                    F.try_element_at("sizes", payload_field(b["page_id"], "int", on_error)).alias("size"),
+                ),
+            )
+            return F.struct(*(element[c].alias(c) for c in _ELEMENT), boxes.alias("boxes"))
+
+        documents = documents.withColumn("elements", F.transform("elements", sized)).drop("sizes")
+        found = F.col("element.boxes")
     elements = _exploded(documents, F.col("elements"), "element").drop("elements", "_at")
-    boxes = _exploded(elements, payload_items(F.col("element.bbox"), "$", *_BOX), "box", "bbox_index", outer)
+    boxes = _exploded(elements, found, "box", "bbox_index", outer)
     coords = F.try_variant_get("box.coord", "$", "array<variant>")
     corners = [
         payload_field(F.get(coords, F.lit(i)), "int", on_error).alias(f"bbox_{name}") for i, name in enumerate(("x1", "y1", "x2", "y2"))
@@ -69,7 +106,8 @@ def flatten_elements(
         "bbox_index",
         *corners,
         "has_parse_errors",
-    ).select(*DOCUMENT_ELEMENTS.names)
+        *([F.col(f"box.size.{c}").alias(f"page_{c}") for c in ("width", "height")] if page_sizes else []),
+    ).select(*DOCUMENT_ELEMENTS.names, *(["page_width", "page_height"] if page_sizes else []))
 
 
 def flatten_errors(parsed: DataFrame, run_id: str | None = None, on_error: str = "raise") -> DataFrame:

@@ -3,7 +3,7 @@ from __future__ import annotations
 import json
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from doclake import schemas
 from doclake.operators import aggregates, batching, documents, flatten, incremental, registry, runlog, tables
@@ -313,3 +313,40 @@ def test_nested_html_tables_are_whole(spark):
     got = spark.createDataFrame(list(enumerate(pages)), "n int, html string").select("n", html_parts(F.col("html")).alias("parts")).collect()
     assert {r["n"]: [tuple(p) for p in r["parts"]] for r in got} == {n: plain(page) for n, page in enumerate(pages)}
     assert plain(pages[0])[0] == ("table", "<tr><td>a<table><tr><td>b</td></tr></table></td><td>rest of the outer table</td></tr>")
+
+
+def test_page_sizes_in_rows(spark):
+    """Sizes looked up in the payload: repeated, odd and missing pages, boxes of unknown pages."""
+    payload = '''{"document": {"pages": [{"id": 1, "width": 10, "height": 20}, {"id": 0, "width": 5, "height": 6}, {"id": 1, "width": 9, "height": 99},
+        {"width": 7, "height": 7}, 3, {"id": 2}], "elements": [{"id": 0, "bbox": [{"page_id": 1, "coord": [0, 0, 5, 5]}, {"page_id": 0, "coord": [1, 1, 9, 9]}]},
+        {"id": 1, "bbox": [{"page_id": 2, "coord": [0, 0, 1, 1]}, {"page_id": 7, "coord": [0, 0, 1, 1]}, {"coord": [0, 0, 1, 1]}, 4]}, {"id": 2, "bbox": []}, 8]}}'''
+    bare = '{"document": {"elements": [{"id": 0, "bbox": [{"page_id": 0, "coord": [0, 0, 3, 3]}]}]}}'
+    table = spark.createDataFrame([("s", f"/p{i}", f"f{i}", "r", p) for i, p in enumerate((payload, bare, "{}", None))], "source_name string, source_path string, file_name string, pipeline_run_id string, raw string")
+    parsed = table.withColumn("parsed_at", F.lit("2024-01-01").cast("timestamp")).withColumn("parsed_output", F.parse_json("raw")).drop("raw")
+    for outer in (False, True):
+        sized = flatten.flatten_elements(parsed, outer=outer, page_sizes=True)
+        assert rows(sized.drop("page_width", "page_height")) == rows(flatten.flatten_elements(parsed, outer=outer))
+    sizes = {(r["source_path"], r["element_id"], r["bbox_index"]): (r["page_width"], r["page_height"]) for r in flatten.flatten_elements(parsed, page_sizes=True).collect()}
+    none = (None, None)
+    assert sizes == {("/p0", 0, 0): (10, 20), ("/p0", 0, 1): (5, 6), **{("/p0", 1, i): none for i in range(4)}, ("/p1", 0, 0): none}
+    boxes = documents.normalize_bbox(flatten.flatten_elements(parsed, page_sizes=True), None, 4, 6)
+    joined = documents.normalize_bbox(flatten.flatten_elements(parsed), flatten.page_dimensions(parsed, key="source_path"), 4, 6)
+    assert boxes.count() and rows(boxes) == rows(joined)
+
+
+def test_list_goes_on_behind_a_row(spark):
+    """Pages by cursor meet every document once, in order, with equal times, no times and names that are missing."""
+    times = ["2024-01-02 10:00:00.000001", "2024-01-01 00:00:00", None]
+    found = [(times[i % 3], f"f{i // 4}" if i % 7 else None, "s" if i % 5 else None, f"/p{i}" if i % 3 else None, i) for i in range(40)]
+    elements = spark.createDataFrame(found, "at string, file_name string, source_name string, source_path string, element_id int")
+    elements = elements.select(F.col("at").cast("timestamp").alias("parsed_at"), "file_name", "source_name", "source_path", "element_id", F.lit("text").alias("element_type"))
+    pages = spark.createDataFrame([], "file_name string, page_number int")
+    log = spark.createDataFrame([], "file_name string, status string, completed_at timestamp")
+    order = [F.desc("parsed_at"), F.asc("file_name"), F.asc("source_path"), F.asc("source_name")]
+    key = ["parsed_at", "file_name", "source_path", "source_name"]
+    every = [tuple(r) for r in elements.groupBy("file_name", "source_path", "source_name").agg(F.min("parsed_at").cast("string").alias("parsed_at")).select(*key).orderBy(*order).collect()]
+    for at in (None, *range(0, len(every), 3)):
+        after = None if at is None else Row(**dict(zip(key, every[at], strict=True)))
+        got = [tuple(r[c] for c in key) for r in documents.list_documents(elements, pages, log, limit=4, after=after).collect()]
+        start = 0 if at is None else at + 1
+        assert got == every[start : start + 4]

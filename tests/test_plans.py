@@ -137,3 +137,9 @@ def test_copies_are_reduced_before_the_shuffle(spark):
     text = physical(dedupe_latest(hot(spark), ["key"], ["n"]))
     assert "Window" not in text and text.count("Aggregate") == 2
     assert text.index("Exchange") < text.rindex("Aggregate")
+
+
+def test_boxes_are_normalized_without_a_join(spark):
+    """Page sizes come with the rows: no join, no Exchange."""
+    text = physical(documents.normalize_bbox(flatten.flatten_elements(fx.parsed(spark, SF), page_sizes=True), None, 459.0, 99.0))
+    assert "Join" not in text and "Exchange" not in text
