@@ -47,6 +47,49 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "SPDX-License-Identifier: MPL-2.0",
         "License: MPL", "License: MPL-2.0", "MPL licensed", "MPL License", "Mozilla Public License",
     ),
+    "agpl": (
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details.",
+        "You should have received a copy of the GNU Affero General Public License along with this program. If not, see https://www.gnu.org/licenses/.",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
+        "License: AGPL", "License: AGPL-3.0", "AGPL licensed", "AGPL License", "GNU AGPL", "GNU Affero General Public License",
+    ),
+    "isc": (
+        "Released under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "SPDX-License-Identifier: ISC",
+        "License: ISC", "ISC licensed", "ISC License", "The ISC License (ISC)",
+    ),
+    "epl": (
+        "Licensed under the Eclipse Public License, version 2.0.",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+        "SPDX-License-Identifier: EPL-2.0",
+        "License: EPL", "License: EPL-2.0", "EPL licensed", "EPL License", "Eclipse Public License",
+    ),
+    "boost": (
+        "Distributed under the Boost Software License, Version 1.0.",
+        "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at https://www.boost.org/LICENSE_1_0.txt)",
+        "SPDX-License-Identifier: BSL-1.0",
+        "License: BSL-1.0", "License: Boost", "Boost licensed", "Boost License", "Boost Software License",
+    ),
+    "artistic": (
+        "This package is licensed under the Artistic License 2.0.",
+        "This is free software; you may redistribute it and/or modify it under the terms of the Artistic License 2.0.",
+        "SPDX-License-Identifier: Artistic-2.0",
+        "License: Artistic", "License: Artistic-2.0", "Artistic License", "The Artistic License",
+    ),
+    "eupl": (
+        "Licensed under the European Union Public Licence, version 1.2.",
+        "Licensed under the EUPL, Version 1.2 or - as soon they will be approved by the European Commission - subsequent versions of the EUPL.",
+        "SPDX-License-Identifier: EUPL-1.2",
+        "License: EUPL", "License: EUPL-1.2", "EUPL licensed", "European Union Public Licence",
+    ),
+    "wtfpl": (
+        "This work is free. You can redistribute it and/or modify it under the terms of the Do What The Fuck You Want To Public License, Version 2.",
+        "SPDX-License-Identifier: WTFPL",
+        "License: WTFPL", "WTFPL licensed", "WTFPL License", "Do What The Fuck You Want To Public License",
+    ),
     "cc": (
         "Licensed under CC BY-NC 4.0.",
         "Licensed under CC BY 4.0.",
@@ -72,7 +115,8 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
 
 #: Names of licences and words that only their notices are full of; never too common to tell a notice by.
 NAMES = frozenset(
-    "apache bsd cc cc0 commons copyright domain gnu gpl lgpl license licensed mit mozilla mpl reserved spdx unencumbered".split()
+    "affero agpl apache bsd bsl cc cc0 commons copyright domain eclipse epl eupl gnu gpl isc lgpl licence license licensed mit mozilla mpl "
+    "reserved spdx unencumbered wtfpl".split()
 )
 
 #: Words of every text, which tell no notice by themselves.
@@ -102,4 +146,8 @@ OTHERS: tuple[str, ...] = (
     "Version 2.0 of the game was released in April.",
     "The domain of the king was public land.",
     "This project needs a later version of the program.",
+    "The eclipse of the moon was made available to the public on television.",
+    "An artistic version of the building was shown to the union.",
+    "The European Union published a boost for software companies.",
+    "Boost the engine before you use it for any purpose.",
 )

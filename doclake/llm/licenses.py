@@ -1,6 +1,7 @@
 """Licence notices in documents: a trained classifier of paragraphs, confirmed by templates. Built-in functions only.
 
-A paragraph (line) is a sparse set of word n-grams, of one to three words, that hold at least one licence word; licence words
+A paragraph is a line, or several that a long sentence is wrapped over, without the signs of comments before them; such a
+paragraph is judged as a whole and line by line. It is a sparse set of word n-grams, of one to three words, that hold at least one licence word; licence words
 are those of the templates that are rare in the corpus outside notices, and the names of licences whatever their number. A multinomial logistic regression with a sparse penalty, trained
 on the templates, parts of them and a bounded sample of other paragraphs, weighs the n-grams for each family and for
 ``unknown``. A paragraph without a licence word has no features and is unknown, so it is never joined with anything. A
@@ -12,6 +13,8 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -49,10 +52,33 @@ def _grams() -> Column:
     return F.array_distinct(F.filter(F.concat(*(F.transform("words", gram(n)) for n in range(1, LONGEST + 1))), lambda g: g.isNotNull()))
 
 
+#: What stands between the lines of a wrapped paragraph, where a newline was.
+_FOLD = "\x1f"
+
+
+def _unwrapped(text: Column) -> Column:
+    """``text`` with the newlines inside wrapped paragraphs replaced by ``_FOLD``, without comment signs and white space at line ends.
+
+    A line goes on in the next one if it has six words or more, no sign that ends a sentence is its last character, and the
+    next line is not blank.
+    """
+    bare = F.regexp_replace(text, r"(?dm)^[ \t]*+(?://++[/!]*+|/\*++!?|\*++/?|#++|--++|;++|%++|>++|<!--|(?i:rem|dnl)(?=[ \t]))[ \t]*+", "")
+    bare = F.regexp_replace(bare, r"(?<![ \t\r])[ \t\r]++(?=\n)", "")
+    return F.regexp_replace(bare, r"(?dm)^([ \t]*+(?:[^\s]++[ \t]++){5}[^\n]++)(?<![.!?:;])\n(?=[ \t]*+\S)", f"$1{_FOLD}")
+
+
 def paragraphs(docs: DataFrame) -> DataFrame:
-    """``(doc_id, mark, paragraph, text)``: each line of each document; the mark tells rows that share a doc_id apart."""
+    """``(doc_id, mark, paragraph, line, text)`` of each paragraph of each document; the mark tells rows that share a doc_id apart.
+
+    A paragraph of one line has ``line`` -1; one wrapped over more has a row as a whole, of line -1, and one for each line.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("mark"), F.posexplode(F.split(text, "\n")).alias("paragraph", "text"))
+    whole = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("mark"), F.posexplode(F.split(_unwrapped(text), "\n")).alias("paragraph", "whole")
+    )
+    lines = F.split("whole", _FOLD)
+    units = F.when(F.size(lines) > 1, F.concat(F.array("whole"), lines)).otherwise(F.array("whole"))
+    return whole.select("doc_id", "mark", "paragraph", F.posexplode(units).alias("line", "text")).withColumn("line", F.col("line") - 1)
 
 
 @dataclass(frozen=True)
@@ -96,7 +122,7 @@ def train(docs: DataFrame, sample: int = 2_000, rare: float = 0.02, penalty: flo
     too common to be licence words, so notices do not strike their own words, however many there are; names are never struck.
     """
     spark: SparkSession = docs.sparkSession
-    lines = paragraphs(docs).filter("trim(text) <> ''").select(F.xxhash64("doc_id", "mark", "paragraph").alias("h"), "text")
+    lines = paragraphs(docs).filter("trim(text) <> ''").select(F.xxhash64("doc_id", "mark", "paragraph", "line").alias("h"), "text")
     taken = lines.orderBy("h", "text").limit(sample).groupBy("text").agg(F.min("h").alias("h"))
     taken = stored(taken.withColumn("words", _words(F.col("text"))), "lines")
     rows = spark.createDataFrame(_training_rows(), "family string, text string, fold int").withColumn("words", _words(F.col("text")))
@@ -174,29 +200,29 @@ def fit(x: np.ndarray, y: np.ndarray, penalty: float, steps: int = 400) -> tuple
 
 
 def license_paragraphs(docs: DataFrame, model: LicenseModel, least: float = 0.5, alike: float = 0.5, shared: int = 3) -> DataFrame:
-    """``(doc_id, mark, paragraph, family, probability, template_share, confirmed)`` of paragraphs with a licence word.
+    """``(doc_id, mark, paragraph, line, family, probability, template_share, similar, confirmed)`` of paragraphs with a licence word.
 
     ``family`` is the most probable one, or ``unknown`` if that is unknown or below ``least``. ``template_share`` is the
     largest share of n-grams in common with a template of the family, of the smaller of the two sets; from ``alike`` on the
-    prediction is ``confirmed``, if ``shared`` n-grams agree at least, or all of a template that has fewer. Every paragraph of every whole text is read; one without licence words gives no row, as do
+    prediction is ``confirmed`` (``similar`` are all families with such a template), if ``shared`` n-grams agree at least, or all of a template that has fewer. Every paragraph of every whole text is read; one without licence words gives no row, as do
     null and empty texts. Repeated rows give repeated results only if their doc_id or text differs.
     """
     spark = docs.sparkSession
     known = F.array(*map(F.lit, model.words)) if model.words else F.array().cast("array<string>")
     hits = paragraphs(docs).withColumn("words", _words(F.col("text"))).filter(F.arrays_overlap("words", known))
-    hits = _flagged(hits.select("doc_id", "mark", "paragraph", "words"), model.words, "hits")
-    hits = hits.select("doc_id", "mark", "paragraph", _grams().alias("grams"))
-    hits = stored(hits.groupBy("doc_id", "mark", "paragraph").agg(F.first("grams").alias("grams")), "paragraphs")
+    hits = _flagged(hits.select("doc_id", "mark", "paragraph", "line", "words"), model.words, "hits")
+    hits = hits.select("doc_id", "mark", "paragraph", "line", _grams().alias("grams"))
+    hits = stored(hits.groupBy("doc_id", "mark", "paragraph", "line").agg(F.first("grams").alias("grams")), "paragraphs")
     table = spark.createDataFrame(list(model.weights.items()) or [("", [0.0] * len(FAMILIES))], "gram string, weights array<double>")
-    each = hits.select("doc_id", "mark", "paragraph", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
-    sums = each.join(F.broadcast(table), "gram", "left").groupBy("doc_id", "mark", "paragraph").agg(
+    each = hits.select("doc_id", "mark", "paragraph", "line", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
+    sums = each.join(F.broadcast(table), "gram", "left").groupBy("doc_id", "mark", "paragraph", "line").agg(
         F.first("n").alias("n"), *(F.sum(F.coalesce(F.col("weights")[k], F.lit(0.0))).alias(f"s{k}") for k in range(len(FAMILIES)))
     )
     raw = [(F.col(f"s{k}") + F.lit(float(b))) / model.temperature for k, b in enumerate(model.bias)]
     top = F.greatest(*raw)
     total = sum((F.exp(x - top) for x in raw[1:]), F.exp(raw[0] - top))
     best = F.array_max(F.array(*(F.struct(x.alias("raw"), F.lit(f).alias("family")) for x, f in zip(raw, FAMILIES, strict=True))))
-    predicted = sums.select("doc_id", "mark", "paragraph", "n", best["family"].alias("best"), (1 / total).alias("probability"))
+    predicted = sums.select("doc_id", "mark", "paragraph", "line", "n", best["family"].alias("best"), (1 / total).alias("probability"))
     family = F.when(F.col("probability") >= least, F.col("best")).otherwise(UNKNOWN)
     predicted = predicted.withColumn("family", family).drop("best")
 
@@ -204,14 +230,19 @@ def license_paragraphs(docs: DataFrame, model: LicenseModel, least: float = 0.5,
     grams = spark.createDataFrame(texts, "family string, template int, text string").withColumn("words", _words(F.col("text"))).coalesce(1)
     grams = _flagged(grams, model.words, "templates").withColumn("grams", _grams())
     grams = grams.select("family", "template", F.size("grams").alias("m"), F.explode("grams").alias("gram"))
-    common = each.join(F.broadcast(grams), "gram").groupBy("doc_id", "mark", "paragraph", "family", "template").agg(
+    common = each.join(F.broadcast(grams), "gram").groupBy("doc_id", "mark", "paragraph", "line", "family", "template").agg(
         (F.count("*") / F.least(F.first("n"), F.first("m"))).alias("share"), F.count("*").alias("common"), F.first("m").alias("m")
     ).filter(F.col("common") >= F.least(F.lit(shared), F.col("m")))
-    nearest = common.groupBy("doc_id", "mark", "paragraph", "family").agg(F.max("share").alias("template_share"))
-    keys = [predicted[c].eqNullSafe(nearest[c]) for c in ("doc_id", "mark", "paragraph", "family")]
-    found = predicted.join(nearest, [keys[0] & keys[1] & keys[2] & keys[3]], "left").select(
-        *(predicted[c] for c in ("doc_id", "mark", "paragraph", "family", "probability")),
-        F.coalesce(F.col("template_share"), F.lit(0.0)).alias("template_share"),
+    nearest = common.groupBy("doc_id", "mark", "paragraph", "line").agg(
+        *(F.coalesce(F.max(F.when(F.col("family") == f, F.col("share"))), F.lit(0.0)).alias(f"t{k}") for k, f in enumerate(FAMILIES))
+    )
+    same = reduce(and_, (predicted[c].eqNullSafe(nearest[c]) for c in ("doc_id", "mark", "paragraph", "line")))
+    own = reduce(lambda rest, k: F.when(F.col("family") == FAMILIES[k], F.col(f"t{k}")).otherwise(rest), range(len(FAMILIES)), F.lit(0.0))
+    close = F.array_compact(F.array(*(F.when(F.col(f"t{k}") >= alike, F.lit(f)) for k, f in enumerate(FAMILIES))))
+    found = predicted.join(nearest, same, "left").select(
+        *(predicted[c] for c in ("doc_id", "mark", "paragraph", "line", "family", "probability")),
+        F.coalesce(own, F.lit(0.0)).alias("template_share"),
+        close.alias("similar"),
     )
     return found.withColumn("confirmed", (F.col("family") != UNKNOWN) & (F.col("template_share") >= alike))
 
@@ -219,14 +250,24 @@ def license_paragraphs(docs: DataFrame, model: LicenseModel, least: float = 0.5,
 def license_documents(docs: DataFrame, model: LicenseModel) -> DataFrame:
     """``(doc_id, families, n_confirmed, n_unconfirmed, n_unknown)`` of each row: the confirmed families, sorted, and counts.
 
+    A wrapped paragraph counts once: confirmed if it is as a whole or one of its lines is, else of a family if one is. Beside
+    the family of a confirmed whole stand those of its lines that are not like the whole's family too.
     ``n_unconfirmed`` counts paragraphs of a family that no template confirms, ``n_unknown`` those with licence words that
     the classifier calls unknown. Rows that share a doc_id are told apart by their text; repeated rows stay.
     """
-    found = license_paragraphs(docs, model).groupBy(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).agg(
-        F.array_sort(F.collect_set(F.when(F.col("confirmed"), F.col("family")))).alias("families"),
+    each = license_paragraphs(docs, model).groupBy("doc_id", "mark", "paragraph").agg(
+        F.max(F.when((F.col("line") < 0) & F.col("confirmed"), F.col("family"))).alias("whole"),
+        F.collect_set(F.when(F.col("confirmed"), F.struct("family", "similar"))).alias("lines"),
+        F.max("confirmed").alias("confirmed"),
+        F.max(F.col("family") != UNKNOWN).alias("known"),
+    )
+    counted = F.filter("lines", lambda u: F.col("whole").isNull() | (u["family"] == F.col("whole")) | ~F.array_contains(u["similar"], F.col("whole")))
+    each = each.withColumn("families", F.array_distinct(F.transform(counted, lambda u: u["family"])))
+    found = each.groupBy(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("families")))).alias("families"),
         F.count_if(F.col("confirmed")).alias("n_confirmed"),
-        F.count_if(~F.col("confirmed") & (F.col("family") != UNKNOWN)).alias("n_unconfirmed"),
-        F.count_if(F.col("family") == UNKNOWN).alias("n_unknown"),
+        F.count_if(~F.col("confirmed") & F.col("known")).alias("n_unconfirmed"),
+        F.count_if(~F.col("known")).alias("n_unknown"),
     )
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("mark"))

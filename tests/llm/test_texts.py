@@ -255,6 +255,21 @@ def test_frequent_licence_notices_are_found(spark):
         assert [got[i] for i, _ in notices] == ["mit"] * len(notices) and all(got[1000 + i] == "" for i in range(others))
 
 
+def plain_paragraphs(text):
+    """Lines by paragraph, by a loop: comment signs go; six words and no end of a sentence run on in a line that is not blank."""
+    signs = re.compile(r"[ \t]*(//+[/!]*|/\*+!?|\*+/?|#+|--+|;+|%+|>+|<!--|(rem|dnl)(?=[ \t]))[ \t]*", re.I)
+    lines = [line[m.end() :] if (m := signs.match(line)) else line for line in text.split("\n")]
+    lines = [line.rstrip(" \t\r") for line in lines[:-1]] + lines[-1:]
+    out, going = [], False
+    for line in lines:
+        if going and line.strip():
+            out[-1].append(line)
+        else:
+            out.append([line])
+        going = len(line.split()) >= 6 and line[-1] not in ".!?:;"
+    return out
+
+
 def plain_licenses(docs, model, least=0.5, alike=0.5, shared=3):
     marked = set(model.words)
 
@@ -266,20 +281,28 @@ def plain_licenses(docs, model, least=0.5, alike=0.5, shared=3):
     out = []
     for d, text in docs:
         families, counts = set(), [0, 0, 0]
-        for line in text.split("\n"):
-            mine = grams(line)
-            if not mine:
-                continue
-            raw = (np.array(model.bias) + sum(np.array(model.weights.get(g, [0.0] * len(licenses.FAMILIES))) for g in mine)) / model.temperature
-            shares = np.exp(raw - raw.max()) / np.exp(raw - raw.max()).sum()
-            family = licenses.FAMILIES[int(shares.argmax())] if shares.max() >= least else licenses.UNKNOWN
-            if family == licenses.UNKNOWN:
-                counts[2] += 1
-            elif any(len(mine & t) >= max(min(shared, len(t)), alike * min(len(mine), len(t))) for t in templates[family]):
-                families.add(family)
-                counts[0] += 1
-            else:
-                counts[1] += 1
+        for paragraph in plain_paragraphs(text):
+            best, whole = 0, None
+            for k, unit in enumerate([" ".join(paragraph), *(paragraph if len(paragraph) > 1 else [])]):
+                mine = grams(unit)
+                if not mine:
+                    continue
+                raw = (np.array(model.bias) + sum(np.array(model.weights.get(g, [0.0] * len(licenses.FAMILIES))) for g in mine)) / model.temperature
+                shares = np.exp(raw - raw.max()) / np.exp(raw - raw.max()).sum()
+                family = licenses.FAMILIES[int(shares.argmax())] if shares.max() >= least else licenses.UNKNOWN
+                if family == licenses.UNKNOWN:
+                    best = max(best, 1)
+                    continue
+                like = {f for f, ts in templates.items() if any(len(mine & t) >= max(min(shared, len(t)), alike * min(len(mine), len(t))) for t in ts)}
+                if family in like:
+                    whole = family if k == 0 else whole
+                    if whole in (None, family) or whole not in like:
+                        families.add(family)
+                    best = 3
+                else:
+                    best = max(best, 2)
+            if best:
+                counts[3 - best] += 1
         out.append((d, ",".join(sorted(families)), *counts))
     return sorted(out)
 
@@ -305,3 +328,38 @@ def test_short_wrapped_and_reworded_notices(spark):
     assert got == plain_licenses(docs, model)
     assert [r[1] for r in got[: len(short)]] == list(short.values())
     assert [r[1] for r in got[len(short) + 4 : len(short) + 8]] == ["", "", "", ""]
+
+
+def test_wrapped_commented_and_further_licences(spark):
+    """Whole notices wrapped at several widths, as comments of several languages, with the family each must give."""
+    import textwrap
+
+    affero = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    notices = {
+        "mit": licenses.TEMPLATES["mit"][1], "apache": licenses.TEMPLATES["apache"][1], "agpl": affero, "gpl": affero.replace("Affero ", ""),
+        "isc": licenses.TEMPLATES["isc"][1], "epl": licenses.TEMPLATES["epl"][1], "boost": licenses.TEMPLATES["boost"][1],
+        "artistic": licenses.TEMPLATES["artistic"][1], "mpl": licenses.TEMPLATES["mpl"][1],
+    }
+    short = {
+        "GNU Affero General Public License, version 3": "agpl", "SPDX-License-Identifier: AGPL-3.0": "agpl", "SPDX-License-Identifier: ISC": "isc",
+        "License: EPL-2.0": "epl", "SPDX-License-Identifier: BSL-1.0": "boost", "License: Artistic-2.0": "artistic", "License: EUPL-1.2": "eupl",
+        "Our code is released under the MIT License\nOur handbook is licensed under CC BY 4.0\nThank you": "cc,mit", "License: WTFPL": "wtfpl", "# License: MIT": "mit", "License: MIT\nLicense: Apache-2.0\n": "apache,mit", "SPDX-License-Identifier: GPL-3.0-only": "gpl",
+    }
+    cases = list(short.items())
+    for family, notice in notices.items():
+        for width in (50, 72):
+            wrapped = textwrap.wrap(notice, width)
+            cases += [("\n".join(wrapped), family), ("\r\n".join(f" * {w}" for w in wrapped), family), ("import x\n\n" + "\n".join(f"# {w}" for w in wrapped) + "\n\nx = 1", family)]
+        cases.append(("/*\n" + "\n".join(f"// {w}  " for w in textwrap.wrap(notice, 60)) + "\n*/", family))
+    rng = random.Random(7)
+    words = "river walked public general seven terms houses free green version slowly the of and to software under work".split()
+    prose = [" ".join(rng.choice(words) for _ in range(14)) + rng.choice([".", ""]) for _ in range(400)]
+    texts = ["\n".join(prose[i : i + 4]) for i in range(0, 400, 4)]
+    docs = list(enumerate([c for c, _ in cases] + texts))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    model = licenses.train(df)
+    got = sorted(rows(licenses.license_documents(df, model)))
+    assert got == plain_licenses(docs, model)
+    wrong = [(cases[i], got[i]) for i in range(len(cases)) if got[i][1] != cases[i][1]]
+    assert not wrong, wrong
+    assert sum(r[1] != "" for r in got[len(cases) :]) == 0
