@@ -4,11 +4,14 @@ A block enters as the hashed words of its tag path, its own hashed words, and a
 the blocks of the page forward and backward, so each block is judged with the whole page as context. No page comes with
 labels: the network is trained on a bounded sample of the pages themselves, where the names of elements say what a block is,
 with blocks moved into other surroundings (side bars, notices, comments, forms, plainer articles) so that it learns
-those too, and with parts of the names hidden so that it relies on more than one of them.
+those too, and with parts of the names hidden so that it relies on more than one of them. Near half of the pages it learns
+from have no names at all, plain ``div`` or table cells in place of telling elements, so that it also goes by what blocks
+look like: their length, links, sentences, tags and neighbours.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -21,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from doclake.llm.common import slices
 from doclake.llm.html_blocks import Block, blocks
 
-PATH, WORDS, MEASURES, HIDDEN = 160, 24, 6, 16
+PATH, WORDS, MEASURES, HIDDEN = 160, 24, 8, 16
 INPUT = PATH + WORDS + MEASURES
 
 # Words that name what a part of a page is for; used to label the training sample only.
@@ -31,6 +34,9 @@ _ASIDE = frozenset(
     "pagination pager login search widget copyright legal disclaimer toolbar topbar masthead dialog alert".split()
 )
 _MAIN = frozenset("article main content post entry story body text".split())
+_TELLING = frozenset("article main section header footer nav aside form menu".split())
+Known = tuple[tuple[str, ...], np.ndarray]  # a block's path and shape
+
 _WRONG_PATHS = (
     "body aside .sidebar p", "body div .sidebar div .widget p", "body div .cookie .notice p", "body div .notice", "body div .banner p",
     "body form label", "body form p", "body form div .newsletter p", "body section .comments div .comment p", "body div .comments ul li p",
@@ -57,21 +63,31 @@ def _slot(word: str, size: int) -> int:
     return xxhash.xxh3_64_intdigest(word) % size
 
 
-def _vector(path: tuple[str, ...], words: list[str], n: int, linked: int, place: float) -> np.ndarray:
+def shape(text: str, linked: int) -> np.ndarray:
+    """What the whole text of a block enters as: its hashed words, then measures; the share of links and the place come last."""
+    words, n = text.lower().split(), max(len(text), 1)
+    out = np.zeros(WORDS + MEASURES, np.float32)
+    for w in words:
+        out[_slot(w, WORDS)] += 1
+    out[:WORDS] /= max(len(words), 1) ** 0.5 * 4
+    ends = text.count(". ") + text.count("! ") + text.count("? ") + text.endswith((".", "!", "?"))
+    out[WORDS:] = (np.log1p(n) / 8, len(words) / n * 4, float(n < 40), 1.0, float(ends > 0), min(ends, 8) / 8, linked / n, 0)
+    return out
+
+
+def _vector(path: tuple[str, ...], look: np.ndarray, place: float) -> np.ndarray:
     out = np.zeros(INPUT, np.float32)
     for depth, w in enumerate(path):
         if w not in ("html", "body"):
             out[_slot(w.replace("#", "."), PATH)] = 1.0 if depth < len(path) - 1 else 1.5
-    for w in words:
-        out[PATH + _slot(w, WORDS)] += 1
-    out[PATH : PATH + WORDS] /= max(len(words), 1) ** 0.5 * 4
-    out[PATH + WORDS :] = (np.log1p(n) / 8, linked / max(n, 1), place, len(words) / max(n, 1) * 4, float(n < 40), 1.0)
+    out[PATH:] = look
+    out[-1] = place
     return out
 
 
 def inputs(page: list[Block]) -> np.ndarray:
     """A row for each block of a page."""
-    rows = [_vector(b.path, b.text.lower().split(), len(b.text), b.linked, i / max(len(page) - 1, 1)) for i, b in enumerate(page)]
+    rows = [_vector(b.path, shape(b.text, b.linked), i / max(len(page) - 1, 1)) for i, b in enumerate(page)]
     return np.stack(rows) if rows else np.zeros((0, INPUT), np.float32)
 
 
@@ -165,7 +181,57 @@ def named_label(path: tuple[str, ...]) -> int | None:
     return 1 if any(w in _MAIN for w in words[2:]) else None
 
 
-def _varied(page: list[tuple[tuple[str, ...], list[str], int, int]], other: list, rng: np.random.Generator) -> tuple[list, list[int]]:
+def unnamed(path: tuple[str, ...], cells: bool = False) -> tuple[str, ...]:
+    """A path without names: no classes and ids, ``div`` or, with ``cells``, table cells for elements that say what they hold."""
+    plain: list[str] = []
+    for w in path:
+        if w[0] not in ".#":
+            plain += ["table", "tr", "td"] if cells and w in _TELLING | {"div"} else ["div"] if w in _TELLING else [w]
+    return tuple(plain)
+
+
+def in_pieces(page: list[Block], least: int = 100) -> list[Block]:
+    """The page with each long text without links as several blocks, of whole sentences and at least ``least`` characters."""
+    out: list[Block] = []
+    for b in page:
+        pieces = [b.text]
+        if not b.linked and len(b.text) > 2 * least:
+            pieces = [""]
+            for sentence in re.split(r"(?<=[.!?]) ", b.text):
+                if len(pieces[-1]) >= least:
+                    pieces.append("")
+                pieces[-1] += " " * bool(pieces[-1]) + sentence
+        out += [Block(b.path, piece, b.linked) for piece in pieces]
+    return out
+
+
+def _bare(page: list[Known], asides: list[Known], rng: np.random.Generator) -> tuple[list[Known], list[int]]:
+    """A page's blocks with labels as a page without names has them, with parts beside the article of other pages."""
+    cells, loose = rng.random() < 0.4, rng.random() < 0.5
+    rows, marks = [], []
+    alone, last = rng.random() < 0.5, max((i for i, b in enumerate(page) if named_label(b[0])), default=-1)
+
+    def beside() -> None:
+        at = int(rng.integers(len(asides)))
+        for path, look in asides[at : at + int(rng.integers(1, 5))]:
+            rows.append((unnamed(path, cells), look))
+            marks.append(0)
+
+    for i, (path, look) in enumerate(page):
+        mark = named_label(path)
+        if mark is None or alone and i > last >= 0:  # half of the pages end with their article
+            continue
+        if asides and rng.random() < 0.05:
+            beside()
+        bare = unnamed(path, cells)
+        if mark and loose and bare[-1] == "p" and rng.random() < 0.7:
+            bare = (*bare[:-1], "td" if cells else "div")
+        rows.append((bare, look))
+        marks.append(mark)
+    return rows, marks
+
+
+def _varied(page: list[Known], other: list[Known], rng: np.random.Generator) -> tuple[list[Known], list[int]]:
     """A page's blocks with labels, some moved into other surroundings, others put in between, some names hidden."""
     rows, marks = [], []
     move = rng.random() < 0.5
@@ -175,13 +241,14 @@ def _varied(page: list[tuple[tuple[str, ...], list[str], int, int]], other: list
         for _ in range(int(rng.integers(1, 4))):
             path = tuple(_WRONG_PATHS[rng.integers(len(_WRONG_PATHS))].split())
             for _ in range(int(rng.integers(1, 4))):
-                _, words, n, _ = other[rng.integers(len(other))]
-                rows.append((path, words, n, n if path[-1] == "a" else 0))
+                look = other[rng.integers(len(other))][1].copy()
+                look[-2] = float(path[-1] == "a")
+                rows.append((path, look))
                 marks.append(0)
 
     if other and rng.random() < 0.6:
         strange()
-    for path, words, n, linked in page:
+    for path, look in page:
         mark = named_label(path)
         if mark is None:
             continue
@@ -189,7 +256,7 @@ def _varied(page: list[tuple[tuple[str, ...], list[str], int, int]], other: list
             path = tuple((_RIGHT_PATHS[rng.integers(len(_RIGHT_PATHS))] if rng.random() < 0.5 else right).split())
         elif rng.random() < 0.15:
             path = tuple(w for w in path if rng.random() < 0.7 or w in ("p", "li", "a") or w.lstrip(".") in _ASIDE | _MAIN)
-        rows.append((path, words, n, linked))
+        rows.append((path, look))
         marks.append(mark)
         if other and rng.random() < 0.06:
             strange()
@@ -198,35 +265,43 @@ def _varied(page: list[tuple[tuple[str, ...], list[str], int, int]], other: list
     return rows, marks
 
 
-def train(pages: DataFrame, sample: int = 160, most_blocks: int = 150, rounds: int = 160, seed: int = 11) -> Labeller:
+def train(pages: DataFrame, sample: int = 160, most_blocks: int = 150, rounds: int = 240, seed: int = 11) -> Labeller:
     """A labeller fitted on at most ``sample`` pages, chosen by a hash of their ids, of at most ``most_blocks`` blocks each.
 
-    The driver receives the texts of these blocks alone. Without pages the network sees made-up surroundings only.
+    Each page is learnt from as it is, and with its long texts in pieces of a few sentences.
+
+    The driver receives of each block its path and the fixed numbers its whole text enters as. Without pages the network
+    sees made-up surroundings only.
     """
     chosen = pages.filter("html is not null").select("page_id", "html").orderBy(F.xxhash64("page_id"), "page_id").limit(sample)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for page in batch["html"].to_pylist():
-                found = blocks(page)[:most_blocks]
-                columns = ([list(b.path) for b in found], [b.text[:2000] for b in found], [len(b.text) for b in found], [b.linked for b in found])
-                kinds = (pa.list_(pa.list_(pa.string())), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(columns, kinds, strict=True)], names=["paths", "texts", "sizes", "linked"])
-
-    rows = chosen.mapInArrow(cut, "paths array<array<string>>, texts array<string>, sizes array<long>, linked array<long>").collect()
-    known = [
-        [(tuple(p), t.lower().split(), n, k) for p, t, n, k in zip(r["paths"], r["texts"], r["sizes"], r["linked"], strict=True)] for r in rows
-    ]
-    texts = [b for page in known for b in page] or [((), [w] * 8, 40, 0) for w in ("one", "two", "three")]
+                whole = blocks(page)
+                for found in (whole[:most_blocks], in_pieces(whole)[:most_blocks]):
+                    columns = ([list(b.path) for b in found], [shape(b.text, b.linked) for b in found])
+                    kinds = (pa.list_(pa.list_(pa.string())), pa.list_(pa.list_(pa.float32())))
+                    yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(columns, kinds, strict=True)], names=["paths", "looks"])
+
+    rows = chosen.mapInArrow(cut, "paths array<array<string>>, looks array<array<float>>").collect()
+    return fit([[(tuple(p), np.array(k, np.float32)) for p, k in zip(r["paths"], r["looks"], strict=True)] for r in rows], rounds, seed)
+
+
+def fit(known: list[list[Known]], rounds: int, seed: int) -> Labeller:
+    """The network after ``rounds`` steps, each over 16 varied pages of those given, by Adam with a falling rate."""
+    texts = [b for page in known for b in page] or [((), shape(w * 8, 0)) for w in ("one ", "two ", "three ")]
+    asides = [b for b in texts if named_label(b[0]) == 0]
     rng = np.random.default_rng(seed)
     model, moment, square = Labeller.fresh(seed), {}, {}
     for step in range(1, rounds + 1):
         batch, labels = [], []
         for k in rng.integers(0, max(len(known), 1), 16):
-            rows, marks = _varied(known[k] if known else [], texts, rng)
+            page = known[k] if known else []
+            rows, marks = _bare(page, asides, rng) if rng.random() < 0.45 else _varied(page, texts, rng)
             if rows:
                 last = max(len(rows) - 1, 1)
-                batch.append(np.stack([_vector(p, w, n, link, i / last) for i, (p, w, n, link) in enumerate(rows)]))
+                batch.append(np.stack([_vector(p, look, i / last) for i, (p, look) in enumerate(rows)]))
                 labels.append(marks)
         if not batch:
             continue

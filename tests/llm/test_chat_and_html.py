@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from doclake.llm import chat, html_labeller, templates
 from doclake.llm.html_blocks import blocks
@@ -131,3 +134,58 @@ def test_extraction(spark):
     assert by[40]["text"] == by[41]["text"] == by[None]["text"] == "" and by[42]["text"].count("words in it") == 5000
     assert html_labeller.extract(df.limit(0), model).count() == 0
     assert rows(got.filter("page_id = 41").select("n_chars")) == [(0,), (0,)]
+
+
+class _Article(HTMLParser):
+    """The text of a page's article by the standard library's parser, block by block."""
+
+    def __init__(self):
+        super().__init__()
+        self.inside, self.found = False, [""]
+
+    def handle_starttag(self, tag, attrs):
+        self.inside |= tag == "article"
+        if tag == "br":
+            self.handle_data(" ")
+        elif tag not in ("b", "a", "i", "em", "strong", "span"):
+            self.found.append("")
+
+    def handle_endtag(self, tag):
+        self.inside &= tag != "article"
+        if tag not in ("b", "a", "i", "em", "strong", "span"):
+            self.found.append("")
+
+    def handle_data(self, data):
+        if self.inside:
+            self.found[-1] += data
+
+
+def article(page):
+    parser = _Article()
+    parser.feed(page)
+    parser.close()
+    return [t for t in (" ".join(f.split()) for f in parser.found) if t]
+
+
+def test_given_pages_with_and_without_names(spark):
+    """Every given page as it is against a plain parser, and with all names and telling elements gone, as ``div`` and as table cells."""
+    table = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    model = html_labeller.train(table)
+    want = {r["page_id"]: article(r["html"] or "") for r in table.select("page_id", "html").collect()}
+    cells = {"start": "<table><tr><td>", "end": "</td></tr></table>"}
+    for start, end, least in ((None, None, 1.0), ("<div>", "</div>", 0.95), (cells["start"], cells["end"], 0.95)):
+        html = F.col("html")
+        if start:
+            html = F.regexp_replace(html, r"(?i)<(?:article|nav|footer|aside|header|main|section|div)\b[^>]*>", start)
+            html = F.regexp_replace(html, r"(?i)</(?:article|nav|footer|aside|header|main|section|div)>", end)
+        got = {r["page_id"]: r["text"] for r in html_labeller.extract(table.withColumn("html", html), model).collect()}
+        right = found = expected = 0
+        for k, text in got.items():
+            mine, theirs = Counter(text.split("\n") if text else []), Counter(want[k])
+            right += sum(len(t) * n for t, n in (mine & theirs).items())
+            found += sum(len(t) * n for t, n in mine.items())
+            expected += sum(len(t) * n for t, n in theirs.items())
+        assert right >= least * found and right >= least * expected, (start, right, found, expected)
+    line = "The river walked slowly under seven green houses, and the people of the town were glad of it. It rained for days. "
+    plain = spark.createDataFrame([(1, "u", f"<div><h1>A river</h1><p>{line}</p><p>{line * 2}</p></div>")], "page_id long, url string, html string")
+    assert html_labeller.extract(plain, model).first()["text"] == "\n".join(["A river", line.strip(), (line * 2).strip()])
