@@ -487,6 +487,10 @@ def all_sql() -> dict[str, str]:
         "qry1_list_documents_search": _with(["list_rows"], f"""
             SELECT {_LIST} FROM list_rows WHERE lower(file_name) LIKE '%c_1%5%' OR lower(source_name) LIKE '%c_1%5%'
             ORDER BY parsed_at DESC, file_name, source_path LIMIT 10 OFFSET 10"""),
+        "qry1_summarized_overview": _with(["list_rows"], f"SELECT {_LIST} FROM list_rows"),
+        "qry1_summarized_list_search": _with(["list_rows"], f"""
+            SELECT {_LIST} FROM list_rows WHERE lower(file_name) LIKE '%c_1%5%' OR lower(source_name) LIKE '%c_1%5%'
+            ORDER BY parsed_at DESC, file_name, source_path LIMIT 10 OFFSET 10"""),
         "qry1_count_documents": _with(["elements"], """
             SELECT count(DISTINCT file_name) AS total FROM elements WHERE lower(file_name) LIKE '%src_1%' OR lower(source_name) LIKE '%src_1%'"""),
         "prj11_search": _with(["registry"], """
@@ -549,6 +553,8 @@ def all_sql() -> dict[str, str]:
             SELECT file_name, source_path, page_number, page_number > 0 AS has_previous,
                    page_number < count(*) OVER (PARTITION BY file_name) - 1 AS has_next FROM pages_"""),
         "qry4_corpus_stats": _with(["stats"], "SELECT * FROM stats"),
+        "qry4_summarized_stats": _with(["stats"], "SELECT * FROM stats"),
+        "qry4_merged_states": _with(["stats"], "SELECT *, true AS near FROM stats"),
         "qry4_dashboard": _with(["stats"], """
             SELECT *, round(100.0::DOUBLE * completed / nullif(completed + failed, 0), 1) AS success_rate
             FROM (SELECT max(value) FILTER (metric = 'documents') AS total_documents, max(value) FILTER (metric = 'pages') AS total_pages,

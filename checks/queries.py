@@ -10,7 +10,7 @@ from checks import fixtures as fx
 from doclake.functions import content_hash, document_id, log_id, matches_pattern, mb, preview, strip_scheme
 from doclake.functions.payload import ELEMENTS, has_parse_errors, payload_size
 from doclake.operators import aggregates as agg
-from doclake.operators import batching, documents, flatten, incremental, parse, registry, runlog
+from doclake.operators import batching, documents, flatten, incremental, parse, registry, runlog, summaries
 from doclake.operators.layout import html_element_type, html_parts
 from doclake.sources import (
     assign_staging_path,
@@ -696,6 +696,21 @@ def qry1_list_documents_search(spark: SparkSession, sf: str) -> DataFrame:
     return _list_row(documents.list_documents(*_corpus(spark, sf), limit=10, offset=10, q="C_1%5"))
 
 
+def _summaries(spark: SparkSession, sf: str) -> DataFrame:
+    return summaries.summarize(_elements(spark, sf), _pages(spark, sf))
+
+
+@query
+def qry1_summarized_overview(spark: SparkSession, sf: str) -> DataFrame:
+    """The document list from a row per document."""
+    return _list_row(summaries.summarized_overview(_summaries(spark, sf), fx.log(spark, sf)))
+
+
+@query
+def qry1_summarized_list_search(spark: SparkSession, sf: str) -> DataFrame:
+    return _list_row(summaries.summarized_list(_summaries(spark, sf), fx.log(spark, sf), limit=10, offset=10, q="C_1%5"))
+
+
 @query
 def qry1_count_documents(spark: SparkSession, sf: str) -> DataFrame:
     return documents.count_documents(_elements(spark, sf), "sRc_1")
@@ -795,6 +810,20 @@ def qry4_dashboard(spark: SparkSession, sf: str) -> DataFrame:
     return row.withColumns({c: _map_text(c) for c in ("element_type_distribution", "source_distribution")})
 
 
+@query
+def qry4_summarized_stats(spark: SparkSession, sf: str) -> DataFrame:
+    return summaries.summarized_stats(_summaries(spark, sf), fx.log(spark, sf))
+
+
+@query
+def qry4_merged_states(spark: SparkSession, sf: str) -> DataFrame:
+    """Sums of the runs' states, and whether numbers of files, merged from sketches, are within 4 percent."""
+    rows, log = _summaries(spark, sf), fx.log(spark, sf)
+    merged = summaries.merged_states(summaries.run_states(rows, log))
+    both = merged.withColumnRenamed("value", "merged").join(summaries.summarized_stats(rows, log), ["metric", "name"])
+    return both.select("metric", "name", "value", (F.abs(F.col("merged") - F.col("value")) <= F.col("value") * 0.04).alias("near"))
+
+
 @query
 def ord1_newest_documents(spark: SparkSession, sf: str) -> DataFrame:
     """A deep page of the newest registered documents."""

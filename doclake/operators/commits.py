@@ -28,11 +28,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from doclake.operators import folders
 from doclake.operators.flatten import superseded_pairs, without_superseded
 from doclake.operators.registry import merge_deltas
-from doclake.schemas import PARSED_DOCUMENTS, RAW_DOCUMENTS, REGISTRY_DELTA, TABLES
+from doclake.schemas import DOCUMENT_SUMMARIES, PARSED_DOCUMENTS, RAW_DOCUMENTS, REGISTRY_DELTA, RUN_STATES, TABLES
 
 COMMITS, STATISTICS, SUPERSEDED, COMPACTION = "_commits", "_statistics", "superseded", "_compaction"
+SUMMARIES, STATES = "document_summaries", "run_states"
 #: Tables with statistics of their files, and the column that numbers their pages.
-CLUSTERED = {"document_elements": "page_id", "document_pages": "page_number", "parsed_documents": None, "processing_log": None}
+CLUSTERED = {
+    "document_elements": "page_id", "document_pages": "page_number", "parsed_documents": None, "processing_log": None, SUMMARIES: None
+}
 #: Tables of which only the run that wrote last counts.
 LAST_RUN_ONLY = ("raw_documents",)
 #: How many failed batches are named in a commit; the rows of more are taken out by a join and written again.
@@ -45,6 +48,8 @@ _STORED = {
     "document_registry": REGISTRY_DELTA,
     "raw_documents": T.StructType([*RAW_DOCUMENTS.fields, T.StructField("read_error", T.StringType())]),
     "parsed_documents": T.StructType([*PARSED_DOCUMENTS.fields, T.StructField("parse_error", T.StringType())]),
+    SUMMARIES: DOCUMENT_SUMMARIES,
+    STATES: RUN_STATES,
     SUPERSEDED: T.StructType([TABLES["parsed_documents"]["source_path"], TABLES["parsed_documents"]["pipeline_run_id"]]),
 }
 _FILE_STATISTICS = (
@@ -280,8 +285,7 @@ def read_current(
     root = root.rstrip("/")
     parts = _parts(spark, root, name)
     pairs = _parts(spark, root, SUPERSEDED)
-    run_of = {p.folder: p.folder.split("/")[1] for p in parts}
-    against = {p: [s for s in pairs if run_of[p.folder] in s.runs and s.seq > p.seq] for p in parts}
+    against = {p: [s for s in pairs if _run_of(p) in s.runs and s.seq > p.seq] for p in parts}
     groups: dict[tuple[Part, ...], list[Part]] = {}
     for part, some in against.items():
         groups.setdefault(tuple(some), []).append(part)
@@ -289,7 +293,18 @@ def read_current(
     for some, members in groups.items():
         rows = _chosen(spark, root, name, members, file_names, page)
         found.append(without_superseded(rows, _rows(spark, root, SUPERSEDED, some)) if some else rows)
-    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], TABLES[name])
+    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], _STORED[name])
+
+
+def runs_with_states(spark: SparkSession, root: str) -> tuple[set[str], set[str]]:
+    """Runs whose states are stored, and those of them of which a later commit supersedes rows."""
+    states = {_run_of(p): p.seq for p in _parts(spark, root, STATES)}
+    pairs = _parts(spark, root, SUPERSEDED)
+    return set(states), {run for run, seq in states.items() if any(run in s.runs and s.seq > seq for s in pairs)}
+
+
+def _run_of(part: Part) -> str:
+    return part.folder.split("/")[1]
 
 
 def unreadable(run: Run) -> DataFrame:

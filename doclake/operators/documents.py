@@ -21,7 +21,7 @@ from doclake.operators.joins import join_reduced
 
 MAX_LIMIT = 100
 
-_DOCUMENT = ["file_name", "source_name", "source_path"]
+DOCUMENT = ["file_name", "source_name", "source_path"]
 
 
 def search(df: DataFrame, q: str, literal: bool = False) -> DataFrame:
@@ -64,22 +64,23 @@ def count_documents(elements: DataFrame, q: str = "") -> DataFrame:
 
 
 def _per_document(elements: DataFrame) -> DataFrame:
-    return elements.groupBy(*_DOCUMENT).agg(
+    return elements.groupBy(*DOCUMENT).agg(
         F.count_distinct("element_id").alias("total_elements"), F.min("parsed_at").cast("string").alias("parsed_at")
     )
 
 
-def _described(documents: DataFrame, elements: DataFrame, pages: DataFrame, log: DataFrame, how: str) -> DataFrame:
-    per_file = (
-        type_map(elements)
-        .join(pages_by_file(pages), "file_name", "left")
-        .join(status_by_file(log, how), "file_name", "left")
-    )
+def described(documents: DataFrame, types: DataFrame, page_totals: DataFrame, statuses: DataFrame) -> DataFrame:
+    """Documents with the type counts, pages and status of their file names, a row per name each."""
+    per_file = types.join(page_totals, "file_name", "left").join(statuses, "file_name", "left")
     return with_defaults(join_reduced(documents, per_file, "file_name", "left")).select(
-        *_DOCUMENT, "total_elements", "total_pages", "status", "parsed_at", "element_types"
+        *DOCUMENT, "total_elements", "total_pages", "status", "parsed_at", "element_types"
     )
 
 
+def _described(documents: DataFrame, elements: DataFrame, pages: DataFrame, log: DataFrame, how: str) -> DataFrame:
+    return described(documents, type_map(elements), pages_by_file(pages), status_by_file(log, how))
+
+
 def documents_overview(
     elements: DataFrame, pages: DataFrame, log: DataFrame, q: str = "", status: str = "max"
 ) -> DataFrame:
@@ -104,6 +105,32 @@ def _behind(found: DataFrame, after: Row) -> Column:
     return behind
 
 
+def pick_page(found: DataFrame, limit: int, offset: int, after: Row | None) -> tuple[list[Row], list[Column]]:
+    """The documents of one page of ``found``, which has a row per document with ``parsed_at``, and the order of the list."""
+    if not 1 <= limit <= MAX_LIMIT:
+        raise ValueError(f"limit must be between 1 and {MAX_LIMIT}")
+    if offset < 0:
+        raise ValueError("offset must not be negative")
+    order = [F.desc("parsed_at"), F.asc("file_name"), F.asc("source_path"), F.asc("source_name")]
+    if after is not None:
+        found = found.filter(_behind(found, after))
+    return found.orderBy(*order).offset(offset).limit(limit).select(*DOCUMENT).collect(), order
+
+
+def of_page(table: DataFrame, chosen: list[Row]) -> DataFrame:
+    """Rows of the file names of a page, by a condition that reaches the Parquet reader."""
+    names = {row["file_name"] for row in chosen}
+    wanted = F.col("file_name").isin(sorted(names - {None}))
+    return table.filter(wanted | F.col("file_name").isNull() if None in names else wanted)
+
+
+def same_document(documents: DataFrame, chosen: list[Row]) -> DataFrame:
+    """Those of the documents that are on the page, at most ``MAX_LIMIT``."""
+    rows = documents.sparkSession.createDataFrame(chosen, ", ".join(f"{c} string" for c in DOCUMENT))
+    same = reduce(and_, (documents[c].eqNullSafe(rows[c]) for c in DOCUMENT))
+    return documents.join(F.broadcast(rows), same, "left_semi")
+
+
 def list_documents(
     elements: DataFrame,
     pages: DataFrame,
@@ -123,27 +150,11 @@ def list_documents(
     else is then read for just these file names, a condition that reaches the Parquet reader of all
     three tables and lets it skip what clustering has set apart.
     """
-    if not 1 <= limit <= MAX_LIMIT:
-        raise ValueError(f"limit must be between 1 and {MAX_LIMIT}")
-    if offset < 0:
-        raise ValueError("offset must not be negative")
-    order = [F.desc("parsed_at"), F.asc("file_name"), F.asc("source_path"), F.asc("source_name")]
-    found = search(elements, q).groupBy(*_DOCUMENT).agg(F.min("parsed_at").alias("parsed_at"))
-    if after is not None:
-        found = found.filter(_behind(found, after))
-    chosen = found.orderBy(*order).offset(offset).limit(limit).select(*_DOCUMENT).collect()
-
-    def of_page(table: DataFrame) -> DataFrame:
-        names = {row["file_name"] for row in chosen}
-        wanted = F.col("file_name").isin(sorted(names - {None}))
-        return table.filter(wanted | F.col("file_name").isNull() if None in names else wanted)
-
-    rows = elements.sparkSession.createDataFrame(chosen, ", ".join(f"{c} string" for c in _DOCUMENT))
-    shown = of_page(elements)
-    documents = _per_document(shown)
-    same = reduce(and_, (documents[c].eqNullSafe(rows[c]) for c in _DOCUMENT))
-    documents = documents.join(F.broadcast(rows), same, "left_semi")
-    return _described(documents, shown, of_page(pages), of_page(log), status).orderBy(*order)
+    found = search(elements, q).groupBy(*DOCUMENT).agg(F.min("parsed_at").alias("parsed_at"))
+    chosen, order = pick_page(found, limit, offset, after)
+    shown = of_page(elements, chosen)
+    documents = same_document(_per_document(shown), chosen)
+    return _described(documents, shown, of_page(pages, chosen), of_page(log, chosen), status).orderBy(*order)
 
 
 class DocumentDetail(NamedTuple):
@@ -176,7 +187,7 @@ def document_detail(
     )
     header = with_defaults(
         by_file.join(page_rows, "file_name", "left").join(logged, "file_name", "left")
-    ).select(*_DOCUMENT, "total_elements", "total_pages", "status", "parsed_at", "element_types")
+    ).select(*DOCUMENT, "total_elements", "total_pages", "status", "parsed_at", "element_types")
 
     known = elements.select("file_name").distinct()
     on_page = (
@@ -244,6 +255,16 @@ def page_detail(
     return PageDetail(with_defaults(header), with_defaults(shown))
 
 
+def totals_or_zero(rows: DataFrame) -> DataFrame:
+    """Sums of ``(metric, name, value)``; totals that no row contributes to are 0, not absent."""
+    zero = rows.sparkSession.range(1).select(
+        F.explode(F.array(*[F.lit(m) for m in ("documents", "elements", "pages", "completed", "failed")])).alias("metric"),
+        F.lit("").alias("name"),
+        F.lit(0).cast("long").alias("value"),
+    )
+    return rows.unionByName(zero).groupBy("metric", "name").agg(F.sum("value").alias("value"))
+
+
 def corpus_stats(elements: DataFrame, pages: DataFrame, log: DataFrame) -> DataFrame:
     """Corpus totals and distributions as rows ``(metric, name, value)``.
 
@@ -273,14 +294,7 @@ def corpus_stats(elements: DataFrame, pages: DataFrame, log: DataFrame) -> DataF
     from_pages = pages.agg(F.lit("pages").alias("metric"), F.lit("").alias("name"), F.count(F.lit(1)).alias("value"))
     files = log.filter(F.col("status").isin("completed", "failed")).select("status", "file_name").distinct()
     from_log = files.select(F.col("status").alias("metric"), F.lit("").alias("name"), F.lit(1).cast("long").alias("value"))
-    # Totals that no row contributes to are 0, not absent.
-    zero = pages.sparkSession.range(1).select(
-        F.explode(F.array(*[F.lit(m) for m in ("documents", "elements", "pages", "completed", "failed")])).alias("metric"),
-        F.lit("").alias("name"),
-        F.lit(0).cast("long").alias("value"),
-    )
-    rows = from_elements.unionByName(from_pages).unionByName(from_log).unionByName(zero)
-    return rows.groupBy("metric", "name").agg(F.sum("value").alias("value"))
+    return totals_or_zero(from_elements.unionByName(from_pages).unionByName(from_log))
 
 
 def sample_elements(elements: DataFrame, run_id: str | None = None, n: int = 50) -> DataFrame:

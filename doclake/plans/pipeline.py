@@ -32,6 +32,7 @@ from doclake.operators.incremental import not_yet_parsed, one_per_content
 from doclake.operators.parse import ColumnExtractor, parse_options, text_extractor
 from doclake.operators.registry import dedupe_latest, registry_delta, registry_rows, sync_summary
 from doclake.operators.runlog import ERROR_LENGTH, fold_log, log_events
+from doclake.operators.summaries import merged_states, run_states, summarize, summarized_stats
 from doclake.plans.waves import Waves, last_attempts, run_waves
 from doclake.session import durable
 from doclake.sources import assign_staging_path, load_raw, read_source, stage_with_isolation
@@ -246,6 +247,24 @@ def read_current(
     return commits.read_current(spark, root, name, file_names, page)
 
 
+def read_stats(spark: SparkSession, root: str, approximate: bool = False) -> DataFrame:
+    """Corpus statistics ``(metric, name, value)`` as :func:`doclake.operators.documents.corpus_stats` gives them.
+
+    They are read from a row per document, or with ``approximate`` from the few rows that each run keeps of its own: sums are
+    exact then, numbers of files are estimates (0.8 percent standard error). Runs of which rows were superseded, or that were
+    cut short after loading, are counted from their documents' rows.
+    """
+    current, log = read_current(spark, root, commits.SUMMARIES), read_log(spark, root)
+    if not approximate:
+        return summarized_stats(current, log)
+    stored, stale = commits.runs_with_states(spark, root)
+    states = commits.read_table(spark, root, commits.STATES)
+    of_log, run = F.col("metric").isin("completed", "failed"), F.col("pipeline_run_id")
+    kept = states.filter(of_log | ~run.isin(*stale)) if stale else states
+    rest = current.filter(run.isin(*stale) | ~run.isin(*stored)) if stored else current
+    return merged_states(kept.unionByName(run_states(rest, log.filter(~run.isin(*stored)) if stored else log)))
+
+
 def open_file(spark: SparkSession, root: str, file_name: str, page: int | None = None) -> dict[str, DataFrame]:
     """What document and page views of one file name read: ``parsed``, ``elements``, ``pages`` and ``log``.
 
@@ -347,6 +366,8 @@ def flatten(run: Run, params: PipelineParams) -> None:
     parsed = run.read("parsed_documents", _file_per_task(run.spark))
     run.write(flatten_elements(parsed, on_error=params.on_error), "document_elements")
     run.write(flatten_pages(parsed, on_error=params.on_error), "document_pages")
+    summaries = summarize(run.read("document_elements"), run.read("document_pages"))
+    run.write(summaries.repartitionByRange("file_name", "source_path").sortWithinPartitions("file_name"), commits.SUMMARIES)
     written = [
         row_counts(run.read(table), name)
         for table, name in (("document_elements", "elements_extracted"), ("document_pages", "pages_parsed"))
@@ -396,5 +417,6 @@ def run_pipeline(spark: SparkSession, params: PipelineParams, run_id: str | None
     if summary.parsed:
         flatten(run, params)
         summary.elements, summary.pages = (run.read(name).count() for name in ("document_elements", "document_pages"))
+    run.write(run_states(run.read(commits.SUMMARIES), fold_log(run.read("processing_log"))).coalesce(1), commits.STATES)
     run.commit()
     return summary

@@ -109,6 +109,22 @@ PROCESSING_LOG = _schema(
 # The log is kept as events: the same columns plus an order; see operators.runlog.fold_log.
 LOG_EVENTS = T.StructType([*PROCESSING_LOG.fields, T.StructField("seq", LONG)])
 
+# One row per document and run: see operators.summaries.
+DOCUMENT_SUMMARIES = _schema(
+    source_name=STRING,
+    source_path=STRING,
+    file_name=STRING,
+    element_ids=T.ArrayType(INT),
+    element_types=T.ArrayType(_schema(element_type=STRING, cnt=LONG)),
+    page_numbers=T.ArrayType(INT),
+    page_rows=LONG,
+    parsed_at=TIMESTAMP,
+    pipeline_run_id=STRING,
+)
+
+# What a run adds to corpus statistics: a sum, or a sketch of file names.
+RUN_STATES = _schema(pipeline_run_id=STRING, metric=STRING, name=STRING, value=LONG, sketch=BINARY)
+
 # One row per attempt at a batch.
 BATCH_ATTEMPTS = _schema(
     pipeline_run_id=STRING,

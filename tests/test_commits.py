@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from doclake.operators import commits, documents, flatten, folders
 from doclake.operators.parse import python_extractor, text_extractor
+from doclake.operators.summaries import summarized_list
 from doclake.operators.registry import dedupe_latest, merge_deltas, registry_delta, upsert
 from doclake.plans import pipeline, run_pipeline
-from doclake.plans.pipeline import open_file, read_current, read_log
+from doclake.plans.pipeline import open_file, read_current, read_log, read_stats
 from tests.conftest import rows
 from tests.test_pipeline import corpus, params, write  # noqa: F401
 
@@ -78,6 +79,43 @@ def test_nothing_superseded_is_read_without_a_join(spark, corpus, tmp_path):  #
     assert rows(text.select("content")) == [("and longer",), ("edited twice",)]
 
 
+def test_stats_of_runs_follow_what_is_superseded(spark, corpus, tmp_path):  # noqa: F811
+    p = params(corpus, tmp_path)
+
+    def check():
+        tables = [read_current(spark, p.root, n) for n in ("document_elements", "document_pages")]
+        read = read_log(spark, p.root)
+        want = rows(documents.corpus_stats(*tables, read))
+        assert rows(read_stats(spark, p.root)) == want
+        # So few names are counted by a sketch without error.
+        assert rows(read_stats(spark, p.root, approximate=True)) == want
+        summaries = read_current(spark, p.root, "document_summaries")
+        assert summarized_list(summaries, read, limit=50).collect() == documents.list_documents(*tables, read, limit=50).collect()
+        return dict((r[0], r[2]) for r in want if r[1] == "")
+
+    run_pipeline(spark, p, "r1")
+    first = check()
+    assert commits.runs_with_states(spark, p.root) == ({"r1"}, set())
+    write(corpus, "deep/1/doc 1.TXT", "edited")
+    write(corpus, "other.txt", "new\nlines")
+    run_pipeline(spark, p, "r2")
+    second = check()
+    assert commits.runs_with_states(spark, p.root) == ({"r1", "r2"}, {"r1"})
+    assert second["documents"] == first["documents"] + 1
+    # Edited once more by a third run, then the second again: what it superseded at first is superseded by others now.
+    write(corpus, "deep/1/doc 1.TXT", "edited\nagain")
+    run_pipeline(spark, p, "r3")
+    check()
+    write(corpus, "other.txt", "shorter")
+    run_pipeline(spark, p, "r2")
+    check()
+    # Nothing to do: no states, nothing counted twice.
+    run_pipeline(spark, p, "r4")
+    check()
+    one = commits.read_table(spark, p.root, "document_summaries", ["other.txt"])
+    assert len(one.inputFiles()) <= 2 and one.count() == 1
+
+
 @pytest.mark.parametrize("stage", ["sync", "ingest", "flatten", "commit 1", "commit 2", "commit 3"])
 def test_killed_runs_leave_one_state(spark, corpus, tmp_path, monkeypatch, stage):  # noqa: F811
     p = params(corpus, tmp_path)

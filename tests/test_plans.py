@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
-from doclake.operators import aggregates, batching, documents, flatten, incremental
+from doclake.operators import aggregates, batching, documents, flatten, incremental, summaries
 from doclake.operators.joins import join_reduced
 from doclake.operators.registry import dedupe_latest
 
@@ -69,6 +69,46 @@ def test_stats_read_the_elements_once(spark, stored):
     assert text.count("element_type:string") == 1
 
 
+def test_summaries_give_what_elements_give(spark, stored, tmp_path):
+    elements, pages, _ = stored
+    log = fx.log(spark, SF)
+    # A second run of some documents with other rows, NULL types, numbers and names, and pages without elements.
+    extra = elements.filter("element_id < 3").withColumn("pipeline_run_id", F.lit("again"))
+    odd = extra.limit(40).withColumns({"file_name": F.lit(None).cast("string"), "element_id": F.lit(None).cast("int")})
+    elements = elements.unionByName(extra.withColumn("element_type", F.lit("other"))).unionByName(odd)
+    pages = pages.unionByName(pages.limit(20).withColumns({"file_name": F.lit("bare"), "source_path": F.lit("bare")}))
+    summaries.summarize(elements, pages).write.parquet(str(tmp_path / "s"))
+    rows = spark.read.parquet(str(tmp_path / "s"))
+    found = lambda df: sorted(tuple(r) for r in df.select(*[F.col(c).cast("string") for c in df.columns]).fillna("-").collect())
+    for q in ("", "SRC1"):
+        want = documents.documents_overview(elements, pages, log, q)
+        assert found(summaries.summarized_overview(rows, log, q)) == found(want) != []
+    for page in ({"limit": 7}, {"limit": 3, "offset": 5}, {"limit": 100, "q": "c_1"}):
+        want = documents.list_documents(elements, pages, log, **page).collect()
+        assert summaries.summarized_list(rows, log, **page).collect() == want != []
+        behind = documents.list_documents(elements, pages, log, **page, after=want[0]).collect()
+        assert summaries.summarized_list(rows, log, **page, after=want[0]).collect() == behind
+    want = documents.corpus_stats(elements, pages, log)
+    assert found(summaries.summarized_stats(rows, log)) == found(want)
+    merged = {(r["metric"], r["name"]): r["value"] for r in summaries.merged_states(summaries.run_states(rows, log)).collect()}
+    exact = {(r["metric"], r["name"]): r["value"] for r in want.collect()}
+    assert merged.keys() == exact.keys() and all(abs(merged[k] - v) <= 0.04 * v for k, v in exact.items())
+    assert all(merged[k] == v for k, v in exact.items() if k[0] in ("type", "elements", "pages"))
+    # Reduced by type in the tasks that read a document, then one shuffle by document.
+    text = physical(summaries.summarize(elements, pages))
+    assert "Window" not in text and "Join" not in text
+
+
+def test_nothing_summarized_is_zero(spark, stored):
+    elements, pages, _ = stored
+    none = summaries.summarize(elements.limit(0), pages.limit(0))
+    log = fx.log(spark, SF).limit(0)
+    zeros = [(m, "", 0) for m in ("completed", "documents", "elements", "failed", "pages")]
+    for df in (summaries.summarized_stats(none, log), summaries.merged_states(summaries.run_states(none, log))):
+        assert sorted(tuple(r) for r in df.collect()) == zeros
+    assert summaries.summarized_list(none, log).collect() == []
+
+
 @pytest.fixture
 def small_thresholds(spark):
     """Shuffle joins only, and a partition counts as hot from a few kilobytes on."""
