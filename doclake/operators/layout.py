@@ -28,6 +28,9 @@ _TABLE_TAG = r"(?i)(<table(?:\s[^>]*)?>|</table>)\z"
 # Set before the ">" of an end tag or after the "<" of a start tag; not a character of text. Tags that hold it get one more.
 _MARK = "\ufdd0"
 
+# What every rule about tables asks for; pages without it take none of them.
+_ANY_TABLE = f"(?i)<[/{_MARK}]*table"
+
 _TITLES = ("title", "h1")
 
 
@@ -133,14 +136,21 @@ def html_parts(html: Column) -> Column:
     holds no ``>`` before its end, and the closing one starts at the last ``</``.
     """
 
-    def part(found: Column) -> Column:
+    tables = F.rlike(html, F.lit(_ANY_TABLE))
+
+    def part(found: Column, has_tables: Column) -> Column:
         tag = F.lower(F.regexp_extract(found, r"(?i)\A<([a-z0-9]+)", 1))
         start = F.instr(found, ">") + 1
         length = F.length(found) - F.length(F.substring_index(found, "</", -1)) - 1 - start
-        body = F.when(tag != "img", _unmarked(F.substring(found, start, length)))
+        inner = F.substring(found, start, length)
+        body = F.when(tag != "img", F.when(has_tables, _unmarked(inner)).otherwise(inner))
         return F.struct(tag.alias("tag"), body.alias("body"))
 
-    return F.transform(F.regexp_extract_all(_inner_tables_marked(html), F.lit(HTML_PARTS), F.lit(0)), part)
+    def parts(has_tables: Column) -> Column:
+        page = F.when(has_tables, _inner_tables_marked(html)).otherwise(html)
+        return F.transform(F.regexp_extract_all(page, F.lit(HTML_PARTS), F.lit(0)), lambda found: part(found, has_tables))
+
+    return bound(tables, parts)
 
 
 def html_element_type(tag: Column) -> Column:
