@@ -5,13 +5,15 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterator, Mapping
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from doclake.operators.layout import layout_from_html, layout_from_text
 from doclake.schemas import PARSED_DOCUMENTS
 
 ERROR_LENGTH = 1000
+# Results of a Python extractor leave its worker once they are this many characters together; few are ever held.
+PIECE_LENGTH = 1_000_000
 
 # Bytes and options in, parse result (VARIANT) out.
 ColumnExtractor = Callable[[Column, Column], Column]
@@ -62,40 +64,55 @@ def python_extractor(load: Callable[[], DocumentExtractor], on_error: str = "rai
 
     ``load`` runs once per worker process and returns the function that parses one document. With
     ``on_error="status"`` a document that fails yields no elements and one error entry with the
-    message, and the rest of the batch goes on; with ``"raise"`` it fails the batch.
+    message, and the rest of the batch goes on; with ``"raise"`` it fails the batch. Beside Spark's batches
+    a worker holds one document and a piece of results.
     """
     if on_error not in ("raise", "status"):
         raise ValueError("on_error must be 'raise' or 'status'")
 
-    @F.pandas_udf("string")
-    def extract(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    def pieces(contents: pa.Array, options: pa.Array, parsed: Callable[[bytes | None, list | None], tuple]) -> Iterator[list[tuple]]:
+        """What ``parsed`` gives for each document of a batch, one after the other, handed on in lists of bounded length."""
+        piece, length = [], 0
+        for content, chosen in zip(contents, options):
+            piece.append(parsed(content.as_py(), chosen.as_py()))
+            length += sum(len(text) for text in piece[-1] if text)
+            if length >= PIECE_LENGTH:
+                yield piece
+                piece, length = [], 0
+        if piece:
+            yield piece
+
+    @F.arrow_udf("string")
+    def extract(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         parse = load()
+
+        def parsed(content, chosen):
+            try:
+                return (json.dumps(parse(content, dict(chosen)), allow_nan=on_error == "raise"),)
+            except Exception as error:
+                if on_error == "raise":
+                    raise
+                failure = {"page_id": None, "error_message": str(error)[:ERROR_LENGTH]}
+                return (json.dumps({"document": {"elements": [], "pages": []}, "error_status": [failure]}),)
+
         for contents, options in batches:
-            results = []
-            for content, chosen in zip(contents, options):
-                try:
-                    result = json.dumps(parse(content, dict(chosen)), allow_nan=on_error == "raise")
-                except Exception as error:
-                    if on_error == "raise":
-                        raise
-                    failure = {"page_id": None, "error_message": str(error)[:ERROR_LENGTH]}
-                    result = json.dumps({"document": {"elements": [], "pages": []}, "error_status": [failure]})
-                results.append(result)
-            yield pd.Series(results)
-
-    @F.pandas_udf("result string, error string")
-    def attempt(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+            for piece in pieces(contents, options, parsed):
+                yield pa.array([result for result, in piece], pa.string())
+
+    @F.arrow_udf("result string, error string")
+    def attempt(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         parse = load()
+
+        def parsed(content, chosen):
+            try:
+                return json.dumps(parse(content, dict(chosen))), None
+            except Exception as error:
+                return None, str(error)[:ERROR_LENGTH] or type(error).__name__
+
         for contents, options in batches:
-            results, errors = [], []
-            for content, chosen in zip(contents, options):
-                try:
-                    results.append(json.dumps(parse(content, dict(chosen))))
-                    errors.append(None)
-                except Exception as error:
-                    results.append(None)
-                    errors.append(str(error)[:ERROR_LENGTH] or type(error).__name__)
-            yield pd.DataFrame({"result": pd.Series(results, dtype=object), "error": pd.Series(errors, dtype=object)})
+            for piece in pieces(contents, options, parsed):
+                columns = [pa.array(column, pa.string()) for column in zip(*piece)]
+                yield pa.StructArray.from_arrays(columns, names=["result", "error"])
 
     if on_error == "raise":
         raising = lambda content, options: F.parse_json(extract(content, options))

@@ -275,6 +275,28 @@ def test_bad_bytes_and_bad_results_are_errors_of_their_document(spark):
     assert rows(got) == [(1, True), (2, False)]
 
 
+def test_results_of_a_python_extractor_do_not_gather_in_its_worker(spark):
+    from doclake.operators import parse
+
+    def load():
+        import os
+
+        def resident(content, chosen):
+            with open("/proc/self/statm") as pages:
+                mb = int(pages.read().split()[1]) * os.sysconf("SC_PAGE_SIZE") // 2**20
+            return {"n": int(content), "version": chosen["version"], "mb": mb, "text": "x" * 500_000}
+
+        return resident
+
+    raw = spark.range(0, 300, 1, 1).select("id", F.encode(F.col("id").cast("string"), "UTF-8").alias("content"))
+    args = (F.col("content"), parse.parse_options())
+    raising = parse.python_extractor(load)
+    for parsed in (raising(*args), parse.python_extractor(load, on_error="status")(*args), F.parse_json(raising.attempt(*args)["result"])):
+        got = raw.select("id", parsed.alias("p")).select("id", *[F.variant_get("p", f"$.{k}", kind) for k, kind in (("n", "int"), ("version", "string"), ("mb", "int"))]).collect()
+        assert [tuple(r)[:3] for r in got] == [(i, i, "2.0") for i in range(300)]
+        assert max(r[3] for r in got) - min(r[3] for r in got) < 75
+
+
 def test_html_tables_stay_whole_in_any_case_of_letters(spark):
     from doclake.operators.layout import html_parts
 
